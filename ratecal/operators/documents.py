@@ -70,3 +70,18 @@ def clean_templates(docs: DataFrame) -> DataFrame:
         }
     )
     return conform(blank_to_null(flat), HOTEL_TEMPLATE)
+
+
+def dated_amounts(docs: DataFrame) -> DataFrame:
+    """A narrow projection: stay date by format, the price object's amount, scrape time, hotel."""
+    return docs.select(
+        F.try_to_date("date", "yyyy-MM-dd").alias("date"),
+        F.when(holds_object(docs), price_object(docs)["amount"]).try_cast(PRICE).alias("cash_value_amount"),
+        "created_at",
+        "hotel_name_key",
+    )
+
+
+def scraped_on(docs: DataFrame, day: int) -> DataFrame:
+    """Documents scraped on one weekday, 1 for Sunday to 7 for Saturday."""
+    return docs.filter(F.dayofweek(F.to_date("created_at")) == day)

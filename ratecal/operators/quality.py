@@ -7,13 +7,15 @@ hotel or group that holds most rows costs no more than any other.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratecal.functions.calendar import week_of, weekday, whole_days_ahead
-from ratecal.functions.frames import newest, ratio
-from ratecal.operators.documents import price_amount
+from ratecal.functions.calendar import date_literal, week_of, weekday, whole_days_ahead
+from ratecal.functions.frames import ratio
+from ratecal.functions.ranking import number_rows
+from ratecal.operators.documents import holds_object, price_amount
 from ratecal.operators.grid import hotel_days, hotels_of, observed_cells
-from ratecal.schemas import CELL, HOTEL, PRICE
+from ratecal.schemas import HOTEL, PRICE
 
-_n = F.count(F.lit(1))
+def _count() -> Column:
+    return F.count(F.lit(1))
 
 
 def _tally(condition: Column) -> Column:
@@ -28,9 +30,9 @@ def weekday_shares(raw: DataFrame) -> DataFrame:
     return (
         raw.groupBy(*HOTEL)
         .agg(
-            _n.alias("n"),
+            _count().alias("n"),
             _tally(day == 2).alias("tuesdays"),
-            *[ratio(_tally(day == i), _n).alias(f"pct_{name}") for i, name in enumerate(names)],
+            *[ratio(_tally(day == i), _count()).alias(f"pct_{name}") for i, name in enumerate(names)],
             F.min("created_at").alias("min_date"),
             F.max("created_at").alias("max_date"),
         )
@@ -41,12 +43,12 @@ def weekday_shares(raw: DataFrame) -> DataFrame:
 def span_by(raw: DataFrame, *keys: str) -> DataFrame:
     """Rows and first and last scrape time per key (a group, or a hotel)."""
     return raw.groupBy(*keys).agg(
-        _n.alias("n"), F.min("created_at").alias("min_dt"), F.max("created_at").alias("max_dt")
+        _count().alias("n"), F.min("created_at").alias("min_dt"), F.max("created_at").alias("max_dt")
     )
 
 
 def duplicate_ids(raw: DataFrame) -> DataFrame:
-    return raw.groupBy("_id").agg(_n.alias("n")).filter("n > 1").orderBy(F.desc("n"), "_id")
+    return raw.groupBy("_id").agg(_count().alias("n")).filter("n > 1").orderBy(F.desc("n"), "_id")
 
 
 def rows_of_hotel(raw: DataFrame, key: str, *order: str) -> DataFrame:
@@ -58,7 +60,7 @@ def price_by_stay(raw: DataFrame, key: str) -> DataFrame:
     return (
         raw.filter(F.col("hotel_name_key") == key)
         .groupBy("date")
-        .agg(ratio(F.sum("cash_value"), F.count("cash_value")).alias("cash_value"), _n.alias("n"))
+        .agg(ratio(F.sum("cash_value"), F.count("cash_value")).alias("cash_value"), _count().alias("n"))
         .orderBy("date")
     )
 
@@ -78,7 +80,7 @@ def lead_time_price(raw: DataFrame, first_day=30, last_day=60, at_least=10) -> D
         .agg(
             _mean(F.when(midweek, price)).alias("m_th"),
             _mean(F.when(~midweek, price)).alias("f_su"),
-            _n.alias("n"),
+            _count().alias("n"),
         )
         .filter(F.col("n") > at_least)
     )
@@ -96,12 +98,12 @@ def _mean(price) -> Column:
 
 def weekly_counts(raw: DataFrame, *keys: str) -> DataFrame:
     """Rows per week of scraping (named by its Monday), overall or per key."""
-    return raw.groupBy(*keys, week_of("created_at").alias("created_week")).agg(_n.alias("n")).orderBy(*keys, "created_week")
+    return raw.groupBy(*keys, week_of("created_at").alias("created_week")).agg(_count().alias("n")).orderBy(*keys, "created_week")
 
 
 def daily_counts(raw: DataFrame, group: str) -> DataFrame:
     rows = raw.filter(F.col("hotel_group") == group)
-    return rows.groupBy(F.to_date("created_at").alias("created_date")).agg(_n.alias("n")).orderBy("created_date")
+    return rows.groupBy(F.to_date("created_at").alias("created_date")).agg(_count().alias("n")).orderBy("created_date")
 
 
 def _repeat_keys(raw: DataFrame) -> DataFrame:
@@ -115,21 +117,33 @@ _REPEATS = (*HOTEL, "award_category", "date", "_day")
 def redundancy(raw: DataFrame, *keys: str) -> DataFrame:
     """Rows that remain after dropping copies against all rows, per group or hotel. Counted by
     aggregation: one row per set of copies remains, so no set has to be ranked."""
-    copies = _repeat_keys(raw).groupBy(*_REPEATS).agg(_n.alias("copies"))
+    copies = _repeat_keys(raw).groupBy(*_REPEATS).agg(_count().alias("copies"))
     return (
         copies.groupBy(*keys)
         .agg(
-            _n.alias("clean_count"),
+            _count().alias("clean_count"),
             F.sum("copies").alias("total_count"),
-            ratio(_n, F.sum("copies")).alias("pct_needed"),
+            ratio(_count(), F.sum("copies")).alias("pct_needed"),
         )
         .orderBy(*keys)
     )
 
 
+def repeat_rows(raw: DataFrame, key: str | None = None, stay=None) -> DataFrame:
+    """The copies: all quotes of a scrape day but the newest, numbered from 2. May be narrowed
+    to one hotel and stay date."""
+    rows = _repeat_keys(raw)
+    if key is not None:
+        rows = rows.filter(F.col("hotel_name_key") == key)
+    if stay is not None:
+        rows = rows.filter(F.col("date") == date_literal(stay))
+    numbered = number_rows(rows, list(_REPEATS), F.col("created_at").desc(), F.col("_id").desc())
+    return numbered.filter("rn > 1").drop("_day").orderBy(*HOTEL, "date", F.to_date("created_at"), "rn")
+
+
 def fill_count(estimates: DataFrame) -> DataFrame:
     return estimates.agg(
-        _n.alias("n"),
+        _count().alias("n"),
         _tally(F.col("cash").isNotNull()).alias("cash"),
         _tally(F.col("points").isNotNull()).alias("points"),
     )
@@ -139,7 +153,7 @@ def estimate_error(estimates: DataFrame, price: str, *keys) -> DataFrame:
     """How far the sum of estimates is off the sum of observed prices, where both exist."""
     rows = estimates.filter(F.col(price).isNotNull() & F.col(f"{price}_est").isNotNull())
     off = ratio(F.sum(f"{price}_est"), F.sum(price)) - 1
-    return rows.groupBy(*keys).agg(_n.alias("n"), off.alias(f"{price}_err"))
+    return rows.groupBy(*keys).agg(_count().alias("n"), off.alias(f"{price}_err"))
 
 
 def estimate_error_by_gap(estimates: DataFrame, price: str) -> DataFrame:
@@ -162,7 +176,7 @@ def coverage(estimates: DataFrame) -> DataFrame:
             _tally(~no_cash & ~no_points).alias("both_valid"),
             F.min(open_day).alias("min_date_booked_null"),
             F.max(open_day).alias("max_date_booked_null"),
-            _n.alias("n"),
+            _count().alias("n"),
         )
         .orderBy(F.desc_nulls_first("both_valid"), *HOTEL)
     )
@@ -224,7 +238,7 @@ def collection_stats(docs: DataFrame) -> DataFrame:
     combos = docs.groupBy(
         "input_table", "hotel_name_key", "city", "date",
         F.to_date("created_at").alias("day"), F.coalesce(priced, F.lit(False)).alias("priced"),
-    ).agg(_n.alias("rows"))
+    ).agg(_count().alias("rows"))
     # NULL members make a combination too, and count_distinct skips NULLs only at top level
     combo = F.when(F.col("priced"), F.struct("hotel_name_key", "day", "date"))
     return combos.groupBy("input_table").agg(
@@ -235,5 +249,44 @@ def collection_stats(docs: DataFrame) -> DataFrame:
     )
 
 
+def object_count(docs: DataFrame) -> DataFrame:
+    """Documents, and how many of them hold a price object."""
+    return docs.agg(_count().alias("n"), F.count_if(holds_object(docs)).alias("objects"))
+
+
+def key_span(docs: DataFrame) -> DataFrame:
+    """Newest and oldest scrape and number of documents per hotel key and city."""
+    return docs.groupBy("hotel_name_key", "city").agg(
+        F.max("created_at").alias("most_recent"), F.min("created_at").alias("oldest"), _count().alias("n")
+    )
+
+
+def rows_per_collection(docs: DataFrame) -> DataFrame:
+    return docs.groupBy("input_table").agg(_count().alias("total_rows"))
+
+
+def spot_check(docs: DataFrame, key: str, start, end) -> DataFrame:
+    """One hotel's documents with any price, scraped from `start` to `end`, both included."""
+    created = F.col("created_at")
+    return docs.filter(
+        (F.col("hotel_name_key") == key)
+        & (F.col("cash_value").isNotNull() | F.col("points").isNotNull())
+        & created.between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz"))
+    )
+
+
+def count_by_stay(docs: DataFrame) -> DataFrame:
+    return docs.groupBy("date").agg(_count().alias("n"))
+
+
+def monthly_price(raw: DataFrame) -> DataFrame:
+    """Quotes and average price by year and month of stay and of scrape."""
+    parts = {"date_year": F.year("date"), "date_month": F.month("date"),
+             "created_year": F.year("created_at"), "created_month": F.month("created_at")}
+    return raw.groupBy(*[part.alias(name) for name, part in parts.items()]).agg(
+        _count().alias("n"), ratio(F.sum("cash_value"), F.count("cash_value")).alias("average_price")
+    )
+
+
 def first_seen(docs: DataFrame, key: str) -> DataFrame:
     return docs.filter(F.col("hotel_name_key") == key).agg(F.min("created_at").alias("first_seen"))

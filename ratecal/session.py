@@ -19,6 +19,7 @@ def local_session(cpus="*", shuffle_partitions=8, memory="8g") -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("ratecal")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
     )
