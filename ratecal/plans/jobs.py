@@ -9,7 +9,7 @@ from ratecal.operators import asof, clean, sample
 from ratecal.operators.documents import clean_cash, clean_points, clean_templates, snapshot_dedupe
 from ratecal.operators.grid import OFFSETS
 from ratecal.schemas import HOTEL_CASH, HOTEL_POINTS, HOTEL_TEMPLATE
-from ratecal.sources.collections import union_collections
+from ratecal.sources.collections import union_collections, window_copy
 from ratecal.sources.tables import append, overwrite, start_run, with_lineage
 
 # First booking day of the grid, and the booking days of the final sample.
@@ -45,6 +45,13 @@ def extract_templates(spark: SparkSession, collections: Mapping[str, DataFrame],
     return run_id
 
 
+def copy_collections(collections: Mapping[str, DataFrame], folder: str, start, end, format="json") -> None:
+    """Replaces each collection's copy in `folder`: calendar collections by what was scraped
+    in the interval, templates by everything."""
+    for name, docs in collections.items():
+        overwrite(window_copy(docs, name, start, end), f"{folder}/{name}", format=format)
+
+
 def build_sample(
     cash_raw: DataFrame,
     points_raw: DataFrame,

@@ -219,7 +219,7 @@ def _snapshots(source, name="snapshots", within=""):
 {name} AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY {within} hotel_id, day, date ORDER BY _id DESC) AS second FROM (
-      SELECT *, row_number() OVER (PARTITION BY {within} _id ORDER BY created_at DESC) AS first FROM {source}
+      SELECT *, row_number() OVER (PARTITION BY {within} _id ORDER BY created_at DESC, date DESC, cash_value DESC) AS first FROM {source}
     ) WHERE first = 1
   ) WHERE second = 1
 )"""

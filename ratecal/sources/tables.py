@@ -5,7 +5,7 @@ settings or credentials live here. Any installed source works, e.g. `format="jdb
 with `url`, `dbtable` and `batchsize`.
 """
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,7 +58,7 @@ def start_run(spark: SparkSession, path: str, name: str, details: str = "", run_
     last = 0
     if _exists(spark, path):
         last = spark.read.schema(RUN).parquet(path).agg(F.max("run_id")).first()[0] or 0
-    row = (last + 1, name, details, run_dt or datetime.now().replace(microsecond=0))
+    row = (last + 1, name, details, run_dt or datetime.now(timezone.utc).replace(tzinfo=None))
     append(spark.createDataFrame([row], RUN), path, RUN)
     return last + 1
 
