@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratecal.operators.grid import OFFSETS, calendar_rows, hotels_of, offset_cells
+from ratecal.operators.grid import OFFSETS, in_spine, sampled_days, stays_and_quotes
 from ratecal.schemas import CELL, PRICE, STAY
 
 EARLIER, LATER = "prev", "next"
@@ -74,13 +74,30 @@ def _estimate(price: str, digits: int) -> Column:
 
 def sample_estimates(cash: DataFrame, points: DataFrame, start, end, offsets=OFFSETS) -> DataFrame:
     """Sampled cells, their neighbours and estimates, from the clean tables at once. Equal to
-    `interpolate(nearest_quotes(sample_base(..), ..))`, but cells meet their own quote and
-    their neighbours in the same shuffle."""
-    cells = offset_cells(hotels_of(cash), start, end, offsets)
-    rows = calendar_rows(cells, cash, points)
-    found = add_neighbours(rows, {"cash": F.col("cash"), "points": F.col("points")}).filter("is_cell")
+    `interpolate(nearest_quotes(sample_base(..), ..))`.
+
+    With few cells per stay, no sorting is needed: every quote is held against each of its
+    stay's cells, and hash aggregation keeps the nearest on both sides. All of it happens
+    after the one shuffle by stay.
+    """
+    rows = stays_and_quotes(cash, points, start, end, offsets)
+    quoted = F.col("quoted")
+    held = rows.withColumnRenamed("date_booked", "quoted").withColumn("date_booked", F.explode(sampled_days(offsets)))
+    nearest = [F.max(quoted.isNull()).alias("is_cell")]
+    for price in ("cash", "points"):
+        value = F.col(price)
+        earlier = F.when(value.isNotNull() & (quoted < F.col("date_booked")), quoted)
+        later = F.when(value.isNotNull() & (quoted > F.col("date_booked")), quoted)
+        nearest += [
+            F.max(F.when(quoted == F.col("date_booked"), value)).alias(price),
+            F.max_by(value, earlier).alias(f"{price}_prev"),
+            F.datediff("date_booked", F.max(earlier)).alias(GAPS[price, EARLIER]),
+            F.min_by(value, later).alias(f"{price}_next"),
+            F.datediff(F.min(later), "date_booked").alias(GAPS[price, LATER]),
+        ]
+    cells = held.filter(in_spine(start, end)).groupBy(*CELL).agg(*nearest).filter("is_cell")
     window = F.datediff("date_stay", "date_booked").alias("booking_window")
-    return interpolate(found).select(
+    return interpolate(cells).select(
         *CELL, window, "cash", "points", "cash_est", "points_est",
         "cash_prev", "cp_gap", "cash_next", "cn_gap", "points_prev", "pp_gap", "points_next", "pn_gap",
     )

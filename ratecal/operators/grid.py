@@ -39,67 +39,81 @@ def booking_bounds(quotes: DataFrame) -> DataFrame:
     return quotes.agg(F.min("date_booked").alias("start"), F.max("date_booked").alias("end"))
 
 
-def hotel_days(hotels: DataFrame, start, end) -> DataFrame:
-    """One row per hotel and booking day.
+def hotel_calendar(hotels: DataFrame, first, last, name: str) -> DataFrame:
+    """One row per hotel and day from `first` to `last` (date columns).
 
     Hotels are few, days many: they are spread out by hotel and month before the days are
     made, so that making them is not left to the few tasks that hold the hotel list.
     """
-    first, last = date_literal(start), date_literal(end)
-    months = hotels.withColumn(
-        "_month", F.explode(F.sequence(F.trunc(first, "month"), last, F.expr("INTERVAL 1 MONTH")))
-    )
+    months = F.sequence(F.trunc(first, "month"), last, F.expr("INTERVAL 1 MONTH"))
+    by_month = spread(hotels.withColumn("_month", F.explode(months)), *hotels.columns, "_month")
     days = F.sequence(F.greatest("_month", first), F.least(F.last_day("_month"), last))
-    return spread(months, *hotels.columns, "_month").select(*hotels.columns, F.explode(days).alias("date_booked"))
+    return by_month.select(*hotels.columns, F.explode(days).alias(name))
 
 
-def offset_cells(hotels: DataFrame, start, end, offsets=OFFSETS) -> DataFrame:
-    """Only the cells a fixed number of days ahead: what filtering the dense grid by booking
-    window leaves (for offsets under 365), without building the rest of it."""
-    stays = F.explode(F.array(*[F.date_add("date_booked", n) for n in offsets]))
-    return hotel_days(hotels, start, end).select(*hotels.columns, stays.alias("date_stay"), "date_booked")
+def hotel_days(hotels: DataFrame, start, end) -> DataFrame:
+    """One row per hotel and booking day of the spine."""
+    return hotel_calendar(hotels, date_literal(start), date_literal(end), "date_booked")
 
 
-def calendar_rows(cells: DataFrame, cash: DataFrame, points: DataFrame) -> DataFrame:
-    """Cells and quotes merged to one row per (group, key, stay, booked day), marked `is_cell`.
+def stays_and_quotes(cash: DataFrame, points: DataFrame, start, end, offsets=OFFSETS) -> DataFrame:
+    """Every stay the sampled cells of a spine can have, and every quote, partitioned by stay.
 
-    Takes the place of joining both quote tables to the cells, and costs one shuffle, on
-    (group, key, stay); windows over a stay's booking days need no further one.
+    This is the one shuffle of the sample operators. Cells are made from a stay after it:
+    there are as many per stay as offsets, and joining both quote tables to them would
+    shuffle and sort them all. Stays have no booking day, quotes do.
     """
+    first = F.date_add(date_literal(start), min(offsets))
+    last = F.date_add(date_literal(end), max(offsets))
     none = F.lit(None).cast(PRICE)
+    stays = hotel_calendar(hotels_of(cash), first, last, "date_stay")
     rows = (
-        cells.select(*CELL, F.lit(True).alias("is_cell"), none.alias("cash"), none.alias("points"))
-        .union(cash.select(*CELL, F.lit(False), F.col("cash").cast(PRICE), none))
-        .union(points.select(*CELL, F.lit(False), none, F.col("points").cast(PRICE)))
+        stays.select(*STAY, F.lit(None).cast("date").alias("date_booked"), none.alias("cash"), none.alias("points"))
+        .union(cash.select(*CELL, F.col("cash").cast(PRICE), none))
+        .union(points.select(*CELL, none, F.col("points").cast(PRICE)))
     )
+    return rows.repartition(*STAY)
+
+
+def sampled_days(offsets=OFFSETS) -> Column:
+    """The booking days of a stay's sampled cells."""
+    return F.array(*[F.date_sub("date_stay", n) for n in offsets])
+
+
+def in_spine(start, end) -> Column:
+    return F.col("date_booked").between(date_literal(start), date_literal(end))
+
+
+def _own_prices(cash: DataFrame, points: DataFrame, start, end, offsets) -> DataFrame:
+    """The sampled cells (`is_cell`) and all quoted ones, each with the prices of its own day."""
+    rows = stays_and_quotes(cash, points, start, end, offsets)
+    is_stay = F.col("date_booked").isNull()
+    days = F.when(is_stay, sampled_days(offsets)).otherwise(F.array("date_booked"))
+    cells = rows.select(*STAY, F.explode(days).alias("date_booked"), is_stay.alias("is_cell"), "cash", "points")
     return (
-        rows.repartition(*STAY)
+        cells.filter(~F.col("is_cell") | in_spine(start, end))
         .groupBy(*CELL)
         .agg(F.max("is_cell").alias("is_cell"), F.max("cash").alias("cash"), F.max("points").alias("points"))
     )
 
 
 def sample_base(cash: DataFrame, points: DataFrame, start, end, offsets=OFFSETS) -> DataFrame:
-    """Grid cells at the sampled booking windows."""
-    cells = offset_cells(hotels_of(cash), start, end, offsets)
-    rows = calendar_rows(cells, cash, points).filter("is_cell")
-    return rows.select(*CELL, _window(), "cash", "points")
+    """The grid's cells at the sampled booking windows: what filtering the dense grid leaves
+    (for offsets under 365), without building the rest of it."""
+    cells = _own_prices(cash, points, start, end, offsets).filter("is_cell")
+    return cells.select(*CELL, _window(), "cash", "points")
 
 
 def sparse_grid(cash: DataFrame, points: DataFrame, start, end, offsets=OFFSETS) -> DataFrame:
     """The sampled cells and, besides, every (hotel, stay, booked day) that has a quote, also
     of hotels or days the spine does not cover."""
-    cells = offset_cells(hotels_of(cash), start, end, offsets)
-    return calendar_rows(cells, cash, points).select(*CELL, _window(), "cash", "points")
+    return _own_prices(cash, points, start, end, offsets).select(*CELL, _window(), "cash", "points")
 
 
 def observed_cells(cash: DataFrame, points: DataFrame, start, end) -> DataFrame:
     """The cells of the dense grid that hold a price, straight from the quotes: equal to
     filtering the dense grid, without building it."""
-    spine = (
-        F.col("date_booked").between(date_literal(start), date_literal(end))
-        & F.col("date_stay").between(F.col("date_booked"), last_stay("date_booked"))
-    )
+    spine = in_spine(start, end) & F.col("date_stay").between(F.col("date_booked"), last_stay("date_booked"))
     none = F.lit(None).cast(PRICE)
     rows = cash.select(*CELL, F.col("cash").cast(PRICE), none.alias("points")).union(
         points.join(hotels_of(cash), list(HOTEL), "left_semi").select(*CELL, none, F.col("points").cast(PRICE))
@@ -143,18 +157,13 @@ def _fill(hotels: DataFrame, observed: DataFrame, match, start, end) -> DataFram
     """
     first, last = date_literal(start), date_literal(end)
     stay = [*match, "date_stay"]
-    booked = F.col("date_booked")
-    in_spine = booked.between(first, last) & F.col("date_stay").between(booked, last_stay(booked))
+    within = in_spine(start, end) & F.col("date_stay").between(F.col("date_booked"), last_stay("date_booked"))
     known = (
-        spread(observed.filter(in_spine), *stay)
+        spread(observed.filter(within), *stay)
         .groupBy(*stay)
         .agg(F.collect_list(F.struct("date_booked", "cash", "points")).alias("known"))
     )
-    years = hotels.withColumn(
-        "_month", F.explode(F.sequence(F.trunc(first, "month"), last_stay(last), F.expr("INTERVAL 1 MONTH")))
-    )
-    stays = F.sequence(F.greatest("_month", first), F.least(F.last_day("_month"), last_stay(last)))
-    hotel_stays = spread(years, *hotels.columns, "_month").select(*hotels.columns, F.explode(stays).alias("date_stay"))
+    hotel_stays = hotel_calendar(hotels, first, last_stay(last), "date_stay")
 
     # A leap day makes a booking year 366 days long, so look 366 back and test each day.
     reach = F.sequence(F.greatest(F.date_sub("date_stay", 366), first), F.least("date_stay", last))
