@@ -25,6 +25,19 @@ def spread(df: DataFrame, *columns) -> DataFrame:
     return df.repartition(shuffle_width(df.sparkSession), *columns)
 
 
+SMALL = 100_000  # rows that may be broadcast, of two short columns
+
+
+def broadcast_if_small(df: DataFrame, rows: int = SMALL) -> DataFrame:
+    """Marks a list for broadcast after counting that it has at most `rows` rows; a longer one
+    is left to Spark's own choice of join.
+
+    For lists Spark overestimates, such as a filtered or grouped table: it would shuffle the
+    large side of the join before it learns how short they are. Counting stops beyond `rows`.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the columns of `schema`, in its order: absent ones as typed NULLs, others
     dropped, and values that do not fit the type NULL."""

@@ -72,7 +72,7 @@ def stays_and_quotes(cash: DataFrame, points: DataFrame, start, end, offsets=OFF
         .union(cash.select(*CELL, F.col("cash").cast(PRICE), none))
         .union(points.select(*CELL, none, F.col("points").cast(PRICE)))
     )
-    return rows.repartition(*STAY)
+    return spread(rows, *STAY)
 
 
 def sampled_days(offsets=OFFSETS) -> Column:

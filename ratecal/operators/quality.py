@@ -11,7 +11,7 @@ from ratecal.functions.calendar import date_literal, week_of, weekday, whole_day
 from ratecal.functions.frames import ratio
 from ratecal.functions.ranking import number_rows
 from ratecal.operators.documents import holds_object, price_amount
-from ratecal.operators.grid import hotel_days, hotels_of, observed_cells
+from ratecal.operators.grid import hotels_of, observed_cells
 from ratecal.schemas import HOTEL, PRICE
 
 def _count() -> Column:
@@ -186,25 +186,24 @@ _WEEKDAYS = ("sun", "mon", "tue", "wed", "thu", "fri", "sat")
 
 
 def week_weekday_fill(cash: DataFrame, points: DataFrame, start, end) -> DataFrame:
-    """Filled grid cells per hotel and booking week, by weekday of booking; weeks without any
-    are 0. Counts of observed cells are laid on the hotels' booking days, so the dense grid
-    is not built."""
-    days = hotel_days(hotels_of(cash), start, end)
-    filled = (
-        observed_cells(cash, points, start, end)
-        .groupBy(*HOTEL, "date_booked")
-        .agg(F.count("cash").alias("cash"), F.count("points").alias("points"))
+    """Filled grid cells per hotel and booking week, by weekday of booking; weeks of the spine
+    without any are 0. Instead of the dense grid, one empty row per hotel and week is added to
+    the observed cells."""
+    weeks = F.sequence(week_of(date_literal(start)), week_of(date_literal(end)), F.expr("INTERVAL 7 DAYS"))
+    none = F.lit(None).cast(PRICE)
+    empty = hotels_of(cash).select(
+        *HOTEL, F.explode(weeks).alias("week_booked"), F.lit(None).cast("date").alias("date_booked"), none.alias("cash"), none.alias("points")
+    )
+    filled = observed_cells(cash, points, start, end).select(
+        *HOTEL, week_of("date_booked"), "date_booked", "cash", "points"
     )
     counts = [
-        F.sum(F.when(weekday("date_booked") == i, F.coalesce(F.col(price), F.lit(0))).otherwise(0)).alias(f"{name}_{price}")
+        F.count(F.when(weekday("date_booked") == i, F.col(price))).alias(f"{name}_{price}")
         for price in ("cash", "points")
         for i, name in enumerate(_WEEKDAYS)
     ]
     return (
-        days.join(filled, [*HOTEL, "date_booked"], "left")
-        .groupBy(*HOTEL, week_of("date_booked").alias("week_booked"))
-        .agg(*counts)
-        .orderBy("hotel_group", "week_booked", "hotel_name_key")
+        empty.union(filled).groupBy(*HOTEL, "week_booked").agg(*counts).orderBy("hotel_group", "week_booked", "hotel_name_key")
     )
 
 

@@ -13,7 +13,7 @@ SETTINGS = {
 }
 
 
-def local_session(cpus="*", shuffle_partitions=8, memory="8g") -> SparkSession:
+def local_session(cpus="*", shuffle_partitions=8, memory="12g") -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")

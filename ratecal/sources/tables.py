@@ -26,9 +26,9 @@ def with_lineage(df: DataFrame, run_id, input_table=None, chunk_n=None, extract_
     return df.withColumns({name: value for name, value in given.items() if value is not None})
 
 
-def append(df: DataFrame, path: str | None, schema: T.StructType, format="parquet", **options) -> None:
+def append(df: DataFrame, path: str | None, schema: T.StructType, format="parquet", partition_by=(), **options) -> None:
     """Appends rows in the declared schema, creating the table with the first ones."""
-    conform(df, schema).write.format(format).mode("append").options(**options).save(path)
+    conform(df, schema).write.format(format).mode("append").partitionBy(*partition_by).options(**options).save(path)
 
 
 def overwrite(df: DataFrame, path: str | None, format="parquet", partition_by=(), **options) -> None:

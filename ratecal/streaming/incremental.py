@@ -36,6 +36,7 @@ def ingest_new_files(
     Every chunk is written to a folder of its own, named by the stream's batch number. A chunk
     that is repeated after a failure replaces its folder, so none is stored twice. Copies
     across chunks stay in the raw table; the clean tables settle them.
+    (A watermark would drop them earlier, but also late documents with them.)
     """
     schema, clean, columns = KINDS[kind]
     reader = spark.readStream.schema(schema)
