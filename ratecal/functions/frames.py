@@ -19,10 +19,18 @@ def newest(df: DataFrame, keys, *order: Column) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def spread(df: DataFrame, *columns) -> DataFrame:
-    """Hash-partition to the session's full shuffle width, which adaptive execution leaves
-    alone: for small inputs whose rows are about to be multiplied."""
-    return df.repartition(shuffle_width(df.sparkSession), *columns)
+def spread(df: DataFrame, *columns, width: int | None = None) -> DataFrame:
+    """Hash-partition to a fixed width, by default the session's shuffle width, which adaptive
+    execution leaves alone: it would merge partitions by their size before the rows in them
+    are multiplied."""
+    return df.repartition(width or shuffle_width(df.sparkSession), *columns)
+
+
+def core_width(df: DataFrame) -> int:
+    """Two tasks per core, at most the shuffle width: to make many rows of few, busy cores are
+    enough, and each further task adds a block per partition of the shuffle that follows."""
+    spark = df.sparkSession
+    return min(shuffle_width(spark), 2 * spark.sparkContext.defaultParallelism)
 
 
 SMALL = 100_000  # rows that may be broadcast, of two short columns

@@ -8,13 +8,15 @@ from ratecal.functions.frames import blank_to_null, conform, newest
 from ratecal.schemas import HOTEL_CASH, HOTEL_POINTS, HOTEL_TEMPLATE, PRICE, PRICE_OBJECT
 
 
-def snapshot_dedupe(docs: DataFrame, within=()) -> DataFrame:
+def snapshot_dedupe(docs: DataFrame, within=(), ids_unique=False) -> DataFrame:
     """The newest document per hotel, scrape day and stay date, by `_id`.
 
     Comes before prices are looked at: a newest document without a price removes its key.
     `within` lists columns to dedupe inside of, e.g. `input_table` for a union of collections.
+    One document per `_id` is kept first, which is a shuffle of all documents by a key that
+    seldom repeats; `ids_unique` leaves it out where the store already sees to that.
     """
-    by_id = newest(docs, [*within, "_id"], F.col("created_at").desc())
+    by_id = docs if ids_unique else newest(docs, [*within, "_id"], F.col("created_at").desc())
     dated = by_id.withColumn("_day", F.to_date("created_at"))
     return newest(dated, [*within, "hotel_id", "_day", "date"], F.col("_id").desc()).drop("_day")
 

@@ -384,6 +384,13 @@ def dupe_ids(t):
     return quality.duplicate_ids(t.cash_raw())
 
 
+@query
+def dupe_ids_overlap(t):
+    """Ids stored twice by two extractions that overlap by a year."""
+    raw, created = t.cash_raw(), F.col("created_at")
+    return quality.duplicate_ids(raw.filter(created < F.lit("1999-01-01")).union(raw.filter(created >= F.lit("1998-01-01"))))
+
+
 @query
 def hotel_rows(t):
     return quality.rows_of_hotel(t.cash_raw(), HOTEL_KEY, "created_at", "date", "_id")

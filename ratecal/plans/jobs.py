@@ -17,9 +17,9 @@ SPINE_START = "2022-11-15"
 SAMPLE_FIRST, SAMPLE_LAST = "2022-12-01", "2023-07-31"
 
 
-def raw_rows(collections: Mapping[str, DataFrame], kind: str, run_id, extract_dt) -> DataFrame:
+def raw_rows(collections: Mapping[str, DataFrame], kind: str, run_id, extract_dt, ids_unique=False) -> DataFrame:
     """The rows that collections of one kind add to the raw table: one plan for all of them."""
-    docs = snapshot_dedupe(union_collections(collections), within=("input_table",))
+    docs = snapshot_dedupe(union_collections(collections), ("input_table",), ids_unique)
     rows = clean_cash(docs) if kind == "cash" else clean_points(docs)
     return with_lineage(rows, run_id, chunk_n=0, extract_dt=extract_dt)
 

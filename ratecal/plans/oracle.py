@@ -417,6 +417,8 @@ FROM adjacent GROUP BY ALL"""),
         "group_summary": _with(_QUOTES, "SELECT hotel_group, count(*) AS n, min(created_at) AS min_dt, max(created_at) AS max_dt FROM quotes GROUP BY 1"),
         "hotel_summary": _with(_QUOTES, "SELECT hotel_group, hotel_name_key, count(*) AS n, min(created_at) AS min_dt, max(created_at) AS max_dt FROM quotes GROUP BY 1, 2"),
         "dupe_ids": _with(_QUOTES, "SELECT _id, count(*) AS n FROM quotes GROUP BY 1 HAVING count(*) > 1"),
+        "dupe_ids_overlap": _with(_QUOTES, """stored AS (SELECT _id FROM quotes WHERE created_at < TIMESTAMP '1999-01-01'
+  UNION ALL SELECT _id FROM quotes WHERE created_at >= TIMESTAMP '1998-01-01')""", "SELECT _id, count(*) AS n FROM stored GROUP BY 1 HAVING count(*) > 1"),
         "hotel_rows": _with(_QUOTES, f"SELECT {_CASH_RAW} FROM quotes WHERE hotel_name_key = 'supplier-000000003'"),
         "price_by_stay": _with(_QUOTES, """SELECT date, CAST(sum(cash_value) AS DOUBLE) / count(cash_value) AS cash_value, count(*) AS n
 FROM quotes WHERE hotel_name_key = 'supplier-000000003' GROUP BY 1"""),

@@ -280,3 +280,11 @@ def test_cumulative_weeks_count_sunday_first(spark):
 def test_points_raw_rows_make_points_quotes(spark):
     raw = raw_points(spark, [("1", "h", "2023-05-01", "2023-01-01T08:00:00", 1), ("2", "h", "2023-05-01", "2023-01-01T07:00:00", 2)])
     assert values(clean.points_quotes(raw), "_id") == [("2",)]
+
+
+def test_ids_known_unique_give_the_same_snapshots(spark, tmp_path):
+    docs = nested(spark, tmp_path, [
+        {"_id": f"{i:02d}", "hotel_id": str(i % 2), "date": f"2023-05-0{i % 3 + 1}", "created_at": f"2023-01-01T0{i % 10}:00:00"} for i in range(30)
+    ], CASH_DOCUMENT)
+    kept = values(documents.snapshot_dedupe(docs), "_id")
+    assert len(kept) == 6 and kept == values(documents.snapshot_dedupe(docs, ids_unique=True), "_id")
