@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratecal.session import shuffle_width, work_folder
+from ratecal.session import new_folder, shuffle_width
 
 
 def number_rows(df: DataFrame, keys, *order: Column, name="rn") -> DataFrame:
@@ -11,20 +11,21 @@ def number_rows(df: DataFrame, keys, *order: Column, name="rn") -> DataFrame:
 
     Rows are range-partitioned by key and order, so a large key is cut into consecutive
     runs. Rows are numbered within their run; a run's numbers then continue after the rows of
-    the key's earlier runs, of which there are at most as many as partitions. The ranged rows
-    are checkpointed, for both steps must see the same cuts even if executors are lost.
-    All further columns complete the order; a row id lets even identical rows be cut.
+    the key's earlier runs, of which there are at most as many as partitions. Rows and their
+    runs are written to the session's work folder in between, for both steps must see the same
+    cuts even if executors are lost. All further columns complete the order; a row id lets even
+    identical rows be cut.
     """
-    spark = df.sparkSession
-    work_folder(spark)
-    ties = [F.col(f"`{c}`").desc() for c in df.columns if c not in keys]
-    order = [*order, *ties, F.col("_row")]
-    ranged = (
+    spark, folder = df.sparkSession, new_folder(df.sparkSession)
+    order = [*order, *[F.col(f"`{c}`").desc() for c in df.columns if c not in keys]]
+    (
         df.withColumn("_row", F.monotonically_increasing_id())
-        .repartitionByRange(shuffle_width(spark), *keys, *order)
+        .repartitionByRange(shuffle_width(spark), *keys, *order, "_row")
         .withColumn("_run", F.spark_partition_id())
-        .checkpoint()
+        .drop("_row")
+        .write.parquet(folder)
     )
+    ranged = spark.read.parquet(folder)
     within = Window.partitionBy(*keys, "_run").orderBy(*order)
     earlier = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     runs = (

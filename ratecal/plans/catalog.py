@@ -5,7 +5,6 @@ restriction to the hotels of one city; the summaries next to them cover the hote
 cities. Prices are exact decimals inside and doubles in results.
 """
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +15,7 @@ from ratecal.functions.calendar import month_of
 from ratecal.operators import asof, clean, documents, grid, quality, sample, value
 from ratecal.plans import jobs
 from ratecal.schemas import HOTEL, HOTEL_CASH, HOTEL_POINTS
-from ratecal.session import work_folder
+from ratecal.session import new_folder
 from ratecal.sources import collections as src
 from ratecal.sources import tables
 from ratecal.sources.testtables import TestTables
@@ -174,7 +173,7 @@ def lineage(t):
 
 @query
 def append_table(t):
-    folder = _new_folder(t)
+    folder = new_folder(t.spark)
     rows = jobs.raw_rows(_tagged(t, cash=False), "points", 7, EXTRACTED)
     tables.append(rows, folder, HOTEL_POINTS)
     return t.spark.read.schema(HOTEL_POINTS).parquet(folder)
@@ -182,7 +181,7 @@ def append_table(t):
 
 @query
 def csv_export(t):
-    folder = _new_folder(t)
+    folder = new_folder(t.spark)
     tables.export_csv(quality.span_by(t.cash_raw(), "hotel_group", "city"), folder)
     columns = "hotel_group string, city string, n bigint, min_dt timestamp_ntz, max_dt timestamp_ntz"
     return t.spark.read.schema(columns).csv(folder, header=True)
@@ -192,7 +191,7 @@ def csv_export(t):
 def incremental_ingest(t):
     """One live cash collection, ingested in two runs as its files arrive."""
     spark, name = t.spark, f"hotel_calendar_cash_{GROUP_NAME}"
-    folder = _new_folder(t)
+    folder = new_folder(t.spark)
     docs = t.collections()[name]
     cut = F.col("created_at") < F.lit("2000-10-01")
     for run_id, arriving in ((1, docs.filter(cut)), (2, docs.filter(~cut))):
@@ -204,12 +203,6 @@ def incremental_ingest(t):
     return raw.drop("chunk_n")
 
 
-def _new_folder(t) -> str:
-    """A folder of its own in the session's shared work folder."""
-    base = work_folder(t.spark)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 # Clean tables
 
 @query

@@ -1,6 +1,7 @@
 """Session settings the operators are written for."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,5 +43,10 @@ def work_folder(spark: SparkSession) -> str:
     return shared
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A name for a table of its own in the work folder."""
+    return f"{work_folder(spark).rstrip('/')}/{uuid.uuid4().hex}"
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
