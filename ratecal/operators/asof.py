@@ -3,10 +3,11 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratecal.operators.grid import OFFSETS, in_spine, sampled_days, stays_and_quotes
+from ratecal.operators.grid import OFFSETS, in_spine, sample_base, sampled_days, stays_and_quotes
 from ratecal.schemas import CELL, PRICE, STAY
 
 EARLIER, LATER = "prev", "next"
+FEW_OFFSETS = 30  # cells per stay up to which quotes are held against each of them
 # names of the day-gap columns
 GAPS = {("cash", EARLIER): "cp_gap", ("cash", LATER): "cn_gap", ("points", EARLIER): "pp_gap", ("points", LATER): "pn_gap"}
 
@@ -78,8 +79,11 @@ def sample_estimates(cash: DataFrame, points: DataFrame, start, end, offsets=OFF
 
     With few cells per stay, no sorting is needed: every quote is held against each of its
     stay's cells, and hash aggregation keeps the nearest on both sides. All of it happens
-    after the one shuffle by stay.
+    after the one shuffle by stay. With many cells per stay the steps are taken one by one.
     """
+    if len(offsets) > FEW_OFFSETS:
+        base = sample_base(cash, points, start, end, offsets)
+        return _estimates(interpolate(nearest_quotes(base, cash, points)))
     rows = stays_and_quotes(cash, points, start, end, offsets)
     quoted = F.col("quoted")
     held = rows.withColumnRenamed("date_booked", "quoted").withColumn("date_booked", F.explode(sampled_days(offsets)))
@@ -96,9 +100,13 @@ def sample_estimates(cash: DataFrame, points: DataFrame, start, end, offsets=OFF
             F.datediff(F.min(later), "date_booked").alias(GAPS[price, LATER]),
         ]
     cells = held.filter(in_spine(start, end)).groupBy(*CELL).agg(*nearest).filter("is_cell")
-    window = F.datediff("date_stay", "date_booked").alias("booking_window")
-    return interpolate(cells).select(
-        *CELL, window, "cash", "points", "cash_est", "points_est",
+    window = F.datediff("date_stay", "date_booked")
+    return _estimates(interpolate(cells.withColumn("booking_window", window)))
+
+
+def _estimates(cells: DataFrame) -> DataFrame:
+    return cells.select(
+        *CELL, "booking_window", "cash", "points", "cash_est", "points_est",
         "cash_prev", "cp_gap", "cash_next", "cn_gap", "points_prev", "pp_gap", "points_next", "pn_gap",
     )
 

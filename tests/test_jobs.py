@@ -5,7 +5,7 @@ import json
 import pytest
 
 from ratecal.operators import asof, clean, documents, quality, sample
-from ratecal.plans import jobs
+from ratecal.plans import jobs, reports
 from ratecal.schemas import CASH_DOCUMENT, CELL, HOTEL_CASH, HOTEL_POINTS, HOTEL_TEMPLATE, RUN
 from ratecal.sources import tables
 from ratecal.sources.collections import choose_collections, scan
@@ -49,6 +49,17 @@ def test_extract_then_build(spark, t, tmp_path):
     assert expected.exceptAll(built.select(*expected.columns)).count() == 0 and built.count() == expected.count()
     assert built.groupBy(*CELL).count().filter("count > 1").count() == 0
 
+    clean_cash, clean_points, est = (
+        spark.read.parquet(f"{folder}/{n}") for n in ("hotel_cash_clean", "hotel_points_clean", "hotel_sample_est")
+    )
+    everything = {
+        **reports.raw_reports(cash), **reports.redundancy_reports(cash), **reports.estimate_reports(est),
+        **reports.grid_reports(clean_cash, clean_points, *SPINE),
+    }
+    reports.export_reports(everything, f"{folder}/reports")
+    weeks = spark.read.csv(f"{folder}/reports/week_weekday_fill", header=True)
+    assert len(everything) == 21 and weeks.count() == 27  # one hotel, first to last week of the spine
+
 
 def test_run_numbers_go_up(spark, tmp_path):
     path = str(tmp_path / "run")

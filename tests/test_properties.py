@@ -59,6 +59,14 @@ def test_fused_estimates_equal_the_steps(quotes):
     assert same(asof.sample_estimates(*quotes, *MONTH), steps)
 
 
+def test_estimates_for_many_offsets(quotes):
+    many = tuple(range(1, 60))
+    steps = asof.interpolate(asof.nearest_quotes(grid.sample_base(*quotes, *MONTH, many), *quotes))
+    assert same(asof.sample_estimates(*quotes, *MONTH, many), steps)
+    few = asof.sample_estimates(*quotes, *MONTH, many[:20])
+    assert few.count() > 0 and same(few, steps.filter("booking_window <= 20"))
+
+
 def test_offset_cells_equal_the_filtered_grid(quotes):
     assert same(grid.sample_base(*quotes, *MONTH), grid.at_windows(grid.dense_grid(*quotes, *MONTH)))
 
