@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratecal.functions.frames import blank_to_null, conform, newest
-from ratecal.schemas import HOTEL_CASH, HOTEL_POINTS, HOTEL_TEMPLATE, PRICE, PRICE_OBJECT
+from ratecal.schemas import HOTEL_CASH, HOTEL_POINTS, HOTEL_TEMPLATE, PRICE
 
 
 def snapshot_dedupe(docs: DataFrame, within=(), ids_unique=False) -> DataFrame:
@@ -21,39 +21,38 @@ def snapshot_dedupe(docs: DataFrame, within=(), ids_unique=False) -> DataFrame:
     return newest(dated, [*within, "hotel_id", "_day", "date"], F.col("_id").desc()).drop("_day")
 
 
+def _is_struct(docs: DataFrame, field: str) -> bool:
+    return isinstance(docs.schema[field].dataType, T.StructType)
+
+
 def holds_object(docs: DataFrame, field="cash_value") -> Column:
     """Whether a polymorphic field holds an object rather than a scalar or nothing."""
-    if isinstance(docs.schema[field].dataType, T.StructType):
-        return F.col(field).isNotNull()
-    return F.ltrim(F.col(field)).startswith("{")
+    return F.col(field).isNotNull() if _is_struct(docs, field) else F.ltrim(F.col(field)).startswith("{")
 
 
-def price_object(docs: DataFrame, field="cash_value") -> Column:
-    if isinstance(docs.schema[field].dataType, T.StructType):
-        return F.col(field)
-    return F.from_json(F.col(field), PRICE_OBJECT)
+def object_amount(docs: DataFrame, field="cash_value") -> Column:
+    """The amount of a price object as a number; NULL if it is none or the field no object."""
+    amount = F.col(f"{field}.amount") if _is_struct(docs, field) else F.get_json_object(field, "$.amount")
+    return amount.try_cast(PRICE)
 
 
 def price_amount(docs: DataFrame, field="cash_value") -> Column:
     """The price as a number, from an object's amount or a bare scalar; NULL if neither parses."""
-    amount = price_object(docs, field)["amount"].try_cast(PRICE)
-    if isinstance(docs.schema[field].dataType, T.StructType):
-        return amount
-    return F.when(holds_object(docs, field), amount).otherwise(F.col(field).try_cast(PRICE))
+    if _is_struct(docs, field):
+        return object_amount(docs, field)
+    return F.when(holds_object(docs, field), object_amount(docs, field)).otherwise(F.col(field).try_cast(PRICE))
 
 
 def clean_cash(docs: DataFrame) -> DataFrame:
     """Cash documents as `hotel_cash` rows: only those with a price object and a stay date
     that parses. An amount that is not a number becomes NULL."""
-    price = price_object(docs)
-    rows = docs.filter(holds_object(docs)).withColumns(
-        {
-            "date": F.col("date").try_cast("date"),
-            "currency": price["currency"],
-            "cash_value": price["amount"].try_cast(PRICE),
-        }
-    )
-    return conform(rows.filter("date IS NOT NULL"), HOTEL_CASH)
+    rows = docs.withColumn("date", F.col("date").try_cast("date"))
+    rows = rows.filter(holds_object(docs) & F.col("date").isNotNull())
+    if _is_struct(docs, "cash_value"):
+        rows = rows.withColumns({"_amount": F.col("cash_value.amount"), "_currency": F.col("cash_value.currency")})
+    else:  # both fields from one pass over the text
+        rows = rows.select("*", F.json_tuple("cash_value", "amount", "currency").alias("_amount", "_currency"))
+    return conform(rows.withColumns({"cash_value": F.col("_amount").try_cast(PRICE), "currency": F.col("_currency")}), HOTEL_CASH)
 
 
 def clean_points(docs: DataFrame) -> DataFrame:
@@ -78,7 +77,7 @@ def dated_amounts(docs: DataFrame) -> DataFrame:
     """A narrow projection: stay date by format, the price object's amount, scrape time, hotel."""
     return docs.select(
         F.try_to_date("date", "yyyy-MM-dd").alias("date"),
-        F.when(holds_object(docs), price_object(docs)["amount"]).try_cast(PRICE).alias("cash_value_amount"),
+        F.when(holds_object(docs), object_amount(docs)).alias("cash_value_amount"),
         "created_at",
         "hotel_name_key",
     )

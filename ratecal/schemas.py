@@ -38,7 +38,6 @@ TEMPLATE_DOCUMENT = _struct(
     ("country_code", _text), ("telephone", _text), ("chain_rating", _text),
     ("created_at", _time),
 )
-PRICE_OBJECT = _struct(("amount", _text), ("currency", _text))
 
 # Raw tables, in output column order; the last four columns say where a row came from.
 LINEAGE = (("run_id", _text), ("input_table", _text), ("chunk_n", _int), ("extract_dt", _time))

@@ -102,6 +102,16 @@ def test_polymorphic_prices(spark, tmp_path):
     assert rows.columns[-4:] == ["run_id", "input_table", "chunk_n", "extract_dt"]
 
 
+def test_prices_stored_as_structs(spark):
+    docs = spark.createDataFrame(
+        [("1", ("12.5", "USD"), "2023-05-01"), ("2", None, "2023-05-01"), ("3", ("x", "USD"), "2023-05-01")],
+        "_id string, cash_value struct<amount:string,currency:string>, date string",
+    )
+    assert values(documents.clean_cash(docs), "_id", "cash_value", "currency") == [("1", Decimal("12.5000"), "USD"), ("3", None, "USD")]
+    assert quality.object_count(docs).first()[:] == (3, 2)
+    assert docs.filter(documents.price_amount(docs) > 1).count() == 1
+
+
 def test_points_need_a_value_and_a_date(spark, tmp_path):
     docs = nested(spark, tmp_path, [
         {"_id": "1", "points": 5000, "date": "2023-05-01"}, {"_id": "2", "date": "2023-05-01"},
