@@ -5,7 +5,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratecal.operators import asof, clean, sample
+from ratecal.operators import asof, clean, grid, sample
 from ratecal.operators.documents import clean_cash, clean_points, clean_templates, snapshot_dedupe
 from ratecal.operators.grid import OFFSETS
 from ratecal.schemas import HOTEL_CASH, HOTEL_POINTS, HOTEL_TEMPLATE
@@ -78,3 +78,25 @@ def build_sample(
     estimates = spark.read.parquet(f"{folder}/hotel_sample_est")
     overwrite(sample.final_sample(estimates, first, last, exclude), f"{folder}/hotel_sample", partition_by=("hotel_group",))
     return spark.read.parquet(f"{folder}/hotel_sample")
+
+
+# View names for SQL on top of the stored tables, and the table of the jobs each shows.
+VIEWS = {
+    "hotel_cash_raw": "hotel_cash",
+    "hotel_points_raw": "hotel_points",
+    "hotel_templates": "hotel_template_raw",
+    "hotel_cash": "hotel_cash_clean",
+    "hotel_points": "hotel_points_clean",
+    "hotel_sample_est": "hotel_sample_est",
+    "hotel_sample": "hotel_sample",
+}
+
+
+def create_views(spark: SparkSession, folder: str, start, end) -> None:
+    """Makes the stored tables, and the grid over them, available to `spark.sql`. `hotel` is the
+    dense grid, computed when asked for; `hotel_dense` has its priced cells only."""
+    for view, table in VIEWS.items():
+        spark.read.parquet(f"{folder}/{table}").createOrReplaceTempView(view)
+    quotes = spark.table("hotel_cash"), spark.table("hotel_points")
+    grid.dense_grid(*quotes, start, end).createOrReplaceTempView("hotel")
+    grid.observed_cells(*quotes, start, end).createOrReplaceTempView("hotel_dense")

@@ -56,6 +56,10 @@ def test_extract_then_build(spark, t, tmp_path):
         **reports.raw_reports(cash), **reports.redundancy_reports(cash), **reports.estimate_reports(est),
         **reports.grid_reports(clean_cash, clean_points, *SPINE),
     }
+    jobs.create_views(spark, folder, *SPINE)
+    sql = "SELECT hotel_group, sum(cash) / sum(points) * 100.0 FROM {} WHERE cash IS NOT NULL AND points IS NOT NULL GROUP BY 1 ORDER BY 1"
+    assert spark.sql(sql.format("hotel")).collect() == spark.sql(sql.format("hotel_dense")).collect()
+    assert spark.sql("SELECT count(*) FROM hotel").first()[0] == 181 * 365
     reports.export_reports(everything, f"{folder}/reports")
     weeks = spark.read.csv(f"{folder}/reports/week_weekday_fill", header=True)
     assert len(everything) == 21 and weeks.count() == 27  # one hotel, first to last week of the spine
