@@ -2,8 +2,8 @@
 
     python benchmarks/designs.py [folder] [quotes per stay to multiply by]
 
-Clean tables are written first, so only the operator is timed. The alternatives are also
-checked to give the same rows.
+Clean tables are written first, so only the operator is timed. The two ways to find
+neighbours are also checked to give the same rows; tests check the other pairs.
 """
 
 import sys
