@@ -1,5 +1,6 @@
 """Session settings the operators are written for."""
 
+import re
 import tempfile
 import uuid
 
@@ -32,14 +33,20 @@ def local_session(cpus="*", shuffle_partitions=8, memory="12g") -> SparkSession:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables: the shared one the session names in
-    `spark.checkpoint.dir`, else (a session that names none, as in tests) a new local one,
-    which is then set as the session's checkpoint directory."""
-    shared = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder for intermediate tables that the session names in `spark.checkpoint.dir`.
+
+    Only a local session, as in tests, may name none: it gets a new folder of its own, which is
+    then its checkpoint directory. Executors of a cluster could not read such a folder, so there a
+    missing setting is an error.
+    """
+    context = spark.sparkContext
+    shared = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not re.fullmatch(r"local(\[[^-].*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = tempfile.mkdtemp(prefix="ratecal-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared)
     return shared
 
 
