@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratecal.llm import bpe, extract, language, quality, toxicity, urls
+from ratecal.llm import bpe, extract, language, minhash, quality, toxicity, urls
 from ratecal.llm.ship import ship
 
 RULES = [
@@ -43,9 +43,16 @@ def op7_url_filter(spark, folder):
     return urls.judge(_table(spark, folder, "pages"), RULES)
 
 
+def op10_minhash_dedup(spark, folder):
+    return minhash.groups(_table(spark, folder, "documents"))
+
+
 LLM_QUERIES = {
     f.__name__: f
-    for f in (op1_quality_classifier, op3_html_extraction, op4_byte_bpe, op5_toxicity, op6_language_id, op7_url_filter)
-}
+    for f in (
+        op1_quality_classifier, op3_html_extraction, op4_byte_bpe, op5_toxicity, op6_language_id, op7_url_filter,
+        op10_minhash_dedup,
+    )
+}
 
 LLM_SQL = {}
