@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratecal.llm import bpe, extract, language, minhash, quality, toxicity, urls
+from ratecal.llm import bpe, extract, language, minhash, quality, toxicity, urls, vectors
 from ratecal.llm.ship import ship
 
 RULES = [
@@ -20,6 +20,10 @@ def op1_quality_classifier(spark, folder):
     return quality.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op2_embedding_dedup(spark, folder):
+    return vectors.groups(_table(spark, folder, "embeddings"))
+
+
 def op3_html_extraction(spark, folder):
     return extract.extract(_table(spark, folder, "pages"))
 
@@ -50,7 +54,7 @@ def op10_minhash_dedup(spark, folder):
 LLM_QUERIES = {
     f.__name__: f
     for f in (
-        op1_quality_classifier, op3_html_extraction, op4_byte_bpe, op5_toxicity, op6_language_id, op7_url_filter,
+        op1_quality_classifier, op2_embedding_dedup, op3_html_extraction, op4_byte_bpe, op5_toxicity, op6_language_id, op7_url_filter,
         op10_minhash_dedup,
     )
 }
