@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratecal.llm import bpe, extract, language, minhash, quality, toxicity, urls, vectors
+from ratecal.llm import bpe, extract, language, minhash, quality, templates, toxicity, urls, vectors
 from ratecal.llm.ship import ship
 
 RULES = [
@@ -47,6 +47,10 @@ def op7_url_filter(spark, folder):
     return urls.judge(_table(spark, folder, "pages"), RULES)
 
 
+def op8_template_decontamination(spark, folder):
+    return templates.matches(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op10_minhash_dedup(spark, folder):
     return minhash.groups(_table(spark, folder, "documents"))
 
@@ -55,7 +59,7 @@ LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_embedding_dedup, op3_html_extraction, op4_byte_bpe, op5_toxicity, op6_language_id, op7_url_filter,
-        op10_minhash_dedup,
+        op8_template_decontamination, op10_minhash_dedup,
     )
 }
 
