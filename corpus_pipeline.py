@@ -3,7 +3,7 @@ benchmark questions, and tokens. Every stage reads what its predecessor kept."""
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratecal.llm import bpe, language, toxicity
+from ratecal.llm import bpe, language, minhash, templates, toxicity
 from ratecal.llm.ship import ship
 from ratecal.session import new_folder
 
@@ -16,6 +16,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return language.accepted(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.deduplicated(docs)
+
+
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return templates.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -32,8 +40,11 @@ def _shipped(stage):
 
 STAGES = [
     (name, _shipped(stage))
-    for name, stage in (("toxicity", not_toxic), ("language", known_language), ("tokens", tokens))
-]
+    for name, stage in (
+        ("toxicity", not_toxic), ("language", known_language), ("near copies", near_copies),
+        ("benchmark", no_benchmark), ("tokens", tokens),
+    )
+]
 
 # Learned models decide in it; the stages are tested against brute force and held-out labels.
 ORACLE_SQL = None
