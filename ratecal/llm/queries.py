@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratecal.llm import bpe, extract, language, minhash, quality, templates, toxicity, urls, vectors
+from ratecal.llm import bpe, extract, language, lm, minhash, quality, templates, toxicity, urls, vectors
 from ratecal.llm.ship import ship
 
 RULES = [
@@ -51,6 +51,10 @@ def op8_template_decontamination(spark, folder):
     return templates.matches(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op9_pitman_yor_scores(spark, folder):
+    return lm.scores(_table(spark, folder, "documents"))
+
+
 def op10_minhash_dedup(spark, folder):
     return minhash.groups(_table(spark, folder, "documents"))
 
@@ -59,7 +63,7 @@ LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_embedding_dedup, op3_html_extraction, op4_byte_bpe, op5_toxicity, op6_language_id, op7_url_filter,
-        op8_template_decontamination, op10_minhash_dedup,
+        op8_template_decontamination, op9_pitman_yor_scores, op10_minhash_dedup,
     )
 }
 
