@@ -22,30 +22,10 @@ def newest(df: DataFrame, keys, *order: Column) -> DataFrame:
 def spread(df: DataFrame, *columns, width: int | None = None) -> DataFrame:
     """Hash-partition to a fixed width, by default the session's shuffle width, which adaptive
     execution leaves alone: it would merge partitions by their size before the rows in them
-    are multiplied."""
+    are multiplied. Jobs on large tables set that width (`spark.sql.shuffle.partitions`) or pass one."""
     return df.repartition(width or shuffle_width(df.sparkSession), *columns)
 
 
-def core_width(df: DataFrame) -> int:
-    """Two tasks per core, at most the shuffle width: to make many rows of few, busy cores are
-    enough, and each further task adds a block per partition of the shuffle that follows."""
-    spark = df.sparkSession
-    return min(shuffle_width(spark), 2 * spark.sparkContext.defaultParallelism)
-
-
-SMALL = 100_000  # rows that may be broadcast, of two short columns
-
-
-def broadcast_if_small(df: DataFrame, rows: int = SMALL) -> DataFrame:
-    """Marks a list for broadcast after counting that it has at most `rows` rows; a longer one
-    is left to Spark's own choice of join.
-
-    For lists Spark overestimates, such as a filtered or grouped table: it would shuffle the
-    large side of the join before it learns how short they are. Counting stops beyond `rows`.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the columns of `schema`, in its order: absent ones as typed NULLs, others
     dropped, and values that do not fit the type NULL."""

@@ -7,7 +7,6 @@ from ratecal.operators.grid import OFFSETS, in_spine, sample_base, sampled_days,
 from ratecal.schemas import CELL, PRICE, STAY
 
 EARLIER, LATER = "prev", "next"
-FEW_OFFSETS = 30  # cells per stay up to which quotes are held against each of them
 # names of the day-gap columns
 GAPS = {("cash", EARLIER): "cp_gap", ("cash", LATER): "cn_gap", ("points", EARLIER): "pp_gap", ("points", LATER): "pn_gap"}
 
@@ -77,13 +76,10 @@ def sample_estimates(cash: DataFrame, points: DataFrame, start, end, offsets=OFF
     """Sampled cells, their neighbours and estimates, from the clean tables at once. Equal to
     `interpolate(nearest_quotes(sample_base(..), ..))`.
 
-    With few cells per stay, no sorting is needed: every quote is held against each of its
-    stay's cells, and hash aggregation keeps the nearest on both sides. All of it happens
-    after the one shuffle by stay. With many cells per stay the steps are taken one by one.
+    No sorting is needed: every quote is held against each of its stay's cells, and hash
+    aggregation keeps the nearest on both sides. All of it happens after the one shuffle by
+    stay. The work is quotes x offsets; for hundreds of offsets the three steps are cheaper.
     """
-    if len(offsets) > FEW_OFFSETS:
-        base = sample_base(cash, points, start, end, offsets)
-        return _estimates(interpolate(nearest_quotes(base, cash, points)))
     rows = stays_and_quotes(cash, points, start, end, offsets)
     quoted = F.col("quoted")
     held = rows.withColumnRenamed("date_booked", "quoted").withColumn("date_booked", F.explode(sampled_days(offsets)))

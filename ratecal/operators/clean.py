@@ -3,14 +3,14 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratecal.functions.frames import broadcast_if_small, newest
+from ratecal.functions.frames import newest
 from ratecal.schemas import CELL
 
 
 def sampled_hotels(templates: DataFrame, city: str) -> DataFrame:
-    """The (group, id) pairs of one city's hotels, to be broadcast if they are few."""
-    hotels = templates.filter(F.col("slug_city") == city).select("hotel_group", "hotel_id").distinct()
-    return broadcast_if_small(hotels)
+    """The (group, id) pairs of one city's hotels. Whether they are broadcast is left to Spark, which
+    knows their size once they are computed."""
+    return templates.filter(F.col("slug_city") == city).select("hotel_group", "hotel_id").distinct()
 
 
 def clean_quotes(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecal.functions.calendar import date_literal
-from ratecal.functions.frames import core_width, spread
+from ratecal.functions.frames import spread
 from ratecal.schemas import CELL, GROUP, HOTEL, KEY, PRICE, STAY
 
 OFFSETS = (3, 7, 14, 30, 60, 90, 180)  # fixed values: days ahead that are sampled
@@ -29,7 +29,7 @@ def date_spine(bounds: DataFrame) -> DataFrame:
     """Every booking day from `start` to `end` with each stay date of the year that follows.
     `bounds` has those two columns, one row per spine."""
     days = bounds.select(F.explode(F.sequence("start", "end")).alias("date_booked"))
-    return spread(days, "date_booked", width=core_width(days)).select(
+    return spread(days, "date_booked").select(
         "date_booked", F.explode(F.sequence("date_booked", last_stay("date_booked"))).alias("date_stay")
     )
 
@@ -47,7 +47,7 @@ def hotel_calendar(hotels: DataFrame, first, last, name: str) -> DataFrame:
     """
     months = F.sequence(F.trunc(first, "month"), last, F.expr("INTERVAL 1 MONTH"))
     by_month = hotels.withColumn("_month", F.explode(months))
-    by_month = spread(by_month, *hotels.columns, "_month", width=core_width(hotels))
+    by_month = spread(by_month, *hotels.columns, "_month")
     days = F.sequence(F.greatest("_month", first), F.least(F.last_day("_month"), last))
     return by_month.select(*hotels.columns, F.explode(days).alias(name))
 

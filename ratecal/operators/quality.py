@@ -138,7 +138,7 @@ def repeat_rows(raw: DataFrame, key: str | None = None, stay=None) -> DataFrame:
     if stay is not None:
         rows = rows.filter(F.col("date") == date_literal(stay))
     numbered = number_rows(rows, list(_REPEATS), F.col("created_at").desc(), F.col("_id").desc())
-    return numbered.filter("rn > 1").drop("_day").orderBy(*HOTEL, "date", F.to_date("created_at"), "rn")
+    return numbered.filter("rn > 1").drop("_day")
 
 
 def fill_count(estimates: DataFrame) -> DataFrame:

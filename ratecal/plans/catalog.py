@@ -166,15 +166,19 @@ def clean_templates(t):
     return _templates(t).drop("run_id", "dt")
 
 
+def _live_and_archived(t, cash):
+    return {**_tagged(t, True, cash), **_tagged(t, False, cash)}
+
+
 @query
 def lineage(t):
-    return jobs.raw_rows(_tagged(t), "cash", 7, EXTRACTED)
+    return jobs.raw_rows(_live_and_archived(t, cash=True), "cash", 7, EXTRACTED)
 
 
 @query
 def append_table(t):
     folder = new_folder(t.spark)
-    rows = jobs.raw_rows(_tagged(t, cash=False), "points", 7, EXTRACTED)
+    rows = jobs.raw_rows(_live_and_archived(t, cash=False), "points", 7, EXTRACTED)
     tables.append(rows, folder, HOTEL_POINTS)
     return t.spark.read.schema(HOTEL_POINTS).parquet(folder)
 
@@ -189,18 +193,21 @@ def csv_export(t):
 
 @query
 def incremental_ingest(t):
-    """One live cash collection, ingested in two runs as its files arrive."""
-    spark, name = t.spark, f"hotel_calendar_cash_{GROUP_NAME}"
-    folder = new_folder(t.spark)
-    docs = t.collections()[name]
+    """All live collections of both kinds, ingested in two runs as their files arrive."""
+    spark, folder = t.spark, new_folder(t.spark)
     cut = F.col("created_at") < F.lit("2000-10-01")
-    for run_id, arriving in ((1, docs.filter(cut)), (2, docs.filter(~cut))):
-        arriving.write.mode("append").json(f"{folder}/documents")
-        incremental.ingest_new_files(
-            spark, f"{folder}/documents", f"{folder}/hotel_cash", f"{folder}/checkpoint", "cash", name, run_id, EXTRACTED
-        )
-    raw = incremental.read_raw(spark, f"{folder}/hotel_cash", HOTEL_CASH)
-    return raw.drop("chunk_n")
+    for kind in ("cash", "points"):
+        for name, docs in _tagged(t, archived=False, cash=kind == "cash").items():
+            for run_id, arriving in ((1, docs.filter(cut)), (2, docs.filter(~cut))):
+                arriving.write.mode("append").json(f"{folder}/documents/{name}")
+                incremental.ingest_new_files(
+                    spark, f"{folder}/documents/{name}", f"{folder}/{kind}", f"{folder}/checkpoint/{name}", kind, name, run_id, EXTRACTED
+                )
+    cash, points = incremental.read_raw(spark, f"{folder}/cash", HOTEL_CASH), incremental.read_raw(spark, f"{folder}/points", HOTEL_POINTS)
+    rows = cash.unionByName(points, allowMissingColumns=True)
+    return rows.select(
+        "input_table", "run_id", *HOTEL, "hotel_id", "date", "created_at", "_id", "cash_value", "points", "extract_dt"
+    )
 
 
 # Clean tables
@@ -268,6 +275,23 @@ def sparse_grid(t):
     return grid.sparse_grid(*_city_quotes(t), *SPINE)
 
 
+@query
+def sparse_summary(t):
+    """The sparse grid of all cities, per hotel."""
+    return grid.sparse_grid(*_all_quotes(t), *SPINE).groupBy(*HOTEL).agg(
+        F.count(F.lit(1)).alias("cells"), F.sum("booking_window").alias("windows"), F.sum("cash").alias("cash"), F.sum("points").alias("points")
+    )
+
+
+@query
+def nearest_summary(t):
+    """The quotes nearest to the sampled cells of all cities, per hotel."""
+    quotes = _all_quotes(t)
+    found = asof.nearest_quotes(grid.sample_base(*quotes, *SPINE), *quotes)
+    sums = ("cash_prev", "cash_next", "points_prev", "points_next", *asof.GAPS.values())
+    return found.groupBy(*HOTEL).agg(F.count(F.lit(1)).alias("cells"), *[F.sum(c).alias(c) for c in sums])
+
+
 @query
 def hotel_dense(t):
     return _cells(t)
@@ -282,12 +306,14 @@ def sample_base(t):
 
 @query
 def asof_prev(t):
-    return asof.nearest_quotes(_city_base(t), *_city_quotes(t), sides=(asof.EARLIER,))
+    quotes = _city_quotes(t)
+    return asof.nearest_quotes(grid.sample_base(*quotes, *SPINE), *quotes, sides=(asof.EARLIER,))
 
 
 @query
 def asof_next(t):
-    return asof.nearest_quotes(_city_base(t), *_city_quotes(t), sides=(asof.LATER,))
+    quotes = _city_quotes(t)
+    return asof.nearest_quotes(grid.sample_base(*quotes, *SPINE), *quotes, sides=(asof.LATER,))
 
 
 @query
@@ -396,7 +422,8 @@ def price_by_stay(t):
 
 @query
 def lead_time_price(t):
-    return quality.lead_time_price(t.cash_raw(), at_least=0)
+    """With fewer quotes asked of a stay than by default, as the test data has few of each."""
+    return quality.lead_time_price(t.cash_raw(), at_least=1)
 
 
 @query
@@ -404,9 +431,19 @@ def weekly_obs(t):
     return quality.weekly_counts(t.cash_raw(), *HOTEL)
 
 
+def _by_category(t):
+    """Clean quotes of the QA variant, its stay date under the raw table's name."""
+    return clean.cash_quotes_by_category(t.cash_raw())
+
+
+@query
+def weekly_obs_group(t):
+    return quality.weekly_counts(_by_category(t).filter(F.col("hotel_group") == GROUP_NAME))
+
+
 @query
 def daily_obs(t):
-    return quality.daily_counts(t.cash_raw(), GROUP_NAME)
+    return quality.daily_counts(_by_category(t), GROUP_NAME)
 
 
 @query
@@ -497,7 +534,7 @@ def key_span_city(t):
 
 @query
 def table_rows(t):
-    return quality.rows_per_collection(src.union_collections(_tagged(t, cash=False)))
+    return quality.rows_per_collection(src.union_collections(_live_and_archived(t, cash=False)))
 
 
 @query

@@ -264,7 +264,7 @@ stays AS (
     {_mean_cents('cash_value', 'extract(dow FROM created_at) BETWEEN 1 AND 4')} AS m_th,
     {_mean_cents('cash_value', 'extract(dow FROM created_at) NOT BETWEEN 1 AND 4')} AS f_su, count(*) AS n
   FROM quotes WHERE floor(epoch(CAST(date AS TIMESTAMP) - created_at) / 86400) BETWEEN 30 AND 60 AND cash_value > 0
-  GROUP BY 1, 2, 3 HAVING count(*) > 0
+  GROUP BY 1, 2, 3 HAVING count(*) > 1
 )"""
 
 
@@ -332,6 +332,7 @@ key_map AS (
 )"""
     keyed = "keyed AS (SELECT _id, hotel_group, nullif(hotel_name_key, '') AS hotel_name_key FROM quotes)"
     top_rated = "SELECT hotel_group, hotel_name_key FROM rated WHERE rating >= 5000"
+    by_category = _clean("cash", "cash_value", _USD, "hotel_group, hotel_name_key, award_category, date, day")
     return {
         # sources and ingest
         "scan_topn": _with(_QUOTES, _DOCS, f"""SELECT _id, hotel_group, hotel_name_key, city, date, created_at {city_docs}
@@ -353,23 +354,29 @@ WHERE created_at >= TIMESTAMP '1998-01-01' AND created_at < TIMESTAMP '1998-02-0
         "clean_cash": _with(_QUOTES, _DOCS, f"SELECT {_CASH_ROW} FROM docs WHERE is_object AND NOT bad_date"),
         "clean_points": _with(_QUOTES, _DOCS, f"SELECT {_POINTS_ROW} FROM docs WHERE points IS NOT NULL AND NOT bad_date"),
         "clean_templates": _with(_TEMPLATES.replace("\nseen", "seen", 1), "SELECT * FROM templates"),
-        "lineage": _with(_QUOTES, _DOCS, _ARCHIVED, _snapshots("archived", within="input_table,"), f"""SELECT {_CASH_ROW}, '7' AS run_id, input_table,
+        "lineage": _with(_QUOTES, _DOCS, """given AS (SELECT *, concat(age, 'hotel_calendar_cash_', hotel_group) AS input_table FROM docs)""",
+  _snapshots("given", within="input_table,"), f"""SELECT {_CASH_ROW}, '7' AS run_id, input_table,
   CAST(0 AS INTEGER) AS chunk_n, TIMESTAMP '2024-01-01' AS extract_dt FROM snapshots WHERE is_object AND NOT bad_date"""),
-        "append_table": _with(_QUOTES, _DOCS, """given AS (SELECT *, concat('archived_hotel_calendar_', hotel_group) AS input_table
-  FROM docs WHERE age = 'archived_' AND points IS NOT NULL)""", _snapshots("given", within="input_table,"), f"""SELECT {_POINTS_ROW}, '7' AS run_id, input_table,
+        "append_table": _with(_QUOTES, _DOCS, """given AS (SELECT *, concat(age, 'hotel_calendar_', hotel_group) AS input_table
+  FROM docs WHERE points IS NOT NULL)""", _snapshots("given", within="input_table,"), f"""SELECT {_POINTS_ROW}, '7' AS run_id, input_table,
   CAST(0 AS INTEGER) AS chunk_n, TIMESTAMP '2024-01-01' AS extract_dt FROM snapshots WHERE NOT bad_date"""),
         "csv_export": _with(_QUOTES, "SELECT hotel_group, city, count(*) AS n, min(created_at) AS min_dt, max(created_at) AS max_dt FROM quotes GROUP BY 1, 2"),
         "incremental_ingest": _with(_QUOTES, _DOCS, """arriving AS (
   SELECT *, CASE WHEN created_at < TIMESTAMP '2000-10-01' THEN '1' ELSE '2' END AS run_id FROM docs
-  WHERE age = '' AND hotel_group = 'europe')""", _snapshots("arriving", within="run_id,"), f"""SELECT {_CASH_ROW}, run_id, 'hotel_calendar_cash_europe' AS input_table,
-  TIMESTAMP '2024-01-01' AS extract_dt FROM snapshots WHERE is_object AND NOT bad_date"""),
+  WHERE age = ''), paid AS (SELECT * FROM arriving WHERE points IS NOT NULL)""",
+  _snapshots("arriving", "of_cash", "run_id, hotel_group,"), _snapshots("paid", "of_points", "run_id, hotel_group,"),
+  """rows AS (SELECT 'hotel_calendar_cash_' AS kind, kind AS kind_of_price, * EXCLUDE (kind) FROM of_cash WHERE is_object AND NOT bad_date
+  UNION ALL SELECT 'hotel_calendar_' AS kind, kind AS kind_of_price, * EXCLUDE (kind) FROM of_points WHERE NOT bad_date)""",
+  """SELECT concat(kind, hotel_group) AS input_table, run_id, hotel_group, hotel_name_key, hotel_id, stay AS date, created_at, _id,
+  CASE WHEN kind <> 'hotel_calendar_' AND kind_of_price = 'object' THEN CAST(cash_value AS DOUBLE) END AS cash_value,
+  CASE WHEN kind = 'hotel_calendar_' THEN CAST(points AS DOUBLE) END AS points, TIMESTAMP '2024-01-01' AS extract_dt FROM rows"""),
         # clean tables
         "cash_clean": _with(_CITY, """SELECT hotel_group, hotel_name_key, hotel_id, date_stay, date_booked, CAST(cash_value AS DOUBLE) AS cash,
   currency, created_at, _id FROM cash"""),
         "points_clean": _with(_CITY, "SELECT hotel_group, hotel_name_key, hotel_id, date_stay, date_booked, CAST(points AS DOUBLE) AS points, created_at, _id FROM points"),
         "cash_clean_v1": _with(_V1, f"SELECT {_FIRST_GEN}, CAST(cash_value AS DOUBLE) AS cash, currency, created_at, _id FROM cash"),
         "points_clean_v1": _with(_V1, f"SELECT {_FIRST_GEN}, CAST(points AS DOUBLE) AS points, created_at, _id FROM points"),
-        "cash_clean_by_category": _with(_QUOTES, _clean("cash", "cash_value", _USD, "hotel_group, hotel_name_key, award_category, date, day"),
+        "cash_clean_by_category": _with(_QUOTES, by_category,
             "SELECT hotel_group, hotel_name_key, city, date_stay, CAST(cash_value AS DOUBLE) AS cash, currency, created_at, award_category, _id FROM cash"),
         # grid
         "date_spine": """WITH bounds AS (SELECT CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b
@@ -387,6 +394,19 @@ SELECT date_booked, count(*) AS stays, min(date_stay) AS first_stay, max(date_st
   CAST(c.cash_value AS DOUBLE) AS cash, CAST(p.points AS DOUBLE) AS points
 FROM pairs LEFT JOIN cash c USING (hotel_group, hotel_name_key, date_stay, date_booked)
 LEFT JOIN points p USING (hotel_group, hotel_name_key, date_stay, date_booked)"""),
+        "sparse_summary": _with(_ALL, _BASE, """pairs AS (
+  SELECT hotel_group, hotel_name_key, date_stay, date_booked FROM base
+  UNION SELECT hotel_group, hotel_name_key, date_stay, date_booked FROM cash
+  UNION SELECT hotel_group, hotel_name_key, date_stay, date_booked FROM points
+)""", """SELECT hotel_group, hotel_name_key, count(*) AS cells, CAST(sum(date_stay - date_booked) AS BIGINT) AS windows,
+  CAST(sum(c.cash_value) AS DOUBLE) AS cash, CAST(sum(p.points) AS DOUBLE) AS points
+FROM pairs LEFT JOIN cash c USING (hotel_group, hotel_name_key, date_stay, date_booked)
+LEFT JOIN points p USING (hotel_group, hotel_name_key, date_stay, date_booked) GROUP BY 1, 2"""),
+        "nearest_summary": _with(_ALL, _BASE, _BOTH, """SELECT hotel_group, hotel_name_key, count(*) AS cells,
+  CAST(sum(cash_prev) AS DOUBLE) AS cash_prev, CAST(sum(cash_next) AS DOUBLE) AS cash_next,
+  CAST(sum(points_prev) AS DOUBLE) AS points_prev, CAST(sum(points_next) AS DOUBLE) AS points_next,
+  CAST(sum(cp_gap) AS BIGINT) AS cp_gap, CAST(sum(cn_gap) AS BIGINT) AS cn_gap, CAST(sum(pp_gap) AS BIGINT) AS pp_gap, CAST(sum(pn_gap) AS BIGINT) AS pn_gap
+FROM n4 GROUP BY 1, 2"""),
         "hotel_dense": _with(_ALL, _GRID, f"SELECT {_doubles('cash', 'points')} FROM grid WHERE cash IS NOT NULL OR points IS NOT NULL"),
         "sample_base": _with(_CITY, _BASE, f"SELECT {_doubles('cash', 'points')} FROM base"),
         # neighbours, estimates, sample
@@ -427,7 +447,8 @@ FROM quotes WHERE hotel_name_key = 'supplier-000000003' GROUP BY 1"""),
   CAST((2 * sum(f_su) + count(f_su)) // (2 * nullif(count(f_su), 0)) AS DOUBLE) / 100 AS f_su_cash,
   CAST(sum(n) AS BIGINT) AS n FROM stays GROUP BY 1, 2"""),
         "weekly_obs": _with(_QUOTES, "SELECT hotel_group, hotel_name_key, CAST(date_trunc('week', created_at) AS DATE) AS created_week, count(*) AS n FROM quotes GROUP BY 1, 2, 3"),
-        "daily_obs": _with(_QUOTES, "SELECT day AS created_date, count(*) AS n FROM quotes WHERE hotel_group = 'europe' GROUP BY 1"),
+        "daily_obs": _with(_QUOTES, by_category, "SELECT day AS created_date, count(*) AS n FROM cash WHERE hotel_group = 'europe' GROUP BY 1"),
+        "weekly_obs_group": _with(_QUOTES, by_category, "SELECT CAST(date_trunc('week', created_at) AS DATE) AS created_week, count(*) AS n FROM cash WHERE hotel_group = 'europe' GROUP BY 1"),
         "redundancy_group": _with(_QUOTES, _RANKED, """SELECT hotel_group, CAST(sum(CASE WHEN rn = 1 THEN 1 END) AS BIGINT) AS clean_count,
   count(*) AS total_count FROM ranked GROUP BY 1"""),
         "redundancy_hotel": _with(_QUOTES, _RANKED, """SELECT hotel_group, hotel_name_key, CAST(sum(CASE WHEN rn = 1 THEN 1 END) AS BIGINT) AS clean_count,
@@ -457,8 +478,8 @@ FROM quotes WHERE hotel_name_key = 'supplier-000000003' GROUP BY 1"""),
         "tuesday_scan": _with(_QUOTES, _DOCS, dated + " AND extract(dow FROM created_at) = 2"),
         "object_count": _with(_QUOTES, _DOCS, "SELECT count(*) AS n, count(*) FILTER (WHERE is_object) AS objects FROM docs"),
         "key_span_city": _with(_QUOTES, "SELECT hotel_name_key, city, max(created_at) AS most_recent, min(created_at) AS oldest, count(*) AS n FROM quotes WHERE city = 'nation_19' GROUP BY 1, 2"),
-        "table_rows": _with(_QUOTES, _DOCS, """SELECT concat('archived_hotel_calendar_', hotel_group) AS input_table, count(*) AS total_rows
-FROM docs WHERE age = 'archived_' AND points IS NOT NULL GROUP BY 1"""),
+        "table_rows": _with(_QUOTES, _DOCS, """SELECT concat(age, 'hotel_calendar_', hotel_group) AS input_table, count(*) AS total_rows
+FROM docs WHERE points IS NOT NULL GROUP BY 1"""),
         "spot_check": _with(_QUOTES, _DOCS, """SELECT _id, hotel_name_key, CAST(points AS DOUBLE) AS points, created_at FROM docs
 WHERE hotel_name_key = 'supplier-000000003' AND (kind <> 'missing' OR points IS NOT NULL)
   AND created_at BETWEEN TIMESTAMP '1998-01-01' AND TIMESTAMP '1999-01-01'"""),
@@ -470,9 +491,9 @@ WHERE hotel_name_key = 'supplier-000000003' AND (kind <> 'missing' OR points IS
         "value_group": _with(_ALL, _CELLS, _value("")),
         "value_month_booked": _with(_ALL, _CELLS, _value("CAST(date_trunc('month', date_booked) AS DATE) AS month_booked,")),
         "value_month_stay": _with(_ALL, _CELLS, _value("CAST(date_trunc('month', date_stay) AS DATE) AS month_stay,")),
-        "value_tier": _with(_ALL, _CELLS, """mean AS (SELECT hotel_group, hotel_name_key, CAST(sum(cash) AS DOUBLE) / count(cash) AS m FROM cells GROUP BY 1, 2)""",
-            """SELECT c.hotel_group, CASE WHEN CAST(cash AS DOUBLE) < CAST(0.9 AS DOUBLE) * m THEN 'low_demand'
-    WHEN CAST(cash AS DOUBLE) <= CAST(1.1 AS DOUBLE) * m THEN 'mid_demand' ELSE 'high_demand' END AS demand_tier,
+        "value_tier": _with(_ALL, _CELLS, """mean AS (SELECT hotel_group, hotel_name_key, sum(CAST(cash * 10000 AS HUGEINT)) AS s, count(cash) AS k FROM cells GROUP BY 1, 2)""",
+            """SELECT c.hotel_group, CASE WHEN 10 * k * CAST(cash * 10000 AS HUGEINT) < 9 * s THEN 'low_demand'
+    WHEN 10 * k * CAST(cash * 10000 AS HUGEINT) <= 11 * s THEN 'mid_demand' ELSE 'high_demand' END AS demand_tier,
   CAST(sum(cash) AS DOUBLE) / CAST(sum(points) AS DOUBLE) * 100.0 AS value_100_pts
 FROM cells c LEFT JOIN mean USING (hotel_group, hotel_name_key) WHERE cash IS NOT NULL AND points IS NOT NULL GROUP BY ALL"""),
         "value_window": _with(_ALL, _CELLS, _value("CAST(floor(booking_window / 30) AS BIGINT) AS months_in_advance,", ", count(*) AS n")),

@@ -53,7 +53,8 @@ def in_city(docs: DataFrame, city: str, spelling: Mapping[str, str] | None = Non
     wanted = F.lit(city)
     for group, name in (spelling or {}).items():
         wanted = F.when(F.col(GROUP) == group, name).otherwise(wanted)
-    return docs.filter(F.col("city") == wanted)
+    # the list of all spellings follows from it, and can be pushed to the scan
+    return docs.filter(F.col("city").isin(city, *(spelling or {}).values()) & (F.col("city") == wanted))
 
 
 def only_hotels(docs: DataFrame, hotels: DataFrame) -> DataFrame:

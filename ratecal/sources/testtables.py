@@ -24,24 +24,31 @@ class TestTables:
             self.table("supplier")
             .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(
-                F.col("s_suppkey").alias("l_suppkey"),
-                F.lower("r_name").alias("hotel_group"),
-                F.col("s_suppkey").cast("string").alias("hotel_id"),
-                F.col("s_name").alias("hotel_name"),
-                F.lower(F.replace("s_name", F.lit("#"), F.lit("-"))).alias("_key"),
-                F.lower("n_name").alias("city"),
-                F.col("s_acctbal").cast(PRICE).alias("review_rating"),
-            )
+            .select(F.col("s_suppkey").alias("l_suppkey"), *self._hotel_columns())
         )
 
+    @staticmethod
+    def _hotel_columns():
+        return [
+            F.lower("r_name").alias("hotel_group"),
+            F.col("s_suppkey").cast("string").alias("hotel_id"),
+            F.col("s_name").alias("hotel_name"),
+            F.lower(F.replace("s_name", F.lit("#"), F.lit("-"))).alias("_key"),
+            F.lower("n_name").alias("city"),
+            F.col("s_acctbal").cast(PRICE).alias("review_rating"),
+        ]
+
     def quotes(self) -> DataFrame:
         """Flat quotes. Each has a cash price; every other line of an order has points too."""
         part, line = F.col("l_partkey"), F.col("l_linenumber")
         return (
             self.table("lineitem")
             .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self.hotels(), "l_suppkey")
+            # one small table after the other: each is broadcast by its own file size, and quotes stay in place
+            .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
+            .select("*", *self._hotel_columns())
             .select(
                 F.concat_ws(
                     "-", F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), line.cast("string"),

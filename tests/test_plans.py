@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from ratecal.operators import asof, clean, grid
-from ratecal.plans.catalog import SPINE
+from ratecal.plans.catalog import QUERIES, SPINE
 from ratecal.sources import collections as src
 from ratecal.sources.testtables import TestTables
 
@@ -31,7 +31,7 @@ def stored(spark, tmp_path_factory):
     return {name: spark.read.parquet(f"{folder}/{name}") for name in ("raw", "cash", "points")}
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in ("append_table", "csv_export", "incremental_ingest", "dupe_rows")])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in ("append_table", "csv_export", "incremental_ingest", "dupe_rows")])
 def test_no_query_pairs_rows_without_keys(spark, name):
     plan = plan_of(entry.queries()[name](spark, FOLDER))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
