@@ -1,6 +1,7 @@
 """The two jobs: documents to raw tables, and raw tables to the analysis sample."""
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from ratecal.operators.documents import clean_cash, clean_points, clean_template
 from ratecal.operators.grid import OFFSETS
 from ratecal.schemas import HOTEL_CASH, HOTEL_POINTS, HOTEL_TEMPLATE
 from ratecal.sources.collections import union_collections, window_copy
-from ratecal.sources.tables import append, overwrite, start_run, with_lineage
+from ratecal.sources.tables import overwrite, read_table, start_run, with_lineage, write_run
 
 # First booking day of the grid, and the booking days of the final sample.
 SPINE_START = "2022-11-15"
@@ -25,23 +26,36 @@ def raw_rows(collections: Mapping[str, DataFrame], kind: str, run_id, extract_dt
 
 
 def extract_quotes(
-    spark: SparkSession, cash: Mapping[str, DataFrame], points: Mapping[str, DataFrame], folder: str, extract_dt, prefix=""
+    spark: SparkSession,
+    cash: Mapping[str, DataFrame],
+    points: Mapping[str, DataFrame],
+    folder: str,
+    extract_dt,
+    prefix="",
+    ids_unique=False,
+    run_id: int | None = None,
 ) -> int:
-    """Appends cash and points collections to the raw tables under a new run number."""
-    run_id = start_run(spark, f"{folder}/{prefix}run", "extract_quotes", f"prefix={prefix}")
-    append(raw_rows(cash, "cash", run_id, extract_dt), f"{folder}/{prefix}hotel_cash", HOTEL_CASH)
-    append(raw_rows(points, "points", run_id, extract_dt), f"{folder}/{prefix}hotel_points", HOTEL_POINTS)
+    """Adds cash and points collections to the raw tables under a new run number, or again under that
+    of a run that failed half-way: what it had stored is replaced. `ids_unique` says that the
+    collections hold each `_id` once, as a document store sees to."""
+    if run_id is None:
+        run_id = start_run(spark, f"{folder}/{prefix}run", "extract_quotes", f"prefix={prefix}")
+    for kind, collections, schema in (("cash", cash, HOTEL_CASH), ("points", points, HOTEL_POINTS)):
+        rows = raw_rows(collections, kind, run_id, extract_dt, ids_unique)
+        write_run(rows, f"{folder}/{prefix}hotel_{kind}", schema, run_id)
     return run_id
 
 
-def extract_templates(spark: SparkSession, collections: Mapping[str, DataFrame], folder: str, extract_dt, prefix="") -> int:
-    """Appends hotel descriptions; here the run and extraction time columns are `run_id` and `dt`."""
-    run_id = start_run(spark, f"{folder}/{prefix}run", "extract_templates")
-    for docs in collections.values():
-        rows = clean_templates(docs).withColumns(
-            {"run_id": F.lit(run_id), "dt": F.lit(extract_dt).cast("timestamp_ntz")}
-        )
-        append(rows, f"{folder}/{prefix}hotel_template_raw", HOTEL_TEMPLATE)
+def extract_templates(
+    spark: SparkSession, collections: Mapping[str, DataFrame], folder: str, extract_dt, prefix="", run_id: int | None = None
+) -> int:
+    """Adds hotel descriptions of all collections; here the run and extraction time columns are
+    `run_id` and `dt`."""
+    if run_id is None:
+        run_id = start_run(spark, f"{folder}/{prefix}run", "extract_templates")
+    rows = reduce(DataFrame.unionByName, [clean_templates(docs) for docs in collections.values()])
+    rows = rows.withColumns({"run_id": F.lit(run_id), "dt": F.lit(extract_dt).cast("timestamp_ntz")})
+    write_run(rows, f"{folder}/{prefix}hotel_template_raw", HOTEL_TEMPLATE, run_id)
     return run_id
 
 
@@ -80,11 +94,13 @@ def build_sample(
     return spark.read.parquet(f"{folder}/hotel_sample")
 
 
+RAW_VIEWS = {
+    "hotel_cash_raw": ("hotel_cash", HOTEL_CASH),
+    "hotel_points_raw": ("hotel_points", HOTEL_POINTS),
+    "hotel_templates": ("hotel_template_raw", HOTEL_TEMPLATE),
+}
 # View names for SQL on top of the stored tables, and the table of the jobs each shows.
 VIEWS = {
-    "hotel_cash_raw": "hotel_cash",
-    "hotel_points_raw": "hotel_points",
-    "hotel_templates": "hotel_template_raw",
     "hotel_cash": "hotel_cash_clean",
     "hotel_points": "hotel_points_clean",
     "hotel_sample_est": "hotel_sample_est",
@@ -95,6 +111,8 @@ VIEWS = {
 def create_views(spark: SparkSession, folder: str, start, end) -> None:
     """Makes the stored tables, and the grid over them, available to `spark.sql`. `hotel` is the
     dense grid, computed when asked for; `hotel_dense` has its priced cells only."""
+    for view, (table, schema) in RAW_VIEWS.items():
+        read_table(spark, f"{folder}/{table}", schema).createOrReplaceTempView(view)
     for view, table in VIEWS.items():
         spark.read.parquet(f"{folder}/{table}").createOrReplaceTempView(view)
     quotes = spark.table("hotel_cash"), spark.table("hotel_points")

@@ -31,6 +31,17 @@ def append(df: DataFrame, path: str | None, schema: T.StructType, format="parque
     conform(df, schema).write.format(format).mode("append").partitionBy(*partition_by).options(**options).save(path)
 
 
+def write_run(df: DataFrame, path: str, schema: T.StructType, run_id) -> None:
+    """Stores what one run adds to a table, in a folder of its own: a run that is repeated replaces
+    its rows and touches no others."""
+    conform(df, schema).write.mode("overwrite").parquet(f"{path}/run={run_id}")
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table of runs, in its declared columns."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def overwrite(df: DataFrame, path: str | None, format="parquet", partition_by=(), **options) -> None:
     """Replaces a table by the rows of a query."""
     df.write.format(format).mode("overwrite").partitionBy(*partition_by).options(**options).save(path)

@@ -32,6 +32,7 @@ def ingest_new_files(
     run_id,
     extract_dt,
     files_per_chunk: int | None = None,
+    ids_unique=False,
     format: str = "json",
     **options,
 ) -> None:
@@ -53,7 +54,7 @@ def ingest_new_files(
         tagged = docs.withColumns(
             {"hotel_group": F.substring_index(F.lit(input_table), "_", -1), "input_table": F.lit(input_table)}
         )
-        rows = with_lineage(clean(snapshot_dedupe(tagged)), run_id, input_table, chunk, extract_dt)
+        rows = with_lineage(clean(snapshot_dedupe(tagged, ids_unique=ids_unique)), run_id, input_table, chunk, extract_dt)
         stream = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
         folder = f"{target}/source={input_table}/stream={stream}/chunk={chunk}"
         conform(rows, columns).write.mode("overwrite").parquet(folder)

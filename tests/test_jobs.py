@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from ratecal.operators import asof, clean, documents, quality, sample
 from ratecal.plans import jobs, reports
@@ -34,10 +35,15 @@ def test_extract_then_build(spark, t, tmp_path):
     runs = spark.read.schema(RUN).parquet(f"{folder}/run")
     assert values(runs, "run_id", "run_name") == [(1, "extract_quotes"), (2, "extract_templates")]
 
-    cash, points = (spark.read.parquet(f"{folder}/{n}") for n in ("hotel_cash", "hotel_points"))
+    cash, points, templates = (
+        tables.read_table(spark, f"{folder}/{n}", s)
+        for n, s in (("hotel_cash", HOTEL_CASH), ("hotel_points", HOTEL_POINTS), ("hotel_template_raw", HOTEL_TEMPLATE))
+    )
+    # every declared column is stored, and nothing besides but the run's folder
+    assert set(spark.read.parquet(f"{folder}/hotel_cash").columns) == {*HOTEL_CASH.names, "run"}
     assert cash.schema.names == HOTEL_CASH.names and points.schema.names == HOTEL_POINTS.names
-    templates = spark.read.parquet(f"{folder}/hotel_template_raw")
     assert templates.schema.names == HOTEL_TEMPLATE.names
+    assert cash.count() > 0 and points.count() > 0 and templates.count() > 0
     assert quality.duplicate_ids(templates).count() == 0
 
     built = jobs.build_sample(cash, points, templates, folder, "nation_19", SPINE[1], SPINE[0], "1998-02-01", "1998-05-31")
@@ -131,6 +137,48 @@ def test_ingest_in_parts_equals_ingest_at_once(spark, tmp_path):
     assert read_raw(spark, str(tmp_path / "twice" / "raw"), HOTEL_CASH).count() == before
 
 
+def test_new_checkpoint_and_repeated_chunk(spark, tmp_path):
+    """A second stream into the same table keeps the rows of the first; a chunk that is written again
+    replaces itself."""
+    def docs(numbers):
+        return [{"_id": f"{i:03d}", "hotel_id": str(i), "hotel_name_key": f"k{i}", "date": "2023-05-01",
+                 "cash_value": {"amount": 100, "currency": "USD"}, "created_at": "2023-01-01T00:00:00"} for i in numbers]
+
+    def ingest(part, check, numbers, run):
+        folder = tmp_path / part
+        folder.mkdir(exist_ok=True)
+        for d in docs(numbers):
+            (folder / f"{d['_id']}.json").write_text(json.dumps(d))
+        ingest_new_files(spark, str(folder), str(tmp_path / "raw"), str(tmp_path / check), "cash", "hotel_calendar_cash_g", run, "2024-01-01 00:00:00")
+        return read_raw(spark, str(tmp_path / "raw"), HOTEL_CASH, "hotel_calendar_cash_g").count()
+
+    assert ingest("one", "check1", range(5), 1) == 5
+    assert ingest("two", "check2", range(5, 8), 2) == 8
+    # as after a failure between the write and the commit: the chunk comes again, in a run of another number
+    for commit in (tmp_path / "check2" / "commits").iterdir():
+        commit.unlink()
+    assert ingest("two", "check2", (), 3) == 8
+    assert read_raw(spark, str(tmp_path / "raw"), HOTEL_CASH, "hotel_calendar_cash_x").count() == 0
+
+
+def test_parquet_stream(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "h", "k", "2023-05-01", '{"amount": 5, "currency": "USD"}')], "_id string, hotel_id string, hotel_name_key string, date string, cash_value string")
+    rows.withColumn("created_at", F.lit("2023-01-01 00:00:00").cast("timestamp_ntz")).write.parquet(str(tmp_path / "docs"))
+    ingest_new_files(spark, str(tmp_path / "docs"), str(tmp_path / "raw"), str(tmp_path / "check"), "cash", "hotel_calendar_cash_g", 1,
+                     "2024-01-01 00:00:00", format="parquet", pathGlobFilter="*.parquet")
+    assert values(read_raw(spark, str(tmp_path / "raw"), HOTEL_CASH), "_id", "hotel_group") == [("1", "g")]
+
+
+def test_repeated_extraction(spark, t, tmp_path):
+    folder = str(tmp_path)
+    run = lambda **more: jobs.extract_quotes(spark, chosen(t, True), chosen(t, False), folder, "2024-01-01 00:00:00", **more)
+    count = lambda: tables.read_table(spark, f"{folder}/hotel_cash", HOTEL_CASH).count()
+    assert run() == 1
+    once = count()
+    assert run(run_id=1) == 1 and count() == once
+    assert run(ids_unique=True) == 2 and count() >= 2 * once
+
+
 def test_cleaned_documents_match_the_raw_rows(t):
     rows = documents.clean_cash(t.documents())
     assert rows.schema.names == HOTEL_CASH.names
