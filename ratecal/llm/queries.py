@@ -67,4 +67,51 @@ LLM_QUERIES = {
     )
 }
 
-LLM_SQL = {}
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+# components of `links` (a, b) over `nodes` (id), by walking from every node
+_REACH = """reach AS (
+  SELECT id AS a, id AS b FROM nodes
+  UNION SELECT r.a, l.b FROM reach r JOIN (SELECT a, b FROM links UNION ALL SELECT b, a FROM links) l ON r.b = l.a
+), part AS (SELECT a AS id, min(b) AS component_id FROM reach GROUP BY 1)"""
+
+LLM_SQL = {
+    "op2_embedding_dedup": f"""WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.vec_id < q.vec_id AND len(p.e) = len(q.e)
+  WHERE list_cosine_similarity(p.e, q.e) >= 0.9
+), nodes AS (SELECT vec_id AS id FROM embeddings), {_REACH},
+degree AS (SELECT id, count(*) AS n FROM (SELECT a AS id FROM links UNION ALL SELECT b FROM links) GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN part p ON p.id = vec_id LEFT JOIN degree d ON d.id = vec_id""",
+    # The given pages hold no redirects or canonical links: a page without a rule is allowed, and one
+    # with a link has no answer here.
+    "op7_url_filter": f"""WITH parts AS (
+  SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), {_LOWER}) AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages
+), rules(verdict, h, p) AS (VALUES {", ".join(str(r) for r in RULES)}
+), fits AS (
+  SELECT page_id, host, path, html, max_by(h || p, length(h || p)) AS rule, max_by(verdict, length(h || p)) AS ruling
+  FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY ALL
+)
+SELECT page_id, host, path, rule, coalesce(ruling, CASE WHEN NOT regexp_matches(coalesce(html, ''),
+  '(?is)<link[^>]*canonical|<meta[^>]*http-equiv[^>]*refresh') THEN 'allow' END) AS verdict FROM fits""",
+    "op10_minhash_dedup": f"""WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 3
+      THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM words
+), sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+shingles AS (SELECT doc_id, unnest(s) AS x FROM sets),
+links AS (
+  SELECT p.doc_id AS a, q.doc_id AS b FROM shingles p JOIN shingles q ON p.x = q.x AND p.doc_id < q.doc_id
+  JOIN sizes m ON m.doc_id = p.doc_id JOIN sizes k ON k.doc_id = q.doc_id
+  GROUP BY 1, 2, m.n, k.n HAVING 100 * count(*) >= 85 * (m.n + k.n - count(*))
+), nodes AS (SELECT doc_id AS id FROM documents), {_REACH}
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sizes JOIN part ON id = doc_id""",
+}

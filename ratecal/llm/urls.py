@@ -73,7 +73,9 @@ def links(pages: DataFrame) -> DataFrame:
     )
     # an attribute's character reference for the ampersand is the only one that URLs commonly hold
     target = F.replace(target, F.lit("&amp;"), F.lit("&"))
-    return tagged.select("url", _absolute(F.col("url"), target).alias("target")).filter(F.length("target") > 0)
+    # each step is kept apart from the next, which uses its result many times
+    found = tagged.select("url", F.explode(F.filter(F.array(target), lambda x: F.length(x) > 0)).alias("link"))
+    return found.select("url", _absolute(F.col("url"), F.col("link")).alias("target")).distinct()
 
 
 def judge(pages: DataFrame, rules, more_links: DataFrame | None = None) -> DataFrame:
