@@ -146,6 +146,25 @@ def add_columns(df, text, fields, score):
     return kept.mapInArrow(run, schema)
 
 
+def grouped(batches, keys):
+    """Each group of rows that agree in `keys` (numbers), as a table; rows of a group lie together, and a
+    group may span batches."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch[k].to_numpy() for k in keys])
+        cuts = (np.flatnonzero((np.diff(values, axis=1) != 0).any(axis=0)) + 1).tolist()
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            part = batch.slice(a, b - a)
+            if held and any(held[0][k][0] != part[k][0] for k in keys):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def to_arrow(kind):
     from pyspark.sql import types as T
 

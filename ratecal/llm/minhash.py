@@ -21,22 +21,25 @@ from ratecal.session import new_folder
 
 @dataclass(frozen=True)
 class Settings:
-    """`words`: of a shingle; `percent`: least similarity; `bands` x `rows`: MinHash samples; `size`: bits
-    of a sketch, a multiple of 64; `slack`: by how much an estimate may fall short of the least
-    similarity and still be compared (over four standard errors)."""
+    """`words`: of a shingle; `percent`: least similarity; `bands` x `rows`: MinHash samples for the keys;
+    `samples`: all of them, for the sketch; `size`: bits of a sketch, a multiple of 64; `slack`: by how
+    much an estimate may fall short of the least similarity and still be compared (over four standard
+    errors of 0.02); `block`: documents that one task compares with the others of a bucket."""
 
     words: int = 3
     percent: int = 85
     bands: int = 24
     rows: int = 5
-    size: int = 512
-    slack: float = 0.15
+    samples: int = 360
+    size: int = 1024
+    slack: float = 0.09
+    block: int = 1024
     seed: int = 3
 
     @property
     def differing(self) -> int:
         """Most bits in which the sketches of candidates differ."""
-        samples = 2 * self.bands * self.rows * (1 - self.percent / 100 + self.slack)
+        samples = 2 * self.samples * (1 - self.percent / 100 + self.slack)
         return math.ceil(self.size / 2 * (1 - (1 - 2 / self.size) ** samples))
 
 
@@ -74,7 +77,7 @@ def _samples(found, factor, shift):
 def sketches(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, n (size of the set), high and low (a hash of the set), bands and odd for each row."""
     random = np.random.default_rng(settings.seed)
-    samples = settings.bands * settings.rows
+    samples = settings.samples
     factor = random.integers(1 << 32, size=samples, dtype=np.uint32) | np.uint32(1)
     shift = random.integers(1 << 32, size=samples, dtype=np.uint32)
     row_factor = random.integers(1 << 63, size=(settings.bands, settings.rows), dtype=np.uint64) | np.uint64(1)
@@ -95,7 +98,8 @@ def sketches(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                         odd.append(None)
                         continue
                     least = _samples(found, factor, shift)
-                    rows = (least.reshape(settings.bands, -1).astype(np.uint64) * row_factor).sum(axis=1)
+                    rows = least[: settings.bands * settings.rows].reshape(settings.bands, -1)
+                    rows = (rows.astype(np.uint64) * row_factor).sum(axis=1)
                     keys.append(chars.mix(rows + chars.mix(band)).view(np.int64))
                     place = (chars.mix(which + least) % np.uint64(settings.size)).astype(np.int64)
                     flips = np.bincount(place, minlength=settings.size) & 1
@@ -150,6 +154,51 @@ def _alike(settings):
     return (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * settings.percent) & (differ <= settings.differing)
 
 
+def _across(members, look, parts, settings, closest) -> DataFrame:
+    """Pairs a, b of a bucket's documents in different components that sizes and sketches allow to be
+    linked: of each document that is not in the component of its bucket's smallest, all of them or the
+    `closest` one. Buckets within one component have none.
+
+    A bucket's left-over documents are split into blocks, each of which meets all others of the
+    bucket in a task of its own; the sketches are compared there, in numpy, and only pairs leave it.
+    """
+    label = parts.select(F.col("node").alias("doc_id"), F.col("component").alias("part"))
+    placed = members.join(label, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
+    hub = label.select(F.col("doc_id").alias("hub"), F.col("part").alias("hub_part"))
+    placed = placed.join(hub, "hub", "left").withColumn("apart", F.col("part") != F.coalesce("hub_part", "hub"))
+    blocks = F.ceil(F.count_if("apart") / settings.block).cast("long").alias("blocks")
+    mixed = placed.groupBy("key").agg(blocks).filter("blocks > 0")
+    placed = placed.join(mixed, "key").join(look, "doc_id").select("key", "doc_id", "part", "n", "odd", "apart", "blocks").checkpoint()
+    left = placed.filter("apart").withColumns({"side": F.lit(1), "block": F.pmod(F.xxhash64("doc_id"), F.col("blocks"))})
+    others = placed.withColumns({"side": F.lit(0), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))})
+    rows = left.unionByName(others).select("key", "block", "side", "doc_id", "part", "n", "odd")
+
+    def pairs(t):
+        side, ids, part, n = (t[c].to_numpy() for c in ("side", "doc_id", "part", "n"))
+        odd = t["odd"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
+        x, y = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+        step = max(1, (1 << 22) // max(1, len(y) * odd.shape[1]))
+        for at in range(0, len(x), step):
+            i = x[at : at + step]
+            differ = np.bitwise_count(odd[i][:, None, :] ^ odd[y]).sum(axis=2, dtype=np.int64)
+            small, large = np.minimum.outer(n[i], n[y]), np.maximum.outer(n[i], n[y])
+            may = (part[i][:, None] != part[y]) & (small * 100 >= large * settings.percent) & (differ <= settings.differing)
+            if closest:
+                best = np.where(may, differ, 1 << 30).argmin(axis=1)
+                only = np.zeros_like(may)
+                only[np.arange(len(i)), best] = True
+                may &= only
+            a, b = np.nonzero(may)
+            yield np.maximum(ids[i[a]], ids[y[b]]), np.minimum(ids[i[a]], ids[y[b]])
+
+    def run(batches):
+        for t in chars.grouped(batches, ("key", "block")):
+            for a, b in pairs(t):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return rows.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(run, "a long, b long")
+
+
 def groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs`.
 
@@ -159,9 +208,10 @@ def groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     component of its own text.
 
     Equal sets are one class, so thousands of copies cost as much as one. In each bucket of a band
-    every class is compared with the smallest one; only classes that this leaves in different
-    components are then compared with each other. A bucket of near copies thus takes as many
-    comparisons as it has classes, and no link between components is missed.
+    every class is compared with the smallest one. Those that this leaves in other components are
+    compared with the class that their sketch is closest to, and whoever is left then, with all that
+    sketches allow. So a bucket of near copies takes about as many full comparisons as it has
+    classes, and no link between components is missed.
     """
     spark = docs.sparkSession
     where = new_folder(spark)
@@ -189,21 +239,11 @@ def groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     links = _confirm(docs, pairs, settings).checkpoint()
     parts = components(links)
 
-    # buckets that still hold several components: whoever is not in that of the hub against all others
-    label = parts.select(F.col("node").alias("doc_id"), F.col("component").alias("part"))
-    placed = members.join(label, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
-    hub_part = label.select(F.col("doc_id").alias("hub"), F.col("part").alias("hub_part"))
-    placed = placed.join(hub_part, "hub", "left").withColumn("hub_part", F.coalesce("hub_part", "hub"))
-    placed = placed.join(look, "doc_id").checkpoint()
-    apart = placed.filter("part <> hub_part").select("key", "doc_id", "part", "n", "odd")
-    others = placed.join(apart.select("key").distinct(), "key", "left_semi").select(
-        "key", F.col("doc_id").alias("id2"), F.col("part").alias("part2"), F.col("n").alias("n2"), F.col("odd").alias("odd2"), "hub"
-    )
-    more = apart.join(others, "key").filter((F.col("part") != F.col("part2")) & (F.col("id2") != F.col("hub")) & _alike(settings))
-    more = more.select(F.greatest("doc_id", "id2").alias("a"), F.least("doc_id", "id2").alias("b")).distinct().checkpoint()
-    more = _confirm(docs, more, settings)
-    stars = parts.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    parts = components(stars.union(more))
+    for closest in (True, False):
+        more = _across(members, look, parts, settings, closest).distinct().checkpoint()
+        more = _confirm(docs, more, settings).checkpoint()
+        stars = parts.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        parts = components(stars.union(more))
 
     own = table.select("doc_id", F.col("n").alias("n_shingles"), "high", "low").join(
         classes.withColumnRenamed("n", "n_shingles"), ["high", "low", "n_shingles"], "left"
@@ -215,7 +255,8 @@ def groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of `docs`, all columns as they are, of one document of each group: that of the
-    smallest id. Of repeated rows of one id one stays; rows without an id all stay."""
+    smallest id. Repeated rows of an id stay or go together: they go if the text of one of them is a
+    copy. Rows without an id stay."""
     copies = groups(docs, settings).filter("NOT kept").select(F.col("doc_id").alias("_copy")).distinct()
     kept = docs.join(copies, F.col("doc_id").cast("long") == F.col("_copy"), "left_anti")
     return kept

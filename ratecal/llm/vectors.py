@@ -167,29 +167,11 @@ def _linked(members: DataFrame, settings: Settings) -> DataFrame:
     bucket, lie together in a partition.
     """
 
-    def groups_of(batches):
-        """Each group in turn; a group may span batches."""
-        held = []
-        for batch in batches:
-            k = np.stack([batch.column(c).to_numpy() for c in range(3)])
-            if not k.shape[1]:
-                continue
-            cuts = np.flatnonzero((np.diff(k, axis=1) != 0).any(axis=0)) + 1
-            parts = [batch.slice(a, b - a) for a, b in zip([0, *cuts], [*cuts, batch.num_rows])]
-            for part in parts:
-                if held and any(held[0].column(c)[0] != part.column(c)[0] for c in range(3)):
-                    yield held
-                    held = []
-                held.append(part)
-        if held:
-            yield held
-
     def run(batches):
         links, done = Links(), 0
-        for parts in groups_of(batches):
-            if sum(p.num_rows for p in parts) < 2:
+        for t in chars.grouped(batches, ("key", "i", "j")):
+            if t.num_rows < 2:
                 continue
-            t = pa.Table.from_batches(parts)
             key, i, j = (t[c][0].as_py() for c in range(3))
             ids, sizes, block = t["vec_id"].to_numpy(), t["size"].to_numpy(), t["block"].to_numpy()
             unit = np.frombuffer(b"".join(t["unit"].to_pylist())).reshape(len(ids), -1)
