@@ -2,8 +2,9 @@
 
 A document's MinHash samples give band keys, and each sample flips one bit of its odd sketch. The
 bits in which two sketches differ tell how many samples differ, so candidates of a band are
-compared by XOR and a count of bits; those that may be similar enough are compared on their
-full sets of shingles.
+compared by XOR and a count of bits. A second odd sketch, of the shingles themselves, never
+differs in more bits than the sets in elements: for sets that are not much larger than it, hardly
+any pair passes that is not similar enough. Those that pass are compared on their full sets.
 """
 
 import math
@@ -22,9 +23,10 @@ from ratecal.session import new_folder
 @dataclass(frozen=True)
 class Settings:
     """`words`: of a shingle; `percent`: least similarity; `bands` x `rows`: MinHash samples for the keys;
-    `samples`: all of them, for the sketch; `size`: bits of a sketch, a multiple of 64; `slack`: by how
-    much an estimate may fall short of the least similarity and still be compared (over four standard
-    errors of 0.02); `block`: documents that one task compares with the others of a bucket."""
+    `samples`: all of them, for their sketch; `size` and `whole`: bits of the sketches of samples and
+    shingles, multiples of 64; `slack`: by how much an estimate from samples may fall short of the
+    least similarity and still be compared (over four standard errors of 0.02); `block`: documents
+    that one task compares with the others of a bucket."""
 
     words: int = 3
     percent: int = 85
@@ -32,6 +34,7 @@ class Settings:
     rows: int = 5
     samples: int = 360
     size: int = 1024
+    whole: int = 2048
     slack: float = 0.09
     block: int = 1024
     seed: int = 3
@@ -74,8 +77,15 @@ def _samples(found, factor, shift):
     return least
 
 
+def _parities(hashes, size):
+    """One bit for each number below `size`: whether an odd count of hashes falls there."""
+    flips = np.bincount((hashes % np.uint64(size)).astype(np.int64), minlength=size) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 def sketches(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, n (size of the set), high and low (a hash of the set), bands and odd for each row."""
+    """doc_id, n (size of the set), high and low (a hash of the set), bands and both sketches, odd and
+    whole, for each row."""
     random = np.random.default_rng(settings.seed)
     samples = settings.samples
     factor = random.integers(1 << 32, size=samples, dtype=np.uint32) | np.uint32(1)
@@ -87,7 +97,7 @@ def sketches(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     def run(batches):
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            n, high, low, keys, odd = [], [], [], [], []
+            n, high, low, keys, odd, whole = [], [], [], [], [], []
             for a, b in chars.chunks(texts):
                 for found in shingle_sets(texts[a:b], settings.words):
                     n.append(len(found))
@@ -96,24 +106,25 @@ def sketches(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                     if not len(found):
                         keys.append(None)
                         odd.append(None)
+                        whole.append(None)
                         continue
                     least = _samples(found, factor, shift)
                     rows = least[: settings.bands * settings.rows].reshape(settings.bands, -1)
                     rows = (rows.astype(np.uint64) * row_factor).sum(axis=1)
                     keys.append(chars.mix(rows + chars.mix(band)).view(np.int64))
-                    place = (chars.mix(which + least) % np.uint64(settings.size)).astype(np.int64)
-                    flips = np.bincount(place, minlength=settings.size) & 1
-                    odd.append(np.packbits(flips.astype(np.uint8)).view(np.int64))
+                    odd.append(_parities(chars.mix(which + least), settings.size))
+                    whole.append(_parities(found, settings.whole))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(n, type=pa.int64()), pa.array(high, type=pa.int64()), pa.array(low, type=pa.int64()),
                     pa.array(keys, type=pa.list_(pa.int64())), pa.array(odd, type=pa.list_(pa.int64())),
+                    pa.array(whole, type=pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n", "high", "low", "bands", "odd"],
+                names=["doc_id", "n", "high", "low", "bands", "odd", "whole"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n long, high long, low long, bands array<long>, odd array<long>")
+    return rows.mapInArrow(run, "doc_id long, n long, high long, low long, bands array<long>, odd array<long>, whole array<long>")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
@@ -149,9 +160,16 @@ def _confirm(docs, pairs, settings):
 
 
 def _alike(settings):
-    """Condition on two candidates (columns n, odd and n2, odd2): sizes and sketches allow the least similarity."""
-    differ = F.aggregate(F.zip_with("odd", "odd2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    return (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * settings.percent) & (differ <= settings.differing)
+    """Condition on two candidates (columns n, odd, whole and n2, odd2, whole2): sizes and sketches allow
+    the least similarity. Similar enough sets differ in at most (100 - percent) / (100 + percent) of the
+    elements that both have together."""
+
+    def differ(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+
+    sizes = F.least("n", "n2") * 100 >= F.greatest("n", "n2") * settings.percent
+    elements = differ("whole", "whole2") * (100 + settings.percent) <= (F.col("n") + F.col("n2")) * (100 - settings.percent)
+    return sizes & elements & (differ("odd", "odd2") <= settings.differing)
 
 
 def _across(members, look, parts, settings, closest) -> DataFrame:
@@ -168,21 +186,22 @@ def _across(members, look, parts, settings, closest) -> DataFrame:
     placed = placed.join(hub, "hub", "left").withColumn("apart", F.col("part") != F.coalesce("hub_part", "hub"))
     blocks = F.ceil(F.count_if("apart") / settings.block).cast("long").alias("blocks")
     mixed = placed.groupBy("key").agg(blocks).filter("blocks > 0")
-    placed = placed.join(mixed, "key").join(look, "doc_id").select("key", "doc_id", "part", "n", "odd", "apart", "blocks").checkpoint()
+    placed = placed.join(mixed, "key").join(look, "doc_id").select("key", "doc_id", "part", "n", "odd", "whole", "apart", "blocks").checkpoint()
     left = placed.filter("apart").withColumns({"side": F.lit(1), "block": F.pmod(F.xxhash64("doc_id"), F.col("blocks"))})
     others = placed.withColumns({"side": F.lit(0), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))})
-    rows = left.unionByName(others).select("key", "block", "side", "doc_id", "part", "n", "odd")
+    rows = left.unionByName(others).select("key", "block", "side", "doc_id", "part", "n", "odd", "whole")
 
     def pairs(t):
         side, ids, part, n = (t[c].to_numpy() for c in ("side", "doc_id", "part", "n"))
-        odd = t["odd"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
+        odd, whole = (t[c].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1) for c in ("odd", "whole"))
         x, y = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
-        step = max(1, (1 << 22) // max(1, len(y) * odd.shape[1]))
+        step = max(1, (1 << 22) // max(1, len(y) * (odd.shape[1] + whole.shape[1])))
         for at in range(0, len(x), step):
             i = x[at : at + step]
-            differ = np.bitwise_count(odd[i][:, None, :] ^ odd[y]).sum(axis=2, dtype=np.int64)
+            differ, elements = (np.bitwise_count(s[i][:, None, :] ^ s[y]).sum(axis=2, dtype=np.int64) for s in (odd, whole))
             small, large = np.minimum.outer(n[i], n[y]), np.maximum.outer(n[i], n[y])
             may = (part[i][:, None] != part[y]) & (small * 100 >= large * settings.percent) & (differ <= settings.differing)
+            may &= elements * (100 + settings.percent) <= np.add.outer(n[i], n[y]) * (100 - settings.percent)
             if closest:
                 best = np.where(may, differ, 1 << 30).argmin(axis=1)
                 only = np.zeros_like(may)
@@ -220,12 +239,12 @@ def groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     filled = table.filter("n > 0 AND doc_id IS NOT NULL")
     classes = filled.groupBy("high", "low", "n").agg(F.min("doc_id").alias("class"))
-    first = filled.select("doc_id", "n", "high", "low", "bands", "odd").join(
+    first = filled.select("doc_id", "n", "high", "low", "bands", "odd", "whole").join(
         classes.select(F.col("class").alias("doc_id"), "high", "low", "n"), ["doc_id", "high", "low", "n"], "left_semi"
     )
     # a repeated row of the smallest id has the same set and is dropped with it
-    first = first.dropDuplicates(["doc_id", "high", "low", "n"]).select("doc_id", "n", "odd", "bands").checkpoint()
-    look = first.select("doc_id", "n", "odd")
+    first = first.dropDuplicates(["doc_id", "high", "low", "n"]).select("doc_id", "n", "odd", "whole", "bands").checkpoint()
+    look = first.select("doc_id", "n", "odd", "whole")
 
     keyed = first.select("doc_id", F.explode("bands").alias("key"))
     hubs = keyed.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count("*").alias("m")).filter("m > 1").drop("m")
@@ -233,7 +252,7 @@ def groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     pairs = members.filter("doc_id <> hub").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
     pairs = pairs.join(look.withColumnRenamed("doc_id", "a"), "a").join(
-        look.select(F.col("doc_id").alias("b"), F.col("n").alias("n2"), F.col("odd").alias("odd2")), "b"
+        look.select(F.col("doc_id").alias("b"), F.col("n").alias("n2"), F.col("odd").alias("odd2"), F.col("whole").alias("whole2")), "b"
     )
     pairs = pairs.filter(_alike(settings)).select("a", "b").checkpoint()
     links = _confirm(docs, pairs, settings).checkpoint()
