@@ -52,6 +52,7 @@ def _hash_words(words):
 
 
 NUMBER, NAME, UNIT = (np.uint64(x) for x in (0x9D3F1A5B77C2E4A1, 0xC1B2A3948576E5D3, 0xE7A95D3C1B2F4687))
+EXACT, BACK, ON = (np.uint64(x) for x in (0x8F14E45FCEEA167A, 0xA87FF679A2F3E71D, 0xE4DA3B7FBBCE2345))
 
 
 class Templates:
@@ -82,33 +83,52 @@ class Templates:
         self.slot, self.plain_slot = number | name | unit, number | unit
 
     def windows(self, settings):
-        """(window hash, first token, typed with names) of every window within one text."""
-        n = settings.window
+        """(window hash, first token, slots of the text's tokens) of every window within one text.
+
+        A window of too few literal tokens, as within a list of numbers, says little as a template. It
+        is taken by its literal values (no slots), and as a template together with the tokens back to
+        the nearest enough literal ones, and on to the next ones.
+        """
+        n, least = settings.window, settings.literal
         size = len(self.literal) - n + 1
         if size <= 0:
             return
+        first = np.repeat(self.cuts[:-1], np.diff(self.cuts))[:size]
         last = np.repeat(self.cuts[1:], np.diff(self.cuts))[:size]
         inside = np.arange(size) + n <= last
-        factors = chars.mix(np.arange(11, 11 + n, dtype=np.uint64)) | np.uint64(1)
+        differs = np.concatenate([[0], np.cumsum(self.slot != self.plain_slot)])
         for tokens, slot, named in ((self.typed, self.slot, True), (self.plain, self.plain_slot, False)):
-            value, literal = np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=np.int64)
-            for k in range(n):
-                value += tokens[k : k + size] * factors[k]
-                literal += ~slot[k : k + size]
-            usable = inside & (literal >= settings.literal)
-            if not named:  # only where names make a difference
-                differs = np.concatenate([[0], np.cumsum(self.slot != self.plain_slot)])
-                usable &= differs[n:] > differs[:-n]
-            at = np.flatnonzero(usable)
-            yield chars.mix(value[at]).view(np.int64), at, named
+            upto = np.concatenate([[0], np.cumsum(~slot)])
+            literal = upto[n:] - upto[:-n]
+            # with names as they are: only where names make a difference
+            at = np.flatnonzero(inside & (literal >= least) & (named | (differs[n:] > differs[:-n])))
+            yield self._hash(tokens, at, n), at, slot
+            few = np.flatnonzero(inside & (literal < least))
+            if named:
+                yield chars.mix(self._hash(self.literal, few, n).view(np.uint64) ^ EXACT).view(np.int64), few, np.zeros_like(slot)
+            places = np.flatnonzero(~slot)
+            k = upto[few + n] - least
+            at, start = few[k >= 0], places[k[k >= 0]]
+            far = (start >= first[at]) & (named | (differs[at + n] > differs[start]))
+            at, start = at[far], start[far]
+            yield chars.mix(chars.segment_hashes(tokens, start, at + n) ^ BACK).view(np.int64), at, slot
+            k = upto[few] + least - 1
+            at, end = few[k < len(places)], places[k[k < len(places)]] + 1
+            far = (end <= last[at]) & (named | (differs[end] > differs[at]))
+            at, end = at[far], end[far]
+            yield chars.mix(chars.segment_hashes(tokens, at, end) ^ ON).view(np.int64), at, slot
+
+    def _hash(self, tokens, at, n):
+        factors = chars.mix(np.arange(11, 11 + n, dtype=np.uint64)) | np.uint64(1)
+        return chars.mix((tokens[at[:, None] + np.arange(n)] * factors).sum(axis=1, dtype=np.uint64)).view(np.int64)
 
     def owner(self, at):
         return np.searchsorted(self.cuts, at, side="right") - 1
 
-    def values(self, at, named, n):
-        """Hashes of the literal tokens of a window in its slots, 0 elsewhere."""
-        slot = self.slot if named else self.plain_slot
-        return np.where(slot[at : at + n], self.literal[at : at + n], np.uint64(0)).view(np.int64)
+    def values(self, at, slot, n):
+        """Hashes of the literal tokens of each window in its slots, 0 elsewhere."""
+        where = at[:, None] + np.arange(n)
+        return np.where(slot[where], self.literal[where], np.uint64(0)).view(np.int64)
 
 
 STOPS = np.array([ord(c) for c in ".!?:;\n\r\"“”«»()[]¿¡•|"], dtype=np.uint32)
@@ -124,16 +144,17 @@ def _found(rows: DataFrame, key: str, settings: Settings, keep=None) -> DataFram
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in chars.chunks(texts):
                 t = Templates(texts[a:b])
-                for window, at, named in t.windows(settings):
+                for window, at, slot in t.windows(settings):
                     if keep is not None:
                         may = bits.member(keep.value, window)
                         window, at = window[may], at[may]
                     owner = t.owner(at)
-                    slots = [t.values(p, named, settings.window) for p in at]
+                    slots = t.values(at, slot, settings.window)
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(pa.array(owner + a)), pa.array(window), pa.array(at - t.cuts[owner]),
-                            pa.array(np.diff(t.cuts)[owner]), pa.array(slots, type=pa.list_(pa.int64())),
+                            pa.array(np.diff(t.cuts)[owner]),
+                            pa.ListArray.from_arrays(np.arange(0, slots.size + 1, settings.window, dtype=np.int32), slots.ravel()),
                         ],
                         names=[key, "window", "place", "tokens", "slots"],
                     )

@@ -219,6 +219,17 @@ def test_slots_must_agree(spark):
     assert found[1] == 19 and found[2] < 19
 
 
+def test_items_of_few_literal_tokens(spark):
+    items = ["What is the mean of 4 8 15 16 23 42", "What is 3 + 4 + 5 + 6 + 7 + 8", "Compute 12 * 7 - 3 + 45 / 9", "3 + 4 + 9 + 8 + 7 equals which number"]
+    docs = [f"Now some text. {t}. More of it." for t in items] + items
+    docs += ["What is the mean of 5 9 17 18 24 43", "so what is 9 + 8 + 7 + 6 + 5 + 4 then", "1 + 2 + 3 + 4 + 5 equals which number"]
+    others = ["Compute 11 * 6 - 2 + 44 / 8", "1 2 3 4 5 6 7 8 9 10 11 12", "What is 3 + 4 then", "the mean of 4 8 is 6"]
+    frame = spark.createDataFrame(list(enumerate(docs + others)), "doc_id long, text string")
+    found = templates.matches(frame, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    expected = {(i, i % 4) for i in range(8)} | {(8, 0), (9, 1), (10, 3)}
+    assert {(r.doc_id, r.item_id) for r in found} == expected and all(r.coverage == 1 for r in found)
+
+
 def test_benchmark_passages_in_documents(spark):
     """All items of which a document has nearly all plain windows are found, and no others."""
     docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
