@@ -2,16 +2,18 @@
 
 Numbers, names and units become typed placeholders, so a question with other values has the same
 template. Windows of five tokens are hashed and joined with those of the benchmark; where they
-hold placeholders, an item's value must stand for one value throughout a document, as it does in
-a question with new parameters, and windows that contradict it do not count.
+hold placeholders, an item's value must stand for one value, as it does in a question with new
+parameters, and windows that contradict it do not count. What the values stand for is taken from
+one occurrence of the item in a document at a time, and the best one counts.
 """
 
+import zlib
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratecal.llm import bits, chars
@@ -136,7 +138,8 @@ STOPS = np.array([ord(c) for c in ".!?:;\n\r\"“”«»()[]¿¡•|"], dtype=np
 
 def _found(rows: DataFrame, key: str, settings: Settings, keep=None) -> DataFrame:
     """(key, window, place, tokens, slots) of the windows of each text: all, or those that may be in the
-    bitmap `keep`. `place` counts tokens, `tokens` is the number in the text."""
+    bitmap `keep`. `place` counts tokens, `tokens` is the number in the text. Places of different texts
+    among those that `keep` is for lie far apart, as an id may have several."""
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -144,6 +147,9 @@ def _found(rows: DataFrame, key: str, settings: Settings, keep=None) -> DataFram
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for a, b in chars.chunks(texts):
                 t = Templates(texts[a:b])
+                far = np.zeros(b - a, dtype=np.int64)
+                if keep is not None:
+                    far[:] = [zlib.crc32(x.encode("utf-8", "surrogatepass")) >> 2 << 32 for x in texts[a:b]]
                 for window, at, slot in t.windows(settings):
                     if keep is not None:
                         may = bits.member(keep.value, window)
@@ -152,7 +158,7 @@ def _found(rows: DataFrame, key: str, settings: Settings, keep=None) -> DataFram
                     slots = t.values(at, slot, settings.window)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch.column(0).take(pa.array(owner + a)), pa.array(window), pa.array(at - t.cuts[owner]),
+                            batch.column(0).take(pa.array(owner + a)), pa.array(window), pa.array(at - t.cuts[owner] + far[owner]),
                             pa.array(np.diff(t.cuts)[owner]),
                             pa.ListArray.from_arrays(np.arange(0, slots.size + 1, settings.window, dtype=np.int32), slots.ravel()),
                         ],
@@ -162,6 +168,104 @@ def _found(rows: DataFrame, key: str, settings: Settings, keep=None) -> DataFram
     return rows.select(key, "text").mapInArrow(run, f"{key} {kind}, window long, place long, tokens long, slots array<long>")
 
 
+class Hits:
+    """Windows that a document and an item have in common. Each has the item's and the document's slots
+    (`theirs`, `ours`), and its places in the item and in the document."""
+
+    def __init__(self, hits, tokens, window):
+        self.tokens, self.window = tokens, window
+        theirs, ours = (np.array([h[k] for h in hits], dtype=np.int64) for k in ("item_slots", "slots"))
+        self.q, self.p = ([np.array(h[k], dtype=np.int64) for h in hits] for k in ("item_places", "places"))
+        typed = theirs != 0
+        names, at = np.unique(theirs[typed], return_inverse=True)
+        self.x = np.full(theirs.shape, -1)
+        self.x[typed] = at
+        self.n = len(names)
+        self.y = np.unique(ours, return_inverse=True)[1].reshape(ours.shape)  # in the order of the values
+        self.typed = typed.any(axis=1)
+
+    def covered(self, which):
+        """Tokens of the item in these windows."""
+        steps = np.zeros(self.tokens + 1, dtype=np.int64)
+        if len(which):
+            q = np.concatenate([self.q[r] for r in which])
+            np.add.at(steps, q, 1)
+            np.add.at(steps, q + self.window, -1)
+        return int(np.count_nonzero(np.cumsum(steps)))
+
+    def agree(self, meaning, rows=slice(None)):
+        """Windows without a slot that stands for something else."""
+        x, y = self.x[rows], self.y[rows]
+        known = meaning[x]
+        return ((x < 0) | (known < 0) | (known == y)).all(axis=1)
+
+    def common(self, rows, times):
+        """For each x its most frequent y, the smallest of several."""
+        x, y = self.x[rows], self.y[rows]
+        pairs, at = np.unique(np.stack([x[x >= 0], y[x >= 0]]), axis=1, return_inverse=True)
+        count = np.bincount(at.ravel(), weights=np.broadcast_to(times[:, None], x.shape)[x >= 0])
+        order = np.lexsort((pairs[1], -count, pairs[0]))
+        first = order[np.unique(pairs[0][order], return_index=True)[1]]
+        return pairs[0][first], pairs[1][first], count[first]
+
+    def whole(self):
+        """What values stand for in most windows of the document."""
+        meaning = np.full(self.n, -1)
+        rows = np.flatnonzero(self.typed)
+        x, y, _ = self.common(rows, np.array([len(self.q[r]) for r in rows]))
+        meaning[x] = y
+        return meaning
+
+    def occurrences(self):
+        """What values stand for in each run of windows that lie as far from each other as in the item, those
+        of most windows first; where tokens were put in or left out, in the nearest other windows too."""
+        rows = np.flatnonzero(self.typed)
+        shifts = [(self.p[r][:, None] - self.q[r]).ravel() for r in rows]
+        row, shift = np.repeat(rows, [len(s) for s in shifts]), np.concatenate(shifts)
+        order = np.argsort(shift, kind="stable")
+        row, shift = row[order], shift[order]
+        start = np.flatnonzero(np.diff(shift, prepend=shift[0] - 1))
+        end = np.append(start[1:], len(shift))
+        for k in np.argsort(start - end, kind="stable"):
+            meaning = np.full(self.n, -1)
+            own = row[start[k] : end[k]]
+            while True:  # the most frequent value first, then those that go with it
+                own = own[self.agree(meaning, own) & ((self.x[own] >= 0) & (meaning[self.x[own]] < 0)).any(axis=1)]
+                if not len(own):
+                    break
+                x, y, count = self.common(own, np.ones(len(own)))
+                open_ = meaning[x] < 0
+                best = np.flatnonzero(open_)[count[open_].argmax()]
+                meaning[x[best]] = y[best]
+            near = slice(*np.searchsorted(shift, [shift[start[k]] - self.tokens, shift[start[k]] + self.tokens + 1]))
+            others = row[near][np.argsort(np.abs(shift[near] - shift[start[k]]), kind="stable")]
+            while (meaning < 0).any():
+                others = others[self.agree(meaning, others) & ((self.x[others] >= 0) & (meaning[self.x[others]] < 0)).any(axis=1)]
+                if not len(others):
+                    break
+                x, y = self.x[others[0]], self.y[others[0]]
+                meaning[x[x >= 0]] = y[x >= 0]
+            yield meaning
+
+    def best(self, least):
+        """The most tokens of the item in windows that agree with each other; 0 if below `least`."""
+        every = self.covered(range(len(self.q)))
+        if every < least or not self.typed.any():
+            return every if every >= least else 0
+        whole = self.whole()
+        found = self.covered(np.flatnonzero(self.agree(whole)))
+        seen = set()
+        if found < every:
+            for meaning in self.occurrences():
+                meaning = np.where(meaning < 0, whole, meaning)
+                if meaning.tobytes() not in seen:
+                    seen.add(meaning.tobytes())
+                    found = max(found, self.covered(np.flatnonzero(self.agree(meaning))))
+                    if found == every:
+                        break
+        return found
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, item_id, covered, tokens, coverage for each document that has at least `coverage` of the
     tokens of a benchmark item in common windows.
@@ -169,36 +273,41 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
     Empty and NULL texts, and items of fewer tokens than a window, match nothing; rows without an id
     are left out. Repeated rows of an id are judged as one, by the windows of all of them.
 
+    A document may hold an item more than once, with other values each time. Coverage is the best over
+    what the values stand for in each occurrence, and in most windows of the document; windows
+    anywhere in it count if they agree with that.
+
     A bitmap of fixed size holds the benchmark's windows, so of all windows of the documents only
     those that may be the benchmark's leave their task; a hash join with the windows decides.
     """
     items = _found(benchmark.filter("item_id IS NOT NULL"), "item_id", settings).checkpoint()
     keep = docs.sparkSession.sparkContext.broadcast(bits.bitmap(items.select("window")))
-    found = _found(docs.filter("doc_id IS NOT NULL"), "doc_id", settings, keep).select("doc_id", "window", "slots").distinct()
-    theirs = items.withColumnRenamed("slots", "item_slots").distinct()
-    hits = found.join(theirs, "window")
-
-    # the value that stands for an item's value in most windows of a document
-    typed = F.exists("item_slots", lambda s: s != 0)
-    pairs = hits.filter(typed).select(
-        "doc_id", "item_id", "window", "place", F.explode(F.arrays_zip(F.col("item_slots").alias("x"), F.col("slots").alias("y"))).alias("v")
-    )
-    pairs = pairs.select("doc_id", "item_id", "window", "place", "v.x", "v.y").filter("x <> 0")
-    counts = pairs.groupBy("doc_id", "item_id", "x", "y").count()
-    best = Window.partitionBy("doc_id", "item_id", "x").orderBy(F.desc("count"), "y")
-    chosen = counts.withColumn("r", F.row_number().over(best)).filter("r = 1").groupBy("doc_id", "item_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("x", "y"))).alias("meaning")
+    found = _found(docs.filter("doc_id IS NOT NULL"), "doc_id", settings, keep)
+    found = found.groupBy("doc_id", "window", "slots").agg(F.collect_set("place").alias("places"))
+    theirs = items.withColumnRenamed("slots", "item_slots").groupBy("item_id", "tokens", "window", "item_slots").agg(
+        F.collect_set("place").alias("item_places")
     )
-    hits = hits.join(chosen, ["doc_id", "item_id"], "left")
-    agrees = F.forall(
-        F.arrays_zip(F.col("item_slots").alias("x"), F.col("slots").alias("y")),
-        lambda v: (v["x"] == 0) | (F.element_at("meaning", v["x"]) == v["y"]),
+    hits = found.join(theirs, "window").groupBy("doc_id", "item_id", "tokens").agg(
+        F.collect_list(F.struct("item_slots", "slots", "item_places", "places")).alias("hits")
     )
-    hits = hits.filter(~typed | agrees)
-    tokens = F.flatten(F.transform(F.collect_set("place"), lambda p: F.sequence(p, p + settings.window - 1)))
-    covered = hits.groupBy("doc_id", "item_id", "tokens").agg(F.size(F.array_distinct(tokens)).cast("long").alias("covered"))
+
+    def run(batches):
+        for batch in batches:
+            covered = [
+                Hits(h, n, settings.window).best(settings.coverage * n)
+                for h, n in zip(batch.column(3).to_pylist(), batch.column(2).to_pylist())
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(covered, type=pa.int64()), batch.column(2)],
+                names=["doc_id", "item_id", "covered", "tokens"],
+            )
+
+    kinds = [hits.schema[k].dataType.simpleString() for k in ("doc_id", "item_id")]
+    covered = hits.mapInArrow(run, "doc_id {}, item_id {}, covered long, tokens long".format(*kinds))
     share = F.col("covered") / F.col("tokens")
-    return covered.select("doc_id", "item_id", "covered", "tokens", share.alias("coverage")).filter(F.col("coverage") >= settings.coverage)
+    return covered.select("doc_id", "item_id", "covered", "tokens", share.alias("coverage")).filter(
+        (F.col("covered") > 0) & (F.col("coverage") >= settings.coverage)
+    )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:

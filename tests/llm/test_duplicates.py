@@ -219,6 +219,23 @@ def test_slots_must_agree(spark):
     assert found[1] == 19 and found[2] < 19
 
 
+def test_a_copy_beside_variants(spark):
+    """An item's values are taken from one occurrence, not from several mixed."""
+    item, variant, third = (
+        "Add {} red and {} blue then {} green or {} white plus {} old and {} new ones in {} large bags".format(*values)
+        for values in ((3, 14, 8, 25, 6, 90, 7), (5, 11, 9, 31, 2, 80, 4), (7, 12, 4, 38, 1, 70, 5))
+    )
+    longer = item.replace("8 green", "8 very green")
+    docs = [
+        (1, f"{item}. {variant}."), (2, f"{variant}. {item}."), (3, f"{variant}. {third}. {variant}. {third}."), (4, f"{third} {longer} {variant}"),
+        (5, " ".join(f"{n}) {t}" for n, t in enumerate([variant, third, item] * 300))),
+        (6, variant), (6, third),
+    ]
+    found = templates.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    covered = {r.doc_id: r.covered for r in found}
+    assert covered == {k: 23 for k in (1, 2, 3, 5, 6)} | {4: covered.get(4)} and covered[4] >= 19
+
+
 def test_items_of_few_literal_tokens(spark):
     items = ["What is the mean of 4 8 15 16 23 42", "What is 3 + 4 + 5 + 6 + 7 + 8", "Compute 12 * 7 - 3 + 45 / 9", "3 + 4 + 9 + 8 + 7 equals which number"]
     docs = [f"Now some text. {t}. More of it." for t in items] + items
