@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecal.llm import bits, chars
@@ -26,7 +26,7 @@ class Settings:
     `samples`: all of them, for their sketch; `size` and `whole`: bits of the sketches of samples and
     shingles, multiples of 64; `slack`: by how much an estimate from samples may fall short of the
     least similarity and still be compared (over four standard errors of 0.02); `block`: documents
-    that one task compares with the others of a bucket."""
+    of a bucket that are compared with as many others at a time."""
 
     words: int = 3
     percent: int = 85
@@ -172,50 +172,91 @@ def _alike(settings):
     return sizes & elements & (differ("odd", "odd2") <= settings.differing)
 
 
+def _blocks(members, look, parts, settings) -> DataFrame:
+    """key, i, j, block, apart, doc_id, part, n, odd, whole: the members of blocks i and j of a bucket lie
+    together, for every two blocks that hold different components. `apart`: not in the bucket's largest.
+
+    A component of at least `block` members has blocks of its own, which never meet each other;
+    smaller ones share blocks. So a large component beside a few other documents is copied once for
+    each block of these, whatever its ids.
+    """
+    label = parts.select(F.col("node").alias("doc_id"), F.col("component").alias("part"))
+    placed = members.select("key", "doc_id").join(label, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
+    count = lambda c: F.ceil(c / settings.block).cast("long")
+    sizes = placed.groupBy("key", "part").agg(F.count("*").alias("c"))
+    large = F.col("c") >= settings.block
+    buckets = sizes.groupBy("key").agg(
+        F.count("*").alias("parts"), F.max(F.struct("c", "part"))["part"].alias("largest"),
+        count(F.coalesce(F.sum(F.when(~large, F.col("c"))), F.lit(0))).alias("shared"),
+        F.coalesce(F.sum(F.when(large, count(F.col("c")))), F.lit(0)).alias("own"),
+    ).filter("parts > 1")
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    own = sizes.filter(large).withColumn("blocks", count(F.col("c")))
+    own = own.withColumn("first", F.coalesce(F.sum("blocks").over(before), F.lit(0))).select("key", "part", "blocks", "first")
+    spots = sizes.select("key", "part").join(buckets, "key").join(own, ["key", "part"], "left")
+    first = F.col("shared") + F.col("first")
+    spots = spots.select("key", "part", "largest", "shared", "blocks", first.alias("first"), (F.col("shared") + F.col("own")).alias("all"))
+    mine = F.when(F.col("blocks").isNull(), F.pmod(F.xxhash64("part", "key"), F.col("shared"))).otherwise(
+        F.col("first") + F.pmod(F.xxhash64("doc_id", "key"), F.col("blocks"))
+    )
+    meets = F.filter(
+        F.sequence(F.lit(0).cast("long"), F.col("all") - 1),
+        lambda k: F.col("blocks").isNull() | (k < F.col("first")) | (k >= F.col("first") + F.col("blocks")),
+    )
+    rows = placed.join(spots, ["key", "part"]).select(
+        "key", "doc_id", "part", (F.col("part") != F.col("largest")).alias("apart"), mine.alias("block"), meets.alias("meets")
+    )
+    rows = rows.join(look, "doc_id").withColumn("other", F.explode("meets"))
+    i, j = F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    return rows.select("key", i, j, "block", "apart", "doc_id", "part", "n", "odd", "whole")
+
+
 def _across(members, look, parts, settings, closest) -> DataFrame:
     """Pairs a, b of a bucket's documents in different components that sizes and sketches allow to be
-    linked: of each document that is not in the component of its bucket's smallest, all of them or the
+    linked: of each document that is not in its bucket's largest component, all of them or the
     `closest` one. Buckets within one component have none.
 
-    A bucket's left-over documents are split into blocks, each of which meets all others of the
-    bucket in a task of its own; the sketches are compared there, in numpy, and only pairs leave it.
+    Each two blocks of a bucket meet in a task of their own; the sketches are compared there, in
+    numpy, and only pairs leave it.
     """
-    label = parts.select(F.col("node").alias("doc_id"), F.col("component").alias("part"))
-    placed = members.join(label, "doc_id", "left").withColumn("part", F.coalesce("part", "doc_id"))
-    hub = label.select(F.col("doc_id").alias("hub"), F.col("part").alias("hub_part"))
-    placed = placed.join(hub, "hub", "left").withColumn("apart", F.col("part") != F.coalesce("hub_part", "hub"))
-    blocks = F.ceil(F.count_if("apart") / settings.block).cast("long").alias("blocks")
-    mixed = placed.groupBy("key").agg(blocks).filter("blocks > 0")
-    placed = placed.join(mixed, "key").join(look, "doc_id").select("key", "doc_id", "part", "n", "odd", "whole", "apart", "blocks").checkpoint()
-    left = placed.filter("apart").withColumns({"side": F.lit(1), "block": F.pmod(F.xxhash64("doc_id"), F.col("blocks"))})
-    others = placed.withColumns({"side": F.lit(0), "block": F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))})
-    rows = left.unionByName(others).select("key", "block", "side", "doc_id", "part", "n", "odd", "whole")
 
     def pairs(t):
-        side, ids, part, n = (t[c].to_numpy() for c in ("side", "doc_id", "part", "n"))
+        block, apart, ids, part, n = (t[c].to_numpy() for c in ("block", "apart", "doc_id", "part", "n"))
+        key, i, j = (t[c][0].as_py() for c in ("key", "i", "j"))
         odd, whole = (t[c].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1) for c in ("odd", "whole"))
-        x, y = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+        x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
         step = max(1, (1 << 22) // max(1, len(y) * (odd.shape[1] + whole.shape[1])))
         for at in range(0, len(x), step):
-            i = x[at : at + step]
-            differ, elements = (np.bitwise_count(s[i][:, None, :] ^ s[y]).sum(axis=2, dtype=np.int64) for s in (odd, whole))
-            small, large = np.minimum.outer(n[i], n[y]), np.maximum.outer(n[i], n[y])
-            may = (part[i][:, None] != part[y]) & (small * 100 >= large * settings.percent) & (differ <= settings.differing)
-            may &= elements * (100 + settings.percent) <= np.add.outer(n[i], n[y]) * (100 - settings.percent)
+            u = x[at : at + step]
+            differ, elements = (np.bitwise_count(s[u][:, None, :] ^ s[y]).sum(axis=2, dtype=np.int64) for s in (odd, whole))
+            small, large = np.minimum.outer(n[u], n[y]), np.maximum.outer(n[u], n[y])
+            may = (part[u][:, None] != part[y]) & (small * 100 >= large * settings.percent) & (differ <= settings.differing)
+            may &= elements * (100 + settings.percent) <= np.add.outer(n[u], n[y]) * (100 - settings.percent)
+            if not may.any():
+                continue
             if closest:
-                best = np.where(may, differ, 1 << 30).argmin(axis=1)
-                only = np.zeros_like(may)
-                only[np.arange(len(i)), best] = True
-                may &= only
-            a, b = np.nonzero(may)
-            yield np.maximum(ids[i[a]], ids[y[b]]), np.minimum(ids[i[a]], ids[y[b]])
+                far = np.where(may, differ, 1 << 30)
+                for own, others, d in ((u, y, far), (y, u, far.T))[: 1 + (i != j)]:
+                    best = d.argmin(axis=1)
+                    least = d[np.arange(len(own)), best]
+                    a = np.flatnonzero(apart[own] & (least < 1 << 30))
+                    yield key, ids[own[a]], ids[others[best[a]]], least[a]
+            else:
+                a, b = np.nonzero(may)
+                yield key, np.maximum(ids[u[a]], ids[y[b]]), np.minimum(ids[u[a]], ids[y[b]]), differ[a, b]
 
     def run(batches):
-        for t in chars.grouped(batches, ("key", "block")):
-            for a, b in pairs(t):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    return rows.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(run, "a long, b long")
+        for t in chars.grouped(batches, ("key", "i", "j")):
+            for key, a, b, differ in pairs(t):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(a), key)), pa.array(a), pa.array(b), pa.array(differ)], names=["key", "a", "b", "differ"]
+                )
+
+    rows = _blocks(members, look, parts, settings).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    found = rows.mapInArrow(run, "key long, a long, b long, differ long")
+    if closest:
+        found = found.groupBy("key", "a").agg(F.min(F.struct("differ", "b"))["b"].alias("b"))
+    return found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
 
 def groups(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -112,6 +112,33 @@ def test_a_bucket_with_several_components(spark):
     check_groups(spark, rows)
 
 
+def test_a_hot_component_beside_an_outlier(spark, monkeypatch):
+    """The bucket's smallest id is linked to none of the others, which are one component: they are
+    compared with it, in groups of bounded size, and not with each other."""
+    random.seed(12)
+    base = [f"w{k}" for k in range(150)]
+    rows = [(0, " ".join(base[:118] + [f"y{k}" for k in range(32)]))]
+    for k in range(1, 161):
+        text = list(base)
+        text[149] = f"x{k}"
+        rows.append((k, " ".join(text)))
+    groups, kind, plain = [], type(spark.range(1)), type(spark.range(1)).mapInArrow
+
+    def counted(frame, *given, **named):
+        if "key" in frame.columns:
+            by = ["key", "i", "j"] if "i" in frame.columns else ["key", "block"]
+            groups.append([r["count"] for r in frame.groupBy(by).count().collect()])
+        return plain(frame, *given, **named)
+
+    monkeypatch.setattr(kind, "mapInArrow", counted)
+    settings = minhash.Settings(block=16)
+    found = {r.doc_id: r.component_id for r in minhash.groups(spark.createDataFrame(rows, "doc_id long, text string"), settings).collect()}
+    assert found == slow_groups(rows)[1] and set(found.values()) == {0, 1}
+    assert groups and any(groups)
+    for sizes in groups:
+        assert all(n <= 4 * settings.block for n in sizes) and sum(sizes) <= 2 * len(rows) * settings.bands
+
+
 def test_deduplicated_keeps_columns(spark):
     rows = spark.createDataFrame([(1, "a b c d", "x"), (2, "a b c d", "y"), (3, None, "z"), (None, "a b c d", "w")], "doc_id long, text string, n string")
     kept = minhash.deduplicated(rows)
