@@ -1,7 +1,6 @@
 """The pipeline: what each stage keeps, against its operator's own table and brute force."""
 
 import hashlib
-import random
 import struct
 
 import pytest
@@ -64,20 +63,6 @@ def test_run_is_the_stages_in_turn(spark, stages):
     assert got == sorted(map(tuple, stages[-1][2].collect()))
 
 
-def test_near_copies_of_five_words(spark):
-    """The stage against brute force: five words, 0.8, with pairs on both sides of the limit."""
-    random.seed(4)
-    rows = []
-    for k in range(60):
-        text = [f"w{random.randrange(10_000)}" for _ in range(100)]
-        more = [f"w{random.randrange(10_000)}" for _ in range((10, 18, 23, 24, 25, 26)[k % 6])]
-        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(text + more))]
-    sets = {i: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
-    copies = {b for b in sets for a in sets if a < b and len(sets[a] & sets[b]) * 100 >= 80 * len(sets[a] | sets[b])}
-    kept = dict(corpus_pipeline.STAGES)["near copies"](spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
-    assert ids(kept) == sorted(set(sets) - copies) and 0 < len(copies) < 60
-
-
 def test_odd_rows_pass_through(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
     odd = spark.createDataFrame([(None, "a b c", None, None, None), (-1, None, None, None, None), (-2, "", "x", "y", 0)], docs.schema)
