@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratecal.llm import bpe, extract, language, lm, minhash, quality, templates, toxicity, urls, vectors
+from ratecal.llm import bpe, extract, language, lm, minhash, quality, search, templates, toxicity, urls, vectors
 from ratecal.llm.ship import ship
 
 RULES = [
@@ -59,14 +59,19 @@ def op10_minhash_dedup(spark, folder):
     return minhash.groups(_table(spark, folder, "documents"))
 
 
+def op11_ranked_search(spark, folder):
+    return search.ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_embedding_dedup, op3_html_extraction, op4_byte_bpe, op5_toxicity, op6_language_id, op7_url_filter,
-        op8_template_decontamination, op9_pitman_yor_scores, op10_minhash_dedup,
+        op8_template_decontamination, op9_pitman_yor_scores, op10_minhash_dedup, op11_ranked_search,
     )
 }
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 # components of `links` (a, b) over `nodes` (id), by walking from every node
@@ -114,4 +119,19 @@ links AS (
 ), nodes AS (SELECT doc_id AS id FROM documents), {_REACH}
 SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sizes JOIN part ON id = doc_id""",
+    "op11_ranked_search": f"""WITH terms(id, t) AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{_TERM}') FROM documents
+), sizes AS (SELECT row_number() OVER () AS r, id, t, CAST(len(t) AS BIGINT) AS n FROM terms WHERE len(t) > 0
+), total AS (SELECT CAST(count(*) AS BIGINT) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sizes),
+tf AS (SELECT r, x, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(t) AS x FROM sizes) GROUP BY ALL),
+wanted AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_LOWER}), '{_TERM}')) AS x FROM benchmark),
+df AS (SELECT x, CAST(floor(1000 * ln((2 * all_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+  FROM tf, total GROUP BY x, all_docs),
+scores AS (
+  SELECT item_id, id AS doc_id, r,
+    CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * all_docs) // all_terms)))) AS BIGINT) AS score
+  FROM wanted JOIN df USING (x) JOIN tf USING (x) JOIN sizes USING (r), total GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 50""",
 }
