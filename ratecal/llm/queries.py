@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratecal.llm import bpe, extract, language, lm, minhash, quality, search, templates, toxicity, urls, vectors
+from ratecal.llm import bpe, extract, language, lm, minhash, phrases, quality, search, templates, toxicity, urls, vectors
 from ratecal.llm.ship import ship
 
 RULES = [
@@ -63,11 +63,16 @@ def op11_ranked_search(spark, folder):
     return search.ranked(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op12_phrase_collocations(spark, folder):
+    return phrases.mined(_table(spark, folder, "documents"))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_embedding_dedup, op3_html_extraction, op4_byte_bpe, op5_toxicity, op6_language_id, op7_url_filter,
         op8_template_decontamination, op9_pitman_yor_scores, op10_minhash_dedup, op11_ranked_search,
+        op12_phrase_collocations,
     )
 }
 
@@ -134,4 +139,24 @@ scores AS (
 )
 SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
 FROM scores WHERE score > 0 QUALIFY rank <= 50""",
+    "op12_phrase_collocations": f"""WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), {_LOWER}), '[.,;:!?\x0A-\x0D]')) AS p FROM documents
+), words AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+spots AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, range(1, 6) AS lengths(k)),
+f AS (SELECT lang, k, w[i:i + k - 1] AS g, CAST(count(*) AS BIGINT) AS f FROM spots GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (SELECT lang, k, g, f AS a, unnest(range(1, k)) AS c FROM f WHERE k > 1),
+scores AS (
+  SELECT t.lang, t.k, t.g, a, c, p.f AS l, q.f AS r, n,
+    CAST(1000 * a::HUGEINT * n::HUGEINT // (p.f::HUGEINT * q.f::HUGEINT) AS BIGINT) AS score
+  FROM cuts t JOIN f p ON p.lang = t.lang AND p.g = t.g[1:c] JOIN f q ON q.lang = t.lang AND q.g = t.g[c + 1:t.k] JOIN sizes s ON s.lang = t.lang
+  QUALIFY row_number() OVER (PARTITION BY t.lang, t.g ORDER BY score, c) = 1
+),
+inner_parts AS (
+  SELECT lang, g[i:i + m - 1] AS g, max(f) AS longer
+  FROM (SELECT lang, g, f, k, m, unnest(range(1, k - m + 2)) AS i FROM f, range(2, 5) AS parts(m) WHERE m < k) GROUP BY ALL
+)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM (SELECT *, array_to_string(g, ' ') AS phrase FROM scores) s LEFT JOIN inner_parts i ON i.lang = s.lang AND i.g = s.g
+WHERE longer IS NULL OR 100 * longer < 100 * a QUALIFY rank <= 2000""",
 }
