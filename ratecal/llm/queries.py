@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratecal.llm import bpe, extract, language, lm, minhash, phrases, quality, search, templates, toxicity, urls, vectors
+from ratecal.llm import bpe, extract, language, lm, minhash, phrases, pii, quality, search, templates, toxicity, urls, vectors
 from ratecal.llm.ship import ship
 
 RULES = [
@@ -67,12 +67,16 @@ def op12_phrase_collocations(spark, folder):
     return phrases.mined(_table(spark, folder, "documents"))
 
 
+def op13_pii_deobfuscation(spark, folder):
+    return pii.digests(_table(spark, folder, "documents"))
+
+
 LLM_QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_embedding_dedup, op3_html_extraction, op4_byte_bpe, op5_toxicity, op6_language_id, op7_url_filter,
         op8_template_decontamination, op9_pitman_yor_scores, op10_minhash_dedup, op11_ranked_search,
-        op12_phrase_collocations,
+        op12_phrase_collocations, op13_pii_deobfuscation,
     )
 }
 
