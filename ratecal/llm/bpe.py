@@ -11,6 +11,7 @@ import base64
 import hashlib
 import os
 import re
+import sys
 from functools import lru_cache
 from itertools import chain
 
@@ -64,7 +65,7 @@ def load(path, pattern):
     model = models.BPE(
         vocab={spell(token): rank for rank, token in tokens.items()},
         merges=[(spell(a), spell(b)) for a, b in _merges(tokens)],
-        cache_capacity=100_000,
+        cache_capacity=0,  # Pieces remembers, and forgets at the end of a task
     )
     tokenizer = Tokenizer(model)
     tokenizer.pre_tokenizer = pre_tokenizers.Sequence(
@@ -80,24 +81,26 @@ def load(path, pattern):
 #: alternative of the usual byte-level patterns that takes such a blank starts with it, so a match
 #: begins there in any case; a pattern that is not of that kind needs `cut=None`.
 CUT = re.compile(r"(?<=\S)(?= \S)")
-KEPT = 300_000  # pieces whose ids a worker remembers
+KEPT = 32 << 20  # bytes of pieces and ids that a task remembers
+LONG = 200  # characters of a piece that is not remembered
 
 
 class Pieces:
-    """Ids of pieces of text that a worker has seen: each distinct piece is encoded once, and
-    everything is forgotten when there are more than KEPT."""
+    """Ids of pieces of text that a task has seen: each distinct piece is encoded once, and everything is
+    forgotten when it takes more than KEPT bytes, and at the end of the task. Long pieces, as in texts without
+    blanks, are encoded whenever they occur."""
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
         self.forget()
 
     def forget(self):
-        self.place, self.ids, self.cuts = {}, np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64)
+        self.place, self.ids, self.cuts, self.size = {}, np.zeros(0, dtype="<u4"), np.zeros(1, dtype=np.int64), 0
 
     def encode(self, texts, cut):
         split = [[t] if cut is None else cut.split(t) for t in texts]
         pieces = list(chain.from_iterable(split))
-        if len(self.place) > KEPT:
+        if self.size > KEPT:
             self.forget()
         new = list(dict.fromkeys(p for p in pieces if p not in self.place))
         if new:
@@ -106,11 +109,14 @@ class Pieces:
             self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), dtype="<u4", count=lengths.sum())])
             self.cuts = np.concatenate([self.cuts, self.cuts[-1] + np.cumsum(lengths)])
             self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+            self.size += sum(map(sys.getsizeof, new)) + 100 * len(new) + 4 * int(lengths.sum())
         at = np.fromiter(map(self.place.__getitem__, pieces), dtype=np.int64, count=len(pieces))
         lengths = self.cuts[at + 1] - self.cuts[at]
         stops = np.cumsum(lengths)
         ids = self.ids[np.repeat(self.cuts[at] - (stops - lengths), lengths) + np.arange(stops[-1] if len(stops) else 0)]
         last = np.cumsum([len(s) for s in split]) - 1
+        if any(len(p) > LONG for p in new):
+            self.size = KEPT + 1  # not worth its room
         return np.split(ids, stops[last][:-1])
 
 
@@ -124,6 +130,11 @@ def encode_texts(texts, path, pattern, cut=CUT):
     return _pieces(path, pattern).encode(texts, cut) if texts else []
 
 
+def forget(path, pattern):
+    """At the end of a task."""
+    _pieces(path, pattern).forget()
+
+
 def decode_ids(ids, path, pattern):
     """Bytes of a sequence of ids; an id that the vocabulary lacks is an error."""
     _, tokens = load(path, pattern)
@@ -155,7 +166,7 @@ def encode(docs: DataFrame, path: str, pattern: str, spans: bool = False) -> Dat
         where = [character_spans(t, x, path, pattern) for t, x in zip(texts, ids)]
         return [ids, [a for a, _ in where], [b for _, b in where]]
 
-    return chars.add_columns(docs, "text", [T.StructField(n, T.ArrayType(T.IntegerType())) for n in names], run)
+    return chars.add_columns(docs, "text", [T.StructField(n, T.ArrayType(T.IntegerType())) for n in names], run, done=lambda: forget(path, pattern))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, name: str = "text") -> DataFrame:
@@ -193,4 +204,4 @@ def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             [hashlib.sha256(decode_ids(x.tolist(), path, pattern)).hexdigest() for x in ids],
         ]
 
-    return chars.add_columns(docs.select("doc_id", F.col("text")), "text", fields, run).drop("text")
+    return chars.add_columns(docs.select("doc_id", F.col("text")), "text", fields, run, done=lambda: forget(path, pattern)).drop("text")

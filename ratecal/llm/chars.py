@@ -5,10 +5,13 @@ about a million characters; a longer text is a chunk of its own and is never cut
 in a task follows the longest single text (about 60 bytes a character).
 """
 
+import ctypes
+import gc
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CHUNK = 1 << 20
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
@@ -56,16 +59,45 @@ def letter_table():
     return letter, lower
 
 
-def chunks(texts, limit=CHUNK):
-    """Ranges [start, stop) of texts of about `limit` characters together."""
+def _ranges(lengths, limit):
     start = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > limit:
+    for i, length in enumerate(lengths):
+        if size and size + length > limit:
             yield start, i
             start, size = i, 0
-        size += len(text) + 1
-    if start < len(texts):
-        yield start, len(texts)
+        size += length + 1
+    if start < len(lengths):
+        yield start, len(lengths)
+
+
+def chunks(texts, limit=CHUNK):
+    """Ranges [start, stop) of texts of about `limit` characters together."""
+    return _ranges([len(t) for t in texts], limit)
+
+
+def parts(column, limit=CHUNK):
+    """Ranges [start, stop) of an Arrow column of about `limit` characters together, and the texts there, NULL as an
+    empty one. Only one range at a time is unpacked."""
+    for a, b in _ranges(pc.fill_null(pc.utf8_length(column), 0).to_pylist(), limit):
+        yield a, b, [t or "" for t in column.slice(a, b - a).to_pylist()]
+
+
+def release():
+    """Gives back to the system what a task does not need any more: its process lives on and takes other tasks, also
+    of other operators."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def free_name(df, name):
+    """`name`, or with underscores behind it, so that no column of `df` has it (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 class Codes:
@@ -118,12 +150,13 @@ def gram_hashes(points, n):
     return mix32(value)
 
 
-def add_columns(df, text, fields, score):
+def add_columns(df, text, fields, score, limit=CHUNK, done=None):
     """`df` with further columns that `score` finds from the text column.
 
     `score` takes a list of texts (NULL is an empty text) and returns one array per field, in
     the order of `fields`, a Spark schema. Columns of `df` with the names of new ones are
-    replaced; all others pass through. One pass, no shuffle.
+    replaced; all others pass through. One pass, no shuffle. `score` gets texts of about `limit` characters at a
+    time; `done` is called at the end of a task, to drop what it has kept.
     """
     from pyspark.sql import types as T
 
@@ -134,14 +167,16 @@ def add_columns(df, text, fields, score):
 
     def run(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(at).to_pylist()]
-            found = [score(texts[a:b]) for a, b in chunks(texts)]
+            found = [score(texts) for _, _, texts in parts(batch.column(at), limit)]
             new = [
                 pa.chunked_array([pa.array(part[k], type=kind) for part in found], type=kind).combine_chunks()
                 for k, kind in enumerate(arrow)
             ]
             new = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in new]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[f.name for f in schema])
+        if done:
+            done()
+        release()
 
     return kept.mapInArrow(run, schema)
 

@@ -18,7 +18,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
     a hash of their ids, and the weight that gives each label its share of all labelled rows.
 
     Held-out rows, NULL ids, texts and labels are left out. An id with several labels has the
-    largest. The chosen ids are bounded by `per_class`, so they may be broadcast.
+    largest; one with several texts has the smallest of them. The chosen ids are bounded by `per_class`, so they may
+    be broadcast.
     """
     known = (
         labels.select("doc_id", F.col(column).cast("int").alias("y"))
@@ -32,6 +33,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, column: str, per_class:
         part = known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.union(part)
     texts = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    texts = texts.groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     total = sum(sizes.values())
     weights = {y: sizes[y] / total / min(sizes[y], per_class) for y in sizes}
     return texts.select("text", "y"), weights

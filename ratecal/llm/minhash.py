@@ -147,7 +147,8 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFr
 def _confirm(docs, pairs, settings):
     """Those of the pairs a, b whose full sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = _full_sets(docs, wanted, settings)
+    # a repeated row has the set of another; where the texts of an id differ, each set counts
+    sets = _full_sets(docs, wanted, settings).dropDuplicates()
     where = new_folder(docs.sparkSession)
     sets.write.parquet(where)
     sets = docs.sparkSession.read.schema(sets.schema).parquet(where)
@@ -317,6 +318,6 @@ def deduplicated(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of `docs`, all columns as they are, of one document of each group: that of the
     smallest id. Repeated rows of an id stay or go together: they go if the text of one of them is a
     copy. Rows without an id stay."""
-    copies = groups(docs, settings).filter("NOT kept").select(F.col("doc_id").alias("_copy")).distinct()
-    kept = docs.join(copies, F.col("doc_id").cast("long") == F.col("_copy"), "left_anti")
-    return kept
+    name = chars.free_name(docs, "_copy")
+    copies = groups(docs, settings).filter("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(copies, F.col("doc_id").cast("long") == F.col(name), "left_anti")

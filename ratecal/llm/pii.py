@@ -379,6 +379,7 @@ def redacted(docs: DataFrame, name: str = "text") -> DataFrame:
     """`docs` with the text without personal data as column `name`, at the end; NULL becomes an empty text. All other
     columns stay as they are."""
     source = docs if name == "text" else docs.drop(name)
-    marked = chars.add_columns(source, "text", [T.StructField("_redacted", T.StringType())], lambda texts: [[masked(t, scan(t)[1]) for t in texts]])
+    inner = chars.free_name(source, "_redacted")
+    marked = chars.add_columns(source, "text", [T.StructField(inner, T.StringType())], lambda texts: [[masked(t, scan(t)[1]) for t in texts]])
     kept = [f"`{c}`" for c in source.columns if c != name]
-    return marked.selectExpr(*kept, f"_redacted AS `{name}`")
+    return marked.selectExpr(*kept, f"`{inner}` AS `{name}`")

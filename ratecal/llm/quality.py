@@ -22,15 +22,13 @@ GRAMS = (2, 3, 4)
 
 @dataclass(frozen=True)
 class Settings:
-    """`per_class`: labelled documents of each class used for training, at most; `features`: distinct
-    features of one of them, at most (a sample by hash; scoring uses all features)."""
+    """`per_class`: labelled documents of each class used for training, at most, with all their features."""
 
     buckets: int = 1 << 17
     dims: int = 8
     epochs: int = 10
     rate: float = 0.5
     per_class: int = 2500
-    features: int = 4096
     seed: int = 7
 
 
@@ -62,18 +60,14 @@ def _bags(texts, settings):
         cuts = np.searchsorted(keys, np.arange(b - a + 1) * settings.buckets)
         for i in range(b - a):
             feature, count = keys[cuts[i] : cuts[i + 1]] - i * settings.buckets, counts[cuts[i] : cuts[i + 1]]
-            if len(feature) > settings.features:
-                chosen = np.argsort(chars.mix32(feature.astype(np.uint32)), kind="stable")[: settings.features]
-                chosen.sort()
-                feature, count = feature[chosen], count[chosen]
             yield feature.astype(np.int32), (count / count.sum()).astype(np.float32)
 
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", settings: Settings = Settings()) -> np.ndarray:
     """The learned score of each feature (log odds of label 1 in the average).
 
-    Only the bounded sample's features come to the driver: at most 2 x `per_class` documents of
-    `features` numbers. Without two classes to learn from, all scores are 0.
+    Only the bounded sample's features come to the driver: at most 2 x `per_class` documents of at most
+    `buckets` numbers. Without two classes to learn from, all scores are 0.
     """
     texts, weights = folds.labelled_sample(docs, labels, column, settings.per_class)
 

@@ -312,5 +312,6 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
 
 def clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of `docs`, all columns as they are, that hold no benchmark item. Rows without an id stay."""
-    flagged = matches(docs, benchmark, settings).select(F.col("doc_id").alias("_flagged")).distinct()
-    return docs.join(flagged, docs["doc_id"] == F.col("_flagged"), "left_anti")
+    name = chars.free_name(docs, "_flagged")
+    flagged = matches(docs, benchmark, settings).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(flagged, docs["doc_id"] == F.col(name), "left_anti")

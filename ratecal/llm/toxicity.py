@@ -2,7 +2,8 @@
 
 A term is a lower-cased run of letters, hashed to 2**24 numbers; a document's input is 1 for each
 term it holds. The machine adds to the linear weights the products of learned vectors of every
-pair of terms, so that two terms together may weigh more than both alone.
+pair of terms, so that two terms together may weigh more than both alone. Terms enter it that depend on the
+label, by themselves or in a pair.
 """
 
 from dataclasses import dataclass
@@ -20,12 +21,20 @@ BITS = 24
 
 @dataclass(frozen=True)
 class Settings:
-    """`per_class`: documents of each label used for training, at most; `terms`: terms of the model at
-    most, those that depend most on the label in the sample; `least`: documents a term must be in."""
+    """`per_class`: documents of each label used for training, at most; `terms`: terms of the model that depend
+    on the label by themselves, at most; `pairs`: pairs of terms that do, at most; `least`: documents that must hold a term;
+    `single`, `pair`: least chi square of a term and of a pair (of some ten million pairs, hardly any reaches it by chance);
+    `paired`: documents of each label in which pairs are counted, at most; `often`: least share of them with a term and
+    with both of a pair."""
 
     per_class: int = 5000
     terms: int = 4096
+    pairs: int = 1024
     least: int = 3
+    single: float = 10.8
+    pair: float = 60.0
+    paired: int = 1500
+    often: float = 0.02
     dims: int = 6
     epochs: int = 30
     rate: float = 0.1
@@ -52,68 +61,117 @@ def _terms(texts):
     return hashes.astype(np.int64), codes.owner(start)
 
 
+def _chi(a, b, n1, n0):
+    """Chi square of label and presence: in `a` of n1 documents of label 1 and `b` of n0 of label 0."""
+    c, d = n1 - a, n0 - b
+    return (a * d - b * c) ** 2 * (n1 + n0) / (np.maximum(a + b, 1) * np.maximum(c + d, 1) * n1 * n0)
+
+
+def _counted(terms, doc, y):
+    """The distinct terms of the documents, and in how many of label 1 and 0 each is."""
+    keys, which = np.unique(terms, return_inverse=True)
+    ones = y[doc] == 1
+    return keys, which, np.bincount(which[ones], minlength=len(keys)).astype(float), np.bincount(which[~ones], minlength=len(keys)).astype(float)
+
+
+def single(terms, doc, y, settings):
+    """The terms that depend most on the label by themselves."""
+    keys, _, a, b = _counted(terms, doc, y)
+    chi = np.where(a + b >= settings.least, _chi(a, b, (y == 1).sum(), (y == 0).sum()), 0)
+    best = np.lexsort((keys, -chi))[: settings.terms]
+    return keys[best[chi[best] > settings.single]]
+
+
+def together(terms, doc, y, settings):
+    """The terms of the pairs that depend on the label, and much more than each of both: such a term may be neutral
+    alone. Pairs of all terms that enough documents hold are counted, by products of blocks of the matrix of documents
+    and terms, so memory is bounded by the documents and the size of a block."""
+    held = np.flatnonzero(np.bincount(doc, minlength=len(y)))
+    chosen = np.concatenate([held[y[held] == k][: settings.paired] for k in (1, 0)])
+    place = np.full(len(y), -1)
+    place[chosen] = np.arange(len(chosen))
+    own = place[doc] >= 0
+    terms, doc, y = terms[own], place[doc[own]], y[chosen]
+    keys, which, a, b = _counted(terms, doc, y)
+    n1, n0 = (y == 1).sum(), (y == 0).sum()
+    if not n1 or not n0:
+        return keys[:0]
+    least = max(settings.least, settings.often * min(n1, n0))
+    often = np.flatnonzero(a + b >= least)
+    at = np.full(len(keys), -1)
+    at[often] = np.arange(len(often))
+    keep = at[which] >= 0
+    column, row = at[which[keep]], doc[keep]
+    order = np.argsort(column, kind="stable")
+    column, row = column[order], row[order]
+    chi = _chi(a[often], b[often], n1, n0)
+
+    def block(start, stop):
+        part = slice(*np.searchsorted(column, [start, stop]))
+        out = np.zeros((len(y), stop - start), dtype=np.float32)
+        out[row[part], column[part] - start] = 1
+        return out
+
+    found, width = [], 1024
+    for i in range(0, len(often), width):
+        left = block(i, min(i + width, len(often)))
+        for j in range(i, len(often), width):
+            right = left if i == j else block(j, min(j + width, len(often)))
+            both1, both0 = (left[y == k].T @ right[y == k] for k in (1, 0))
+            pair = np.where(both1 + both0 >= least, _chi(both1.astype(float), both0.astype(float), n1, n0), 0)
+            more = pair - np.maximum(chi[i : i + left.shape[1], None], chi[j : j + right.shape[1]])
+            x, z = np.nonzero((pair > settings.pair) & (more > settings.pair / 2))
+            x, z = x[x + i < z + j], z[x + i < z + j]
+            found += zip((-pair[x, z]).tolist(), (x + i).tolist(), (z + j).tolist())
+    best = sorted(found)[: settings.pairs]
+    return keys[often[sorted({k for _, *both in best for k in both})]]
+
+
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", settings: Settings = Settings()) -> Model:
-    """Learns from a bounded sample of labelled rows. Which terms depend on the label is counted
-    over the sample in Spark; only the chosen terms of the sampled rows come to the driver.
-    Without two classes the model has no terms."""
+    """Learns from a bounded sample of labelled rows, of which the distinct terms come to the driver. The model has the terms
+    that depend on the label alone or in a pair. Without two classes it has none."""
     texts, weights = folds.labelled_sample(docs, labels, column, settings.per_class)
 
     def run(batches):
         for batch in batches:
-            rows, ys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in chars.chunks(rows):
-                key, owner = _terms(rows[a:b])
+            for start, stop, rows in chars.parts(batch.column(0)):
+                key, owner = _terms(rows)
                 pairs = np.unique((owner << BITS) | key)
-                cuts = np.searchsorted(pairs, np.arange(b - a + 1) << BITS)
-                terms = [(pairs[cuts[i] : cuts[i + 1]] & ((1 << BITS) - 1)).astype(np.int32) for i in range(b - a)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(terms, type=pa.list_(pa.int32())), pa.array(ys[a:b], type=pa.int32())], names=["terms", "y"]
-                )
+                cuts = np.searchsorted(pairs, np.arange(len(rows) + 1) << BITS).astype(np.int32)
+                terms = pa.ListArray.from_arrays(pa.array(cuts), pa.array((pairs & ((1 << BITS) - 1)).astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([terms, batch.column(1).slice(start, stop - start)], names=["terms", "y"])
+        chars.release()
 
-    rows = texts.mapInArrow(run, "terms array<int>, y int")
     if len(weights) < 2:
         return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, settings.dims)), 0.0)
-    sizes = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    counted = rows.select(F.explode("terms").alias("term"), "y").groupBy("term").agg(
-        F.sum("y").cast("double").alias("a"), F.sum(1 - F.col("y")).cast("double").alias("b")
-    )
-    # chi square of the two-by-two table of term and label
-    a, b = F.col("a"), F.col("b")
-    c, d = n1 - a, n0 - b
-    chi = (a * d - b * c) * (a * d - b * c) * (n1 + n0) / ((a + b) * (c + d + 1e-9) * (n1 + 1e-9) * (n0 + 1e-9))
-    best = (
-        counted.filter(a + b >= settings.least).withColumn("chi", chi).filter("chi > 10.8")
-        .orderBy(F.desc("chi"), "term").limit(settings.terms).select("term").toArrow()["term"].to_numpy()
-    )
-    keys = np.sort(best).astype(np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast(keys)
-
-    def known(batches):
-        keys = shared.value
-        for batch in batches:
-            terms = batch.column(0)
-            cuts, values = terms.offsets.to_numpy(), terms.values.to_numpy()
-            keep = np.isin(values, keys)
-            sums = np.concatenate([[0], np.cumsum(keep)]).astype(np.int32)
-            found = np.searchsorted(keys, values[keep]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(sums[cuts] - sums[cuts[0]]), pa.array(found[sums[cuts[0]] :]))
-            yield pa.RecordBatch.from_arrays([lists, batch.column(1)], names=["terms", "y"])
-
-    sample = rows.mapInArrow(known, "terms array<int>, y int").toPandas()
-    return descend(keys, sample, weights, settings)
+    rows = texts.mapInArrow(run, "terms array<int>, y int").toArrow().combine_chunks()
+    lists, y = rows["terms"].combine_chunks(), rows["y"].to_numpy()
+    cuts, terms = lists.offsets.to_numpy(), lists.values.to_numpy()
+    # rows come in any order; by what they hold, it is always the same
+    sums = np.concatenate([[0], np.cumsum(chars.mix(terms.astype(np.uint64)))]).astype(np.uint64)
+    order = np.lexsort((y, sums[cuts[1:]] - sums[cuts[:-1]]))
+    sizes = np.diff(cuts)[order]
+    terms = np.concatenate([terms[cuts[i] : cuts[i + 1]] for i in order]) if len(order) else terms
+    doc, y = np.repeat(np.arange(len(order)), sizes), y[order]
+    if not (y == 1).any() or not (y == 0).any():
+        return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, settings.dims)), 0.0)
+    keys = np.union1d(single(terms, doc, y, settings), together(terms, doc, y, settings)).astype(np.int64)
+    at = np.minimum(np.searchsorted(keys, terms), max(len(keys) - 1, 0))
+    keep = keys[at] == terms if len(keys) else np.zeros(len(terms), dtype=bool)
+    ends = np.searchsorted(doc[keep], np.arange(len(y) + 1))
+    bags = [at[keep][i:j] for i, j in zip(ends[:-1], ends[1:])]
+    return descend(keys, bags, y, weights, settings)
 
 
-def descend(keys, sample, weights, settings) -> Model:
-    """AdaGrad on the logistic loss, one document a step."""
-    bags = sorted(zip((tuple(int(t) for t in x) for x in sample["terms"]), sample["y"]))  # the same order in every run
+def descend(keys, bags, ys, weights, settings) -> Model:
+    """AdaGrad on the logistic loss, one document a step; `bags` are the places of its terms in `keys`."""
     random = np.random.default_rng(settings.seed)
     w, v, bias = np.zeros(len(keys)), random.normal(0, 0.02, (len(keys), settings.dims)), 0.0
     gw, gv, gb = np.full(len(keys), 1e-2), np.full((len(keys), settings.dims), 1e-2), 1e-2
-    scale = sum(weights[y] for _, y in bags) / max(len(bags), 1)
+    scale = sum(weights[y] for y in ys) / max(len(bags), 1)
     for _ in range(settings.epochs):
         for i in random.permutation(len(bags)):
-            f, y = list(bags[i][0]), bags[i][1]
+            f, y = bags[i], ys[i]
             vf = v[f]
             total = vf.sum(0)
             raw = bias + w[f].sum() + 0.5 * (total @ total - (vf * vf).sum())
@@ -165,5 +223,11 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, settings:
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, settings: Settings = Settings()) -> DataFrame:
-    """The rows of `docs`, all columns as they are, whose text is not toxic."""
-    return score(docs, fit(docs, labels, "toxic", settings), "_toxic").filter(F.col("_toxic") < threshold).select(*[f"`{c}`" for c in docs.columns])
+    """The rows of `docs`, all columns as they are, whose text is not toxic; all of them where labels teach nothing, as
+    without documents of both labels or terms that tell them apart."""
+    model = fit(docs, labels, "toxic", settings)
+    if not len(model.keys):
+        return docs
+    name = chars.free_name(docs, "_toxic")
+    kept = score(docs, model, name).filter(F.col(name) < threshold)
+    return kept.select(*[f"`{c}`" for c in docs.columns])

@@ -85,11 +85,77 @@ def test_factorization_machine_learns_a_pair(spark):
     assert all(got[i].predicted == y for i, y in labels if got[i].held_out)
 
 
+def test_terms_that_are_neutral_alone(spark):
+    """An insult with a group mention is toxic, either alone is as frequent in clean texts."""
+    import random
+
+    random.seed(5)
+    filler = ["word" + a + b for a in "abcdefghij" for b in "abcdefghij"]
+    kinds = (["insult", "group"], ["slur"], ["insult"], ["group"])
+    rows = []
+    for i in range(1600):
+        kind = random.randrange(4)
+        words = [random.choice(filler) for _ in range(12)] + kinds[kind]
+        random.shuffle(words)
+        rows.append((i, " ".join(words), int(kind < 2), kind))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int, kind int")
+    found = toxicity.scored(frame, frame).join(frame.select("doc_id", "kind"), "doc_id").filter("held_out")
+    right = {r.kind: r.share for r in found.groupBy("kind").agg(F.avg("predicted").alias("share")).collect()}
+    assert min(right[0], right[1]) > 0.95 and max(right[2], right[3]) < 0.05
+
+
+def test_factorization_machine_scores_by_its_formula(spark, odd):
+    random = np.random.default_rng(4)
+    words = ["hello", "world", "the", "and", "of", "é" * 30_000]
+    key = [int(toxicity._terms([w])[0][0]) for w in words]
+    order = np.argsort(key)
+    model = toxicity.Model(np.array(key)[order], random.normal(size=6), random.normal(size=(6, 3)), -0.3)
+    weight = {words[k]: (model.weights[n], model.vectors[n]) for n, k in enumerate(order)}
+    for r in toxicity.score(odd, model, "p").collect():
+        held = [weight[w] for w in set(re.findall(r"[^\W\d_]+", (r.text or "").lower())) if w in weight]
+        raw = model.bias + sum(w for w, _ in held) + sum(a @ b for i, (_, a) in enumerate(held) for _, b in held[:i])
+        assert math.isclose(r.p, 1 / (1 + math.exp(-raw)), rel_tol=1e-9)
+
+
 def test_accepted_keeps_columns(spark, odd, tables):
-    kept = toxicity.accepted(odd, tables[1])
-    assert kept.columns == odd.columns
-    assert language.accepted(odd).columns == odd.columns
-    assert {r.doc_id for r in language.accepted(odd.withColumn("lang", F.lit("en"))).collect()} == {5, 6, 7, 8, 9, None}
+    clash = odd.withColumns({"_toxic": F.lit("mine"), "_lang": F.lit("mine"), "_score": F.lit(7.5)})
+    docs = tables[0].select("doc_id", "text", "lang").filter("doc_id > 9")
+    rows = clash.unionByName(docs, allowMissingColumns=True)
+    for kept in (toxicity.accepted(rows, tables[1]), language.accepted(rows)):
+        own = kept.filter("doc_id < 10 OR doc_id IS NULL").collect()
+        assert kept.columns == rows.columns and own and {(r._toxic, r._lang, r._score) for r in own} == {("mine", "mine", 7.5)}
+    assert toxicity.accepted(rows, tables[1].limit(0)).count() == rows.count()  # nothing learned
+
+
+def test_language_rejects_by_distance(spark, tables):
+    import random
+
+    random.seed(1)
+    docs = tables[0].select("doc_id", "text", "lang")
+    noise = [(10**9 + i, "".join(random.choice("bcdfghjklmnpqrstvwxz     ") for _ in range(n)), "en") for i, n in enumerate([30, 100, 300, 1000, 5000])]
+    rows = docs.union(spark.createDataFrame(noise, docs.schema))
+    kept = {r.doc_id for r in language.accepted(rows).select("doc_id").collect()}
+    letters = {r.doc_id for r in docs.filter(F.col("text").rlike(r"\p{L}")).select("doc_id").collect()}
+    assert not any(i >= 10**9 for i in kept) and len(letters - kept) <= 0.002 * len(letters) and kept <= letters
+    nothing = rows.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in language.accepted(nothing).collect()} == letters | {10**9 + i for i in range(5)}
+
+
+def test_language_of_profiles_by_hand(spark, tables):
+    """Distance, choice and score in plain Python."""
+    profiles = language.fit(tables[0].select("doc_id", "text", "lang"))
+    rank = {lang: {int(k): int(r) for k, r in zip(profiles.keys, ranks) if r < profiles.size} for lang, ranks in zip(profiles.languages, profiles.ranks)}
+    rows = tables[0].select("doc_id", "text").limit(40).collect()
+    got = {r.doc_id: r for r in language.predict(spark.createDataFrame(rows, "doc_id long, text string"), profiles).collect()}
+    for r in rows:
+        grams, counts = next(language._counts([r.text or ""]))
+        top = [int(g) for _, g in sorted(zip((-counts).tolist(), grams.tolist()))][: profiles.size]
+        if not top:
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        far = {lang: sum(abs(own[g] - k) if g in own else profiles.size for k, g in enumerate(top)) for lang, own in rank.items()}
+        best = min(sorted(far), key=far.get)
+        assert got[r.doc_id].lang_pred == best and math.isclose(got[r.doc_id].score, 1 - far[best] / (profiles.size * len(top)))
 
 
 def test_language_against_brute_force(spark, tables):
