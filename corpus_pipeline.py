@@ -8,6 +8,10 @@ from ratecal.llm.ship import ship
 from ratecal.session import new_folder
 
 
+# near copies share four fifths of their runs of five words
+NEAR = minhash.Settings(words=5, percent=80)
+
+
 def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -17,7 +21,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.deduplicated(docs)
+    return minhash.deduplicated(docs, NEAR)
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
