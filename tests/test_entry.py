@@ -1,5 +1,6 @@
 """The entry works without the optional subpackage and its pipeline."""
 
+import os
 import shutil
 import subprocess
 import sys
@@ -12,7 +13,9 @@ SHOW = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql())
 
 
 def shown(folder):
-    run = subprocess.run([sys.executable, "-B", "-c", SHOW], cwd=folder, capture_output=True, text=True)
+    # only what is in the folder may be imported, whatever the caller's path
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-B", "-c", SHOW], cwd=folder, capture_output=True, text=True, env=clean)
     assert run.returncode == 0, run.stderr
     return run.stdout.split()
 
