@@ -97,11 +97,12 @@ def sample_estimates(cash: DataFrame, points: DataFrame, start, end, offsets=OFF
         ]
     cells = held.filter(in_spine(start, end)).groupBy(*CELL).agg(*nearest).filter("is_cell")
     window = F.datediff("date_stay", "date_booked")
-    return _estimates(interpolate(cells.withColumn("booking_window", window)))
+    return estimated(cells.withColumn("booking_window", window))
 
 
-def _estimates(cells: DataFrame) -> DataFrame:
-    return cells.select(
+def estimated(cells: DataFrame) -> DataFrame:
+    """Cells with their neighbours as rows of the estimate table."""
+    return interpolate(cells).select(
         *CELL, "booking_window", "cash", "points", "cash_est", "points_est",
         "cash_prev", "cp_gap", "cash_next", "cn_gap", "points_prev", "pp_gap", "points_next", "pn_gap",
     )

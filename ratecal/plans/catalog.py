@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratecal.functions.calendar import month_of
-from ratecal.operators import asof, clean, documents, grid, quality, sample, value
+from ratecal.operators import accounting, asof, clean, documents, grid, quality, refresh, sample, value
 from ratecal.plans import jobs
-from ratecal.schemas import HOTEL, HOTEL_CASH, HOTEL_POINTS
+from ratecal.schemas import CASH_DOCUMENT, HOTEL, HOTEL_CASH, HOTEL_POINTS
 from ratecal.session import new_folder
 from ratecal.sources import collections as src
-from ratecal.sources import tables
+from ratecal.sources import current, tables
 from ratecal.sources.testtables import TestTables
-from ratecal.streaming import incremental
+from ratecal.streaming import deduplicate, incremental
 
 CITY, GROUP_NAME, HOTEL_KEY = "nation_19", "europe", "supplier-000000003"
 SPINE = ("1995-01-01", "2001-08-01")
@@ -210,8 +210,89 @@ def incremental_ingest(t):
     )
 
 
+def _messy(docs):
+    """Documents as several scrapers would have left them: two date formats, amounts missing, too large or cut off."""
+    part, is_object = F.split("_id", "-")[2].cast("int"), F.col("cash_value").startswith("{")
+    price = (
+        F.when(~is_object, F.col("cash_value"))
+        .when(part % 37 == 0, '{"amount": ')
+        .when(part % 41 == 0, '{"currency":"USD"}')
+        .when(part % 31 == 0, F.regexp_replace("cash_value", '"amount":"[^"]*"', '"amount":"99999999999999999999.5"'))
+        .otherwise(F.col("cash_value"))
+    )
+    day = F.try_to_date("date", "yyyy-MM-dd")
+    stay = F.when(day.isNotNull() & (part % 5 == 0), F.date_format(day, "dd/MM/yyyy")).otherwise(F.col("date"))
+    return docs.withColumns({"date": stay, **({"cash_value": price} if "cash_value" in docs.columns else {})})
+
+
+FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy")
+
+
+def _judged_cash(t):
+    return accounting.judge_cash(_messy(src.union_collections(_live_and_archived(t, cash=True))), FORMATS)
+
+
+def _judged_points(t):
+    docs = _messy(src.union_collections(_live_and_archived(t, cash=False)))
+    missing = F.split("_id", "-")[2].cast("int") % 11 == 0
+    return accounting.judge_points(docs.withColumn("points", F.when(~missing, F.col("points"))), FORMATS)
+
+
+@query
+def cash_ledger(t):
+    """What became of every document, by collection; the counts add up to all that were read."""
+    return accounting.ledger(_judged_cash(t), "input_table")
+
+
+@query
+def points_ledger(t):
+    return accounting.ledger(_judged_points(t), "input_table")
+
+
+@query
+def cash_quarantine(t):
+    return accounting.quarantine(_judged_cash(t)).drop("value")
+
+
+@query
+def points_quarantine(t):
+    return accounting.quarantine(_judged_points(t)).drop("value")
+
+
+@query
+def cash_accounted(t):
+    rows = accounting.kept_cash(_judged_cash(t))
+    return rows.select("_id", "hotel_group", "input_table", "date", "cash_value", "currency", "created_at")
+
+
+@query
+def first_per_id(t):
+    """Three parts of a stream, each with copies of the last month of the one before: the first of each document stays."""
+    spark, folder = t.spark, new_folder(t.spark)
+    docs, created = t.documents().drop("points", "points_level"), F.col("created_at")
+    starts = ("1900-01-01", "1995-01-01", "1998-01-01", "2100-01-01")
+    schema = T.StructType([*CASH_DOCUMENT, T.StructField("part", T.IntegerType())])
+    for part, (start, end) in enumerate(zip(starts, starts[1:]), 1):
+        arriving = docs.filter((created >= F.expr(f"timestamp_ntz '{start}' - interval 30 days")) & (created < F.lit(end)))
+        arriving.withColumn("part", F.lit(part)).write.mode("append").json(f"{folder}/documents")
+        deduplicate.store_first(spark, f"{folder}/documents", f"{folder}/first", f"{folder}/checkpoint", schema, "60 days")
+    return deduplicate.read_first(spark, f"{folder}/first", schema).select("_id", "part", "created_at")
+
+
 # Clean tables
 
+@query
+def clean_by_chunks(t):
+    """Clean cash quotes after three chunks of documents, each of all dates, have been merged into the stored table."""
+    spark, folder = t.spark, new_folder(t.spark)
+    docs = t.documents().drop("points", "points_level")
+    for chunk in range(3):
+        arriving = docs.filter(F.split("_id", "-")[1].cast("int") % 3 == chunk)
+        arriving.write.mode("append").json(f"{folder}/documents")
+        current.keep_current(spark, f"{folder}/documents", f"{folder}/cash", f"{folder}/checkpoint", "cash")
+    return current.read_current(spark, f"{folder}/cash", "cash")
+
+
 @query
 def cash_clean(t):
     return _city_quotes(t)[0]
@@ -321,6 +402,29 @@ def interpolate(t):
     return _city_estimates(t)
 
 
+@query
+def estimates_refreshed(t):
+    """Estimates of all hotels after three arrivals on top of a first table, each refreshed from what had arrived; per hotel."""
+    spark, folder = t.spark, new_folder(t.spark)
+
+    def arrival(k):
+        own = F.split("_id", "-")[1].cast("int") % 4 == k
+        return clean.cash_quotes(t.cash_raw().filter(own)), clean.points_quotes(t.points_raw().filter(own))
+
+    def stored(k, **parts):
+        for name, rows in parts.items():
+            tables.overwrite(rows, f"{folder}/{k}/{name}")
+        return [spark.read.parquet(f"{folder}/{k}/{name}") for name in ("estimates", "cash", "points")]
+
+    cash, points = arrival(0)
+    state = stored(0, estimates=asof.sample_estimates(cash, points, *SPINE), cash=cash, points=points)
+    for k in (1, 2, 3):
+        now = refresh.refresh(*state, *arrival(k), *SPINE)
+        state = stored(k, estimates=now.estimates, cash=now.cash, points=now.points)
+    sums = ("cash", "points", "cash_est", "points_est", "cash_prev", "cash_next", "points_prev", "points_next", *asof.GAPS.values())
+    return state[0].groupBy(*HOTEL).agg(F.count(F.lit(1)).alias("cells"), *[F.sum(c).alias(c) for c in sums])
+
+
 @query
 def hotel_sample(t):
     return _city_sample(t)

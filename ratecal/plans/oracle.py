@@ -214,6 +214,29 @@ archived AS (
 )"""
 
 
+# What accounting finds in documents of two date formats whose amounts are in part missing, too large or cut off.
+_PART = "CAST(split_part(_id, '-', 3) AS BIGINT)"
+_DROPS = "('no price', 'price is no object', 'no points', 'stay date does not parse')"
+
+
+def _judged(kind, reason, where=""):
+    return f"""
+judged AS (
+  SELECT *, coalesce(reason IN {_DROPS}, FALSE) AS dropped FROM (
+    SELECT * REPLACE (CASE WHEN NOT bad_date AND part % 5 = 0 THEN strftime(stay, '%d/%m/%Y') ELSE date END AS date),
+      concat(age, 'hotel_calendar_{kind}', hotel_group) AS input_table, CASE {reason} END AS reason
+    FROM (SELECT *, {_PART} AS part FROM docs) {where}
+  )
+)"""
+
+
+_JUDGED = _judged("cash_", """WHEN kind = 'missing' THEN 'no price' WHEN kind = 'scalar' OR part % 37 = 0 THEN 'price is no object'
+  WHEN bad_date THEN 'stay date does not parse' WHEN part % 41 = 0 THEN 'no amount' WHEN part % 31 = 0 THEN 'amount out of range'
+  WHEN kind = 'no number' THEN 'amount is no number'""")
+_JUDGED_POINTS = _judged("", "WHEN part % 11 = 0 THEN 'no points' WHEN bad_date THEN 'stay date does not parse'", "WHERE points IS NOT NULL")
+_SET_ASIDE = "input_table, _id, hotel_group, created_at, date, reason, dropped FROM judged WHERE reason IS NOT NULL"
+
+
 def _snapshots(source, name="snapshots", within=""):
     return f"""
 {name} AS (
@@ -371,6 +394,22 @@ WHERE created_at >= TIMESTAMP '1998-01-01' AND created_at < TIMESTAMP '1998-02-0
   CASE WHEN kind <> 'hotel_calendar_' AND kind_of_price = 'object' THEN CAST(cash_value AS DOUBLE) END AS cash_value,
   CASE WHEN kind = 'hotel_calendar_' THEN CAST(points AS DOUBLE) END AS points, TIMESTAMP '2024-01-01' AS extract_dt FROM rows"""),
         # clean tables
+        "cash_ledger": _with(_QUOTES, _DOCS, _JUDGED, "SELECT input_table, coalesce(reason, 'kept') AS outcome, dropped, count(*) AS n FROM judged GROUP BY ALL"),
+        "points_ledger": _with(_QUOTES, _DOCS, _JUDGED_POINTS, "SELECT input_table, coalesce(reason, 'kept') AS outcome, dropped, count(*) AS n FROM judged GROUP BY ALL"),
+        "cash_quarantine": _with(_QUOTES, _DOCS, _JUDGED, f"SELECT {_SET_ASIDE}"),
+        "points_quarantine": _with(_QUOTES, _DOCS, _JUDGED_POINTS, f"SELECT {_SET_ASIDE}"),
+        "cash_accounted": _with(_QUOTES, _DOCS, _JUDGED, """SELECT _id, hotel_group, input_table, stay AS date,
+  CASE WHEN reason IS NULL THEN CAST(cash_value AS DOUBLE) END AS cash_value, CASE WHEN part % 41 = 0 THEN 'USD' ELSE currency END AS currency, created_at
+FROM judged WHERE NOT dropped"""),
+        "first_per_id": _with(_QUOTES, """parts(part, first, after) AS (
+  VALUES (1, DATE '1900-01-01', DATE '1995-01-01'), (2, DATE '1995-01-01', DATE '1998-01-01'), (3, DATE '1998-01-01', DATE '2100-01-01')
+)""", """SELECT _id, min(part) AS part, created_at FROM quotes JOIN parts ON created_at >= first - INTERVAL 30 DAY AND created_at < after
+GROUP BY _id, created_at"""),
+        "clean_by_chunks": _with(_QUOTES, _clean("cash", "cash_value", _VALID + _USD + " AND kind = 'object' AND NOT bad_date"),
+            """SELECT hotel_group, hotel_name_key, hotel_id, date_stay, date_booked, CAST(cash_value AS DOUBLE) AS cash, currency, created_at, _id FROM cash"""),
+        "estimates_refreshed": _with(_ALL, _EST, "SELECT hotel_group, hotel_name_key, count(*) AS cells, "
+            + ", ".join(f"CAST(sum({c}) AS DOUBLE) AS {c}" for c in ("cash", "points", "cash_est", "points_est", "cash_prev", "cash_next", "points_prev", "points_next"))
+            + ", " + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("cp_gap", "cn_gap", "pp_gap", "pn_gap")) + " FROM est GROUP BY ALL"),
         "cash_clean": _with(_CITY, """SELECT hotel_group, hotel_name_key, hotel_id, date_stay, date_booked, CAST(cash_value AS DOUBLE) AS cash,
   currency, created_at, _id FROM cash"""),
         "points_clean": _with(_CITY, "SELECT hotel_group, hotel_name_key, hotel_id, date_stay, date_booked, CAST(points AS DOUBLE) AS points, created_at, _id FROM points"),

@@ -67,13 +67,13 @@ def start_run(spark: SparkSession, path: str, name: str, details: str = "", run_
     """Appends a row to the run manifest and returns its number, one above the last. The
     manifest holds one row per run and has a single writer."""
     last = 0
-    if _exists(spark, path):
+    if exists(spark, path):
         last = spark.read.schema(RUN).parquet(path).agg(F.max("run_id")).first()[0] or 0
     row = (last + 1, name, details, run_dt or datetime.now(timezone.utc).replace(tzinfo=None))
     append(spark.createDataFrame([row], RUN), path, RUN)
     return last + 1
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
