@@ -7,9 +7,10 @@ the label of the nearest decided neighbours.
 
 import html
 import re
+from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -19,17 +20,42 @@ BLOCKS = set(
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol option p pre section select summary table tbody td tfoot "
     "th thead title tr ul".split()
 )
-RAW = set("script style textarea title noscript template iframe svg math object select button".split())
+# up to their end tag, or that of the page, all is theirs
+RAW = set("script style textarea title iframe xmp noembed noframes".split())
+# what is in them is no text, but an unclosed one ends with the element around it
+SKIPPED = set("noscript template svg math object select button".split())
+FOREIGN = set("svg math".split())  # a slash at the end closes them
 OUTSIDE = set("nav header footer aside form menu dialog head".split())
 INSIDE = set("article main".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-NOTICES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|notice|alert|popup|modal|overlay|newsletter|"
-    r"subscribe|share|sharing|social|related|recommend\w*|comments?|disqus|repl(?:y|ies)|sidebar|side|widget|menu|nav\w*|"
-    r"breadcrumbs?|pagination|pager|footer|header|masthead|copyright|legal|login|signup|search|toc|tags?)(?:$|[\s_-])",
-    re.I,
+# Words that, alone or with each other and with those that only say where or what kind of box, name something else
+# than the text.
+NOTICES = set(
+    "ad ads advert adverts advertisement advertisements advertising banner banners promo promos promotion promoted sponsor sponsored "
+    "sponsors cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription share sharing "
+    "shares social related recommend recommended recommendations comment comments disqus reply replies respond sidebar widget widgets menu "
+    "nav navbar navigation breadcrumb breadcrumbs pagination pager footer header masthead copyright legal login signup search toc tags".split()
 )
+READERS = set("comment comments disqus reply replies respond".split())
+BOXES = set(
+    "site page main global top bottom left right inner outer upper lower box bar list lists area block container wrapper wrap section row "
+    "col column item items posts links link buttons button slot unit panel group form icons icon title thread children body content "
+    "primary secondary mobile desktop fixed sticky post entry the and of l r".split()
+)
+
+
+def _names(said):
+    """Whether a class or an id names something else than the text, and whether readers' comments."""
+    notice = readers = False
+    for name in said.split():
+        parts = [p for p in re.split(r"[\W_\d]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if p]
+        if parts and all(p in NOTICES or p in BOXES for p in parts):
+            notice = notice or any(p in NOTICES for p in parts)
+            readers = readers or any(p in READERS for p in parts)
+    return notice, readers
+
+
 ROLES = re.compile(r"navigation|banner|contentinfo|complementary|search|alert|dialog|menu|form", re.I)
 STOP_WORDS = set(
     """
@@ -44,7 +70,34 @@ STOP_WORDS = set(
     pero por porque que se ser si sin sobre su sus también un una y ya
     """.split()
 )
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
+PART = re.compile(r"[^\s/>=][^\s/>=]*|=\s*")
+UNQUOTED = re.compile(r"[^\s>]*")
+GAP = re.compile(r"[\s/]*")
+
+
+def _tag_end(page, at):
+    """Where the tag whose attributes begin at `at` ends, behind its `>`; None if it never does. A quote opens a value
+    only right after `=`; anywhere else it is a character like others."""
+    size = len(page)
+    while True:
+        at = GAP.match(page, at).end()
+        if at >= size:
+            return None
+        if page[at] == ">":
+            return at + 1
+        part = PART.match(page, at)
+        at = part.end()
+        if part[0][0] == "=":
+            quote = page[at : at + 1]
+            if quote in ("'", '"') and quote:
+                at = page.find(quote, at + 1) + 1
+                if not at:
+                    return None
+            else:
+                at = UNQUOTED.match(page, at).end()
+
+
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 
 
@@ -67,103 +120,164 @@ class Block:
     tag: str
     zone: str  # "in" an article, "out" of the text, or "" for neither
     part: int  # number of the article
+    named: int = 0  # number of the outermost element around it whose name says that it is no text
+
+
+@dataclass
+class Open:
+    """An element that is open, with what it inherits from those around it."""
+
+    name: str
+    zone: str = ""
+    block: str = ""
+    named: int = 0
+    skipped: bool = False
 
 
 def blocks_of(page):
     """Blocks of text in page order. Scripts, styles and comments are left out, character references
     decoded, and every run of white space is one blank. Unclosed elements end with the element
-    around them; a tag that never ends is text."""
-    found, pieces, linked, open_tags = [], [], 0, []
-    links = articles = 0
-
-    def zone():
-        at = ""
-        for _, kind, _ in open_tags:
-            if kind == "out" or (kind == "in" and at != "out"):
-                at = kind
-        return at
+    around them; a tag that never ends is text, with all that follows. The time follows the length of the page."""
+    found, pieces, linked, stack, count = [], [], 0, [Open("")], Counter()
+    links = articles = notices = 0
 
     def close():
         nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            tag = next((t for t, _, _ in reversed(open_tags) if t in BLOCKS), "")
-            found.append(Block(text, linked, tag, zone(), articles))
+            top = stack[-1]
+            found.append(Block(text, linked, top.block, top.zone, articles, top.named))
         pieces.clear()
         linked = 0
 
     def add(text):
         nonlocal linked
-        if text:
+        if text and not stack[-1].skipped:
             pieces.append(text)
             if links:
                 linked += len(" ".join(text.split()))
 
+    def pop(depth):
+        for top in stack[depth:]:
+            count[top.name] -= 1
+        del stack[depth:]
+
     at, size = 0, len(page)
     while at < size:
-        tag = TAG.search(page, at)
-        if tag is None:
+        start = page.find("<", at)
+        if start < 0:
             add(page[at:])
             break
-        add(page[at : tag.start()])
-        at = tag.end()
-        name = (tag[2] or "").lower()
-        if not name:
+        add(page[at:start])
+        if page.startswith("<!--", start):
+            end = page.find("-->", start + 4)
+            at = end + 3 if end >= 0 else size
+            continue
+        if page[start + 1 : start + 2] in ("!", "?"):
+            end = page.find(">", start)
+            if end < 0:
+                add(page[start:])
+                break
+            at = end + 1
+            continue
+        head = NAME.match(page, start)
+        if head is None:
+            add("<")
+            at = start + 1
             continue
-        if tag[1]:
+        end = _tag_end(page, head.end())
+        if end is None:
+            add(page[start:])
+            break
+        at, name, given = end, head[1].lower(), page[head.end() : end - 1]
+        if page[start + 1] == "/":
             if name == "a":
                 links = max(0, links - 1)
             if name in BLOCKS:
                 close()
-            depth = next((k for k in range(len(open_tags) - 1, -1, -1) if open_tags[k][0] == name), None)
-            if depth is not None and not (name not in BLOCKS and any(t in BLOCKS for t, _, _ in open_tags[depth + 1 :])):
-                del open_tags[depth:]
+            if count[name]:
+                depth = len(stack) - 1
+                while stack[depth].name != name and (name in BLOCKS or name in SKIPPED or stack[depth].name not in BLOCKS):
+                    depth -= 1
+                if stack[depth].name == name:
+                    pop(depth)
             continue
         if name in BLOCKS:
             close()
             links = 0 if name != "br" else links
+        closed = given.rstrip().endswith("/")
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else size
             continue
         if name == "a":
             links = 1
-        if name in VOID or tag[3].endswith("/"):
+        if name in VOID or (closed and (name in FOREIGN or name not in BLOCKS)):
             continue
-        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and open_tags and open_tags[-1][0] == name:
-            open_tags.pop()
-        said = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(tag[3])} if tag[3] else {}
-        kind = ""
+        if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and stack[-1].name == name:
+            pop(len(stack) - 1)
+        said = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(given)} if given else {}
+        around = stack[-1]
+        own = Open(name, around.zone, name if name in BLOCKS else around.block, around.named, around.skipped or name in SKIPPED)
+        notice, readers = _names(f"{said.get('class', '')} {said.get('id', '')}")
         if name in INSIDE:
-            kind = "in"
             articles += 1
-        named = f"{said.get('class', '')} {said.get('id', '')}"
-        if (
-            name in OUTSIDE or "hidden" in said or said.get("aria-hidden") == "true" or ROLES.search(said.get("role", ""))
-            or (name not in ("html", "body", "article", "main") and NOTICES.search(named))
-        ):
-            kind = "out"
-        open_tags.append((name, kind, named))
+            if own.zone != "out":
+                own.zone = "out" if readers else "in"
+        elif name in OUTSIDE or "hidden" in said or said.get("aria-hidden") == "true" or ROLES.fullmatch(said.get("role") or ""):
+            own.zone = "out"
+        elif notice and name not in ("html", "body") and not own.named:
+            notices += 1
+            own.named = notices
+        stack.append(own)
+        count[name] += 1
     close()
     return found
 
 
+def judge_names(blocks, rules):
+    """Puts blocks out of the text that lie in an element named as something else, unless there is hardly any other text on
+    the page."""
+    size = Counter()
+    for b in blocks:
+        size[b.named] += len(b.text) - b.linked
+    whole = sum(size.values())
+    for b in blocks:
+        if b.named and whole - size[b.named] >= min(rules.long, size[b.named]):
+            b.zone = "out"
+    return blocks
+
+
+# Scripts without blanks between words: a character says about as much as three letters.
+DENSE = re.compile("[\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+SENTENCE = re.compile(r"[.!?…。！？؟।]")
+
+
 def classify(blocks, rules=Rules()):
     """True for each block of the main text."""
-    labels = []
+    counted, known, every = [], 0, 0
     for b in blocks:
         words = re.findall(r"\w+", b.text.lower())
-        stop = sum(w in STOP_WORDS for w in words) / len(words) if words else 0
+        stop = sum(w in STOP_WORDS for w in words)
+        counted.append((len(b.text) + 2 * len(DENSE.findall(b.text)), len(words), stop / len(words) if words else 0))
+        if b.zone != "out" and 2 * b.linked < len(b.text):
+            known, every = known + stop, every + len(words)
+    foreign = known < rules.low / 2 * every  # the page is in none of the languages whose stop words are known
+    labels = []
+    for b, (length, words, stop) in zip(blocks, counted):
         share = b.linked / len(b.text)
         if b.zone == "out" or share > rules.links:
             labels.append(False)
         elif b.zone == "in":
             # an article's own text; only what is short or has few stop words waits for its neighbours
-            labels.append(True if len(b.text) >= rules.short and stop >= rules.low else None)
-        elif len(b.text) < rules.short:
+            labels.append(True if length >= rules.short and stop >= rules.low else None)
+        elif length < rules.short:
             labels.append(False if not words else None)
+        elif foreign:
+            # length and links have to do
+            labels.append((True if length >= rules.long else None) if SENTENCE.search(b.text) else False)
         elif stop >= rules.high:
-            labels.append(True if len(b.text) >= rules.long else None)
+            labels.append(True if length >= rules.long else None)
         elif stop >= rules.low:
             labels.append(None)
         else:
@@ -176,7 +290,7 @@ def classify(blocks, rules=Rules()):
         b = blocks[k]
         # neighbours count within the same article; at its edges the article itself speaks for the block
         same = lambda n: b.zone != "in" or (blocks[n].zone == "in" and blocks[n].part == b.part)
-        place = np.searchsorted(decided, k)
+        place = bisect_left(decided, k)
         before = decided[place - 1] if place > 0 and same(decided[place - 1]) else None
         after = decided[place] if place < len(decided) and same(decided[place]) else None
         near = [labels[n] for n in (before, after) if n is not None]
@@ -194,7 +308,7 @@ def classify(blocks, rules=Rules()):
 
 def main_text(page, rules=Rules()):
     """The good blocks of a page, joined by blanks."""
-    blocks = blocks_of(page or "")
+    blocks = judge_names(blocks_of(page or ""), rules)
     return " ".join(b.text for b, good in zip(blocks, classify(blocks, rules)) if good)
 
 

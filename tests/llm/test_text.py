@@ -4,6 +4,8 @@ import base64
 import hashlib
 import random
 import struct
+import time
+from html.parser import HTMLParser
 
 import public_tokenizers
 import pytest
@@ -99,6 +101,77 @@ def test_pages(page, text):
     assert extract.main_text(page) == " ".join(text.split())
 
 
+POLISH = "Dom, który widzieliśmy wczoraj, stał na wzgórzu nad morzem i nie było z niego widać niczego poza wodą oraz ciemnym niebem. " * 3
+CHINESE = "我们昨天看到的房子在山上，从那里除了大海什么也看不见。天空很暗，风很大，没有人说话。" * 4
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        (f"<article><p data-t=it's>{LONG}</p><p>{LONG}</p></article>", LONG + LONG),
+        (f"<article><p>{LONG}<svg class=i/>{LONG}</p><p>{LONG}</p></article>", LONG * 3),
+        (f"<article><p>{LONG}</p><p>One <button>Buy</p><p>{LONG}</p></article>", LONG + "One " + LONG),
+        (f"<article><p>{LONG}<button>Buy</button></p></article><footer>{LONG}</footer>", LONG),
+        (f'<div class="post tag-economy"><p>{LONG}</p></div>', LONG), (f'<section class="search-result-page"><p>{LONG}</p></section>', LONG),
+        (f'<div class="widget"><p>{LONG}</p><p>{LONG}</p></div>', LONG + LONG), (f'<body class="has-sidebar"><p>{LONG}</p><div id="sidebarLeft"><p>{LONG}</p></div>', LONG),
+        (f'<main><article><p>{LONG}</p></article><article class="comment"><p>{LONG}</p></article></main>', LONG),
+        (f'<p>{POLISH}</p><ul><li><a href=x>Strona</a></li></ul>', POLISH), (f"<div><p>{CHINESE}</p></div><a href=x>首页</a>", CHINESE),
+        (f"<article><p title='a > b' x=\"<p>\">{LONG}</p></article>", LONG), (f"<article>{LONG}<a href=x", LONG + "<a href=x"),
+        (f"<title>t</title><script>if (a</b) '</p>'</script><article>{LONG}</article>", LONG),
+    ],
+)
+def test_articles_are_kept_whole(page, text):
+    assert extract.main_text(page) == " ".join(text.split())
+
+
+@pytest.mark.parametrize("piece", ['<a "', "<a '", '<a x="', "<p>", "<div><b>", "</b>", "<!", "<!--", "<b><div>x</b>", "<", "&", "<a <", "<p>a<br>", "<svg/>", "<button>"])
+def test_time_follows_the_length(piece):
+    start = time.time()
+    extract.main_text(piece * 40_000)
+    assert time.time() - start < 6, piece
+
+
+class Tree(HTMLParser):
+    """The plain reference: text of the only article, by an HTML parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.skipped, self.pieces = 0, 0, []
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        self.skipped += tag in ("script", "style", "nav", "aside")
+        if tag in extract.BLOCKS:
+            self.pieces.append(" ")
+
+    def handle_endtag(self, tag):
+        if tag in extract.BLOCKS:
+            self.pieces.append(" ")
+        self.inside -= tag == "article"
+        self.skipped -= tag in ("script", "style", "nav", "aside")
+
+    def handle_data(self, data):
+        if self.inside and not self.skipped:
+            self.pieces.append(data)
+
+
+def test_generated_pages_as_by_a_parser():
+    random.seed(8)
+    sentences = ["It was one of the houses that we saw.", "A &lt;b&gt; &amp; caf&eacute; on the hill.", "Why is <b>that</b> so, and <i class=it's>who</i> said it?", "x &#8212; y and z of it."]
+    for _ in range(300):
+        body = ""
+        for _ in range(random.randrange(1, 9)):
+            text = " ".join(random.choice(sentences) for _ in range(random.randrange(1, 9)))
+            body += random.choice([
+                "<p>{}</p>", "<p class='a b' data-x=\"1 > 2\">{}</p>", "<div><p>{}</p></div>", "<blockquote>{}</blockquote>", "<h2>{}</h2>\n",
+                "<ul><li>{}</li></ul>", "<script>var t='</p><p>';</script><p>{}</p>", "<p>{}<br>", "<!-- <p>no</p> --><p>{}</p>", "<aside><p>{}</p></aside><p>End of it.</p>",
+            ]).format(text)
+        page = f"<html><head><title>T</title></head><body><nav><a href=/>Home</a></nav><article>{body}</article><footer>{sentences[0]}</footer>"
+        tree = Tree()
+        tree.feed(page)
+        assert extract.main_text(page) == " ".join("".join(tree.pieces).split())
+
+
 def test_ambiguous_blocks_follow_their_neighbours():
     def block(text, zone="", tag="p"):
         return extract.Block(text, 0, tag, zone, 0)
