@@ -32,7 +32,7 @@ class Settings:
     percent: int = 100
     buckets: int = 1 << 27
     block: int = 1 << 19
-    gathered: int = 1 << 22
+    gathered: int = 1 << 20
 
 
 _FACTORS = chars.mix(np.arange(101, 164, dtype=np.uint64)) | np.uint64(1)
@@ -89,10 +89,10 @@ def _rows(docs):
 def _chunked(batches):
     """Languages, salts and texts of about a million characters at a time."""
     for batch in batches:
-        texts = [t or "" for t in batch.column(1).to_pylist()]
         langs, salts = batch.column(0), batch.column(2).to_numpy()
-        for a, b in chars.chunks(texts):
-            yield langs.slice(a, b - a), salts[a:b], texts[a:b]
+        for a, b, texts in chars.parts(batch.column(1), 1 << 19):
+            yield langs.slice(a, b - a), salts[a:b], texts
+    chars.release()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -108,7 +108,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             )
 
     counted = _rows(docs).mapInArrow(run, "code long, lang string, word string, f long")
-    return counted.groupBy("code").agg(F.min("lang").alias("lang"), F.min("word").alias("word"), F.sum("f").alias("f"))
+    return counted.groupBy("code", "lang", "word").agg(F.sum("f").alias("f"))
 
 
 def coded(docs: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -152,18 +152,53 @@ def _gathered(batches, size):
         yield np.concatenate(held)
 
 
+def _ranged(part, *columns):
+    """Arrays of one length, in the order of `part`, as one row for each part: its number, and the arrays' bytes."""
+    order = np.argsort(part, kind="stable")
+    parts, first = np.unique(part[order], return_index=True)
+    cuts = np.append(first, len(part)).tolist()
+    packed = [[c[order[x:y]].tobytes() for x, y in zip(cuts, cuts[1:])] for c in columns]
+    names = ["part", *[f"c{k}" for k in range(len(columns))]]
+    return pa.RecordBatch.from_arrays([pa.array(parts.astype(np.int64)), *[pa.array(c, type=pa.binary()) for c in packed]], names=names)
+
+
+def _by_part(rows):
+    return rows.repartition("part").sortWithinPartitions("part")
+
+
 def pair_buckets(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The buckets in which enough word pairs fall, of whatever words."""
+    """The buckets in which enough word pairs fall, of whatever words. Counts travel as arrays, one for each range of
+    2**16 buckets, and are added up there."""
     mask = np.uint64(settings.buckets - 1)
 
+    def summed(held):
+        bucket, n = np.unique(np.concatenate(held), return_counts=True)
+        return _ranged(bucket >> 16, (bucket & 0xFFFF).astype(np.uint16), np.minimum(n, settings.least).astype(np.uint32))
+
     def run(batches):
+        held = []  # buckets are half as wide as codes, so more positions are counted together
         for codes in _gathered(batches, settings.gathered):
             keys = phrase_keys(codes, 2)
-            bucket, n = np.unique((keys[keys != 0] & mask).astype(np.int32), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(n.astype(np.int32))], names=["bucket", "n"])
+            held.append((keys[keys != 0] & mask).astype(np.int32))
+            if sum(map(len, held)) >= 4 * settings.gathered:
+                yield summed(held)
+                held = []
+        if held:
+            yield summed(held)
+        chars.release()
+
+    def add(batches):
+        for t in chars.grouped(batches, ("part",)):
+            total = np.zeros(1 << 16, dtype=np.int64)
+            for at, n in zip(t["c0"].to_pylist(), t["c1"].to_pylist()):
+                total[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.uint32)
+            often = np.flatnonzero(total >= settings.least) + (t["part"][0].as_py() << 16)
+            yield pa.RecordBatch.from_arrays([pa.array(often)], names=["bucket"])
 
-    counted = texts.mapInArrow(run, "bucket int, n int").groupBy("bucket").agg(F.sum("n").alias("n"))
-    return counted.filter(F.col("n") >= settings.least).select(F.col("bucket").cast("long").alias("bucket"))
+    return _by_part(texts.mapInArrow(run, "part long, c0 binary, c1 binary")).mapInArrow(add, "bucket long")
+
+
+PARTS = 1024  # of the candidates' keys, which meet in one group each
 
 
 def candidates(texts: DataFrame, k: int, passing, settings: Settings = Settings()) -> DataFrame:
@@ -172,6 +207,7 @@ def candidates(texts: DataFrame, k: int, passing, settings: Settings = Settings(
     shared = texts.sparkSession.sparkContext.broadcast(passing)
 
     def run(batches):
+        told = np.zeros(0, dtype=np.uint64)  # what the task has already sent
         for codes in _gathered(batches, settings.gathered):
             keys = phrase_keys(codes, k)
             if k == 2:
@@ -182,40 +218,61 @@ def candidates(texts: DataFrame, k: int, passing, settings: Settings = Settings(
                 may = parts[:-1] & parts[1:]
             at = np.flatnonzero(may)
             found, first = np.unique(keys[at], return_index=True)
-            words = codes[at[first][:, None] + np.arange(k)].view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * k), pa.array(words.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), lists], names=["key", "words"])
+            new = ~np.isin(found, told, assume_unique=True)
+            found, first = found[new], first[new]
+            told = np.concatenate([told if len(told) < settings.gathered else told[:0], found])
+            if len(found):
+                yield _ranged((found % np.uint64(PARTS)).astype(np.int64), found, codes[at[first][:, None] + np.arange(k)])
+        chars.release()
+
+    def once(batches):
+        for t in chars.grouped(batches, ("part",)):
+            keys = np.concatenate([np.frombuffer(x, np.int64) for x in t["c0"].to_pylist()])
+            words = np.concatenate([np.frombuffer(x, np.int64) for x in t["c1"].to_pylist()]).reshape(-1, k)
+            found, first = np.unique(keys, return_index=True)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * k), pa.array(words[first].ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(found), lists], names=["key", "words"])
 
-    return texts.mapInArrow(run, "key long, words array<long>").dropDuplicates(["key"])
+    return _by_part(texts.mapInArrow(run, "part long, c0 binary, c1 binary")).mapInArrow(once, "key long, words array<long>")
+
+
+_WINDOW = (1 << 4096) - 1
 
 
 class Trie:
-    """A double-array trie of phrases of one length. Its letters are the distinct codes, numbered from 1; the state
+    """A double-array trie of phrases of one length. Its letters are the distinct codes, numbered from 1 by frequency; the state
     behind letter c of state s is base[s] + c if check of that place is s. State 0 is the root.
 
     States with many children are placed first, each at the first base where all their places are free;
     those with one child fill what is free."""
 
     def __init__(self, words):
-        self.letters, letter = np.unique(words, return_inverse=True)
+        self.letters, letter, often = np.unique(words, return_inverse=True, return_counts=True)
         n, depth = words.shape
-        letter = letter.reshape(n, depth).astype(np.int64) + 1
+        # frequent letters have low numbers, so the children of a state lie close to each other
+        self.number = np.empty(len(often), dtype=np.int64)
+        self.number[np.argsort(-often, kind="stable")] = np.arange(1, len(often) + 1)
+        letter = self.number[letter.reshape(n, depth)]
         self.depth = depth
         size = len(self.letters) + 1
         self.base, self.check = np.zeros(size, np.int64), np.full(size, -1, np.int64)
         state = np.zeros(n, dtype=np.int64)
-        self.free = 1  # no free place is below
+        self.open, self.used = 1, 0  # places from `open` on that are taken, as bits; of those below hardly any is free
         for j in range(depth):
-            edges, which = np.unique(np.stack([state, letter[:, j]]), axis=1, return_inverse=True)
+            edges, which = np.unique((state << 32) | letter[:, j], return_inverse=True)
+            edges = np.stack([edges >> 32, edges & 0xFFFFFFFF])
             parents, first, count = np.unique(edges[0], return_index=True, return_counts=True)
             place = np.zeros(edges.shape[1], dtype=np.int64)
             for p in np.argsort(-count, kind="stable")[: int((count > 1).sum())]:
                 part = slice(first[p], first[p] + count[p])
                 place[part] = self._place(edges[1][part]) if parents[p] else edges[1][part]
                 self._take(place[part], parents[p])
+                if not parents[p]:
+                    self._mark()
             single = first[count == 1]
             place[single] = self._fill(edges[1][single])
             self._take(place[single], edges[0][single])
+            self._mark()
             self.base[edges[0]] = place - edges[1]
             state = place[which.reshape(-1)]
         self.accepts = np.full(len(self.base), -1, np.int64)
@@ -227,26 +284,32 @@ class Trie:
             self.base = np.concatenate([self.base, np.zeros(more, np.int64)])
             self.check = np.concatenate([self.check, np.full(more, -1, np.int64)])
 
+    def _mark(self):
+        """Reads `used` anew, after places were taken without it."""
+        taken = np.packbits(self.check[self.open :] >= 0, bitorder="little")
+        self.used = int.from_bytes(taken.tobytes(), "little")
+
     def _take(self, place, parents):
+        self._grow(int(place.max()) + 1 if len(place) else 0)
         self.check[place] = parents
-        while self.free < len(self.check) and self.check[self.free] >= 0:
-            self.free += 1
 
     def _place(self, letters):
-        """The first places, of one base, that are free for all letters."""
-        low, at = letters[0], self.free
-        while True:
-            self._grow(at + 1024 + int(letters[-1]) + 1)
-            bases = np.arange(at, at + 1024) - low  # a base may be below 0, its places are not
-            held = np.flatnonzero(self.check[bases + low] < 0)
-            for base in bases[held].tolist():
-                if (self.check[base + letters] < 0).all():
-                    return base + letters
-            at += 1024
+        """The first places, of one base, that are free for all letters. Bits of all taken places, moved by the
+        distance of each letter from the first one, leave open the bases that fit all of them."""
+        wrong = shape = 0
+        for far in (letters - letters[0]).tolist():
+            wrong |= self.used >> far
+            shape |= 1 << far
+        first = (~wrong & (wrong + 1)).bit_length() - 1
+        self.used |= shape << first
+        place = self.open + first + letters - letters[0]
+        while (self.used & _WINDOW).bit_count() > 0.6 * _WINDOW.bit_length():
+            self.used >>= _WINDOW.bit_length()
+            self.open += _WINDOW.bit_length()
+        return place
 
     def _fill(self, letters):
         """A free place for each letter; any is right for a state with one child."""
-        self._grow(self.free + len(letters) + 1)
         open_ = np.flatnonzero(self.check[1:] < 0) + 1
         if len(open_) < len(letters):
             self._grow(len(self.check) + len(letters))
@@ -256,7 +319,7 @@ class Trie:
     def count(self, codes):
         """How often each phrase begins at a position of `codes`."""
         letter = np.minimum(np.searchsorted(self.letters, codes), len(self.letters) - 1)
-        letter = np.where(self.letters[letter] == codes, letter + 1, 0)
+        letter = np.where(self.letters[letter] == codes, self.number[letter], 0)
         at = np.flatnonzero(letter)
         state = np.zeros(len(at), dtype=np.int64)
         for j in range(self.depth):
@@ -283,6 +346,7 @@ def counts(texts: DataFrame, wanted, settings: Settings = Settings()) -> DataFra
             total += trie.count(codes)
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(keys[held]), pa.array(total[held])], names=["key", "f"])
+        chars.release()
 
     return texts.mapInArrow(run, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
 

@@ -87,7 +87,7 @@ def together(terms, doc, y, settings):
     alone. Pairs of all terms that enough documents hold are counted, by products of blocks of the matrix of documents
     and terms, so memory is bounded by the documents and the size of a block."""
     held = np.flatnonzero(np.bincount(doc, minlength=len(y)))
-    chosen = np.concatenate([held[y[held] == k][: settings.paired] for k in (1, 0)])
+    chosen = np.concatenate([held[y[held] == k][: settings.paired] for k in (1, 0)])  # in the order of a hash
     place = np.full(len(y), -1)
     place[chosen] = np.arange(len(chosen))
     own = place[doc] >= 0
@@ -112,19 +112,20 @@ def together(terms, doc, y, settings):
         out[row[part], column[part] - start] = 1
         return out
 
-    found, width = [], 1024
+    best, width = [np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)], 512
     for i in range(0, len(often), width):
         left = block(i, min(i + width, len(often)))
         for j in range(i, len(often), width):
             right = left if i == j else block(j, min(j + width, len(often)))
-            both1, both0 = (left[y == k].T @ right[y == k] for k in (1, 0))
-            pair = np.where(both1 + both0 >= least, _chi(both1.astype(float), both0.astype(float), n1, n0), 0)
+            both1, both0 = ((left[y == k].T @ right[y == k]).astype(float) for k in (1, 0))
+            pair = np.where(both1 + both0 >= least, _chi(both1, both0, n1, n0), 0)
             more = pair - np.maximum(chi[i : i + left.shape[1], None], chi[j : j + right.shape[1]])
             x, z = np.nonzero((pair > settings.pair) & (more > settings.pair / 2))
             x, z = x[x + i < z + j], z[x + i < z + j]
-            found += zip((-pair[x, z]).tolist(), (x + i).tolist(), (z + j).tolist())
-    best = sorted(found)[: settings.pairs]
-    return keys[often[sorted({k for _, *both in best for k in both})]]
+            best = [np.concatenate(both) for both in zip(best, (pair[x, z], x + i, z + j))]
+            first = np.lexsort((best[2], best[1], -best[0]))[: settings.pairs]
+            best = [part[first] for part in best]
+    return keys[often[np.unique(np.concatenate(best[1:]))]]
 
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", settings: Settings = Settings()) -> Model:
@@ -149,17 +150,20 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", settings: Set
     cuts, terms = lists.offsets.to_numpy(), lists.values.to_numpy()
     # rows come in any order; by what they hold, it is always the same
     sums = np.concatenate([[0], np.cumsum(chars.mix(terms.astype(np.uint64)))]).astype(np.uint64)
-    order = np.lexsort((y, sums[cuts[1:]] - sums[cuts[:-1]]))
+    sums = sums[cuts[1:]] - sums[cuts[:-1]]
+    order = np.lexsort((y, sums))
     sizes = np.diff(cuts)[order]
+    first = np.diff(sums[order], prepend=sums[order][:1] + np.uint64(1)) != 0  # of documents with the same terms
     terms = np.concatenate([terms[cuts[i] : cuts[i + 1]] for i in order]) if len(order) else terms
     doc, y = np.repeat(np.arange(len(order)), sizes), y[order]
     if not (y == 1).any() or not (y == 0).any():
         return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, settings.dims)), 0.0)
-    keys = np.union1d(single(terms, doc, y, settings), together(terms, doc, y, settings)).astype(np.int64)
+    keys = np.union1d(single(terms, doc, y, settings), together(terms[first[doc]], doc[first[doc]], y, settings)).astype(np.int64)
     at = np.minimum(np.searchsorted(keys, terms), max(len(keys) - 1, 0))
     keep = keys[at] == terms if len(keys) else np.zeros(len(terms), dtype=bool)
     ends = np.searchsorted(doc[keep], np.arange(len(y) + 1))
-    bags = [at[keep][i:j] for i, j in zip(ends[:-1], ends[1:])]
+    own = at[keep]
+    bags = [own[i:j] for i, j in zip(ends[:-1], ends[1:])]
     return descend(keys, bags, y, weights, settings)
 
 
