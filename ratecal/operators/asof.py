@@ -3,8 +3,11 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratecal.operators.grid import OFFSETS, in_spine, sample_base, sampled_days, stays_and_quotes
-from ratecal.schemas import CELL, PRICE, STAY
+from ratecal.functions.calendar import date_literal, month_of
+from ratecal.operators.grid import (
+    OFFSETS, date_spine, hotels_of, in_spine, last_stay, observed_cells, sample_base, sampled_days, stays_and_quotes,
+)
+from ratecal.schemas import CELL, HOTEL, PRICE, STAY
 
 EARLIER, LATER = "prev", "next"
 # names of the day-gap columns
@@ -137,3 +140,51 @@ def adjacent_interpolation(grid: DataFrame) -> DataFrame:
             }
         )
     return rows
+
+
+def adjacent_summary(cash: DataFrame, points: DataFrame, start, end) -> DataFrame:
+    """What `adjacent_interpolation` finds on the dense grid, summed by hotel and booking month, without building the grid.
+
+    A cell can only have an estimate if it or a cell next to it is priced, so cells are made from the priced ones: each
+    tells its price to its own day and to the days before and after. All others add to the counts only, and how many
+    there are follows from the calendar. Work grows with the quotes, not with the 365 cells of each hotel and day.
+    """
+    spark = cash.sparkSession
+    day = F.col("date_booked")
+    told = observed_cells(cash, points, start, end).select(
+        *STAY, "cash", "points", F.explode(F.array(*[F.struct(F.lit(k).alias("from"), F.date_sub(day, k).alias("day")) for k in (-1, 0, 1)])).alias("x")
+    )
+    told = told.select(*STAY, F.col("x.day").alias("date_booked"), "x.from", "cash", "points")
+    told = told.filter(in_spine(start, end) & F.col("date_stay").between(day, last_stay("date_booked")))
+    side = {-1: "prev", 0: "own", 1: "next"}
+    cells = told.groupBy(*CELL).agg(
+        *[F.max(F.when(F.col("from") == k, F.col(p))).alias(f"{p}_{name}") for p in ("cash", "points") for k, name in side.items()]
+    )
+    # booking days without a neighbour on the grid: those of a stay that can be booked on one day only
+    bounds = spark.range(1).select(date_literal(start).alias("start"), date_literal(end).alias("end"))
+    spine = date_spine(bounds)
+    single = spine.groupBy("date_stay").agg(F.count(F.lit(1)).alias("n"), F.min("date_booked").alias("date_booked")).filter("n = 1")
+    single = single.select("date_stay", "date_booked", F.lit(True).alias("_single"))
+    cells = cells.join(single, ["date_stay", "date_booked"], "left")
+    sums = []
+    for price, digits in (("cash", 2), ("points", 0)):
+        own, prev, nxt = (F.col(f"{price}_{name}") for name in ("own", "prev", "next"))
+        between = F.round(prev + (nxt - prev) / 2, digits).cast(PRICE)
+        estimate = F.coalesce(own, between, prev, nxt)
+        sums += [
+            F.count(estimate).alias(f"est_{price}_n"), F.sum(estimate).alias(f"est_{price}"),
+            F.count_if(own.isNotNull() & F.col("_single").isNull()).alias(f"_{price}"), F.count(own).alias(f"_all_{price}"),
+            F.max(F.when(own.isNotNull(), F.abs(estimate - own) / own)).alias(f"est_{price}_error"),
+        ]
+    month = month_of("date_booked").alias("month_booked")
+    found = cells.groupBy(*HOTEL, month).agg(*sums)
+    every = spine.join(single, ["date_stay", "date_booked"], "left").groupBy(month).agg(
+        F.count(F.lit(1)).alias("cells"), F.count_if(F.col("_single").isNull()).alias("_beside")
+    )
+    rows = hotels_of(cash).crossJoin(F.broadcast(every)).join(found, [*HOTEL, "month_booked"], "left")
+    # 0 for a priced cell, 1 for others beside a cell, nothing for those without
+    gap = lambda p: F.when((F.col("_beside") > 0) | (F.col(f"_all_{p}") > 0), F.col("_beside") - F.coalesce(F.col(f"_{p}"), F.lit(0)))
+    return rows.select(
+        *HOTEL, "month_booked", "cells", *[F.coalesce(F.col(f"est_{p}_n"), F.lit(0)).alias(f"est_{p}_n") for p in ("cash", "points")],
+        "est_cash", "est_points", gap("cash").alias("est_cash_gap"), gap("points").alias("est_points_gap"), "est_cash_error", "est_points_error",
+    )

@@ -465,19 +465,8 @@ def sample_templates(t):
 
 @query
 def lag_lead_interp(t):
-    """Adjacent-row estimates over the dense grid of one city, summed by hotel and month."""
-    rows = asof.adjacent_interpolation(grid.dense_grid(*_city_quotes(t), *SPINE))
-    return rows.groupBy(*HOTEL, month_of("date_booked").alias("month_booked")).agg(
-        F.count(F.lit(1)).alias("cells"),
-        F.count("est_cash").alias("est_cash_n"),
-        F.sum("est_cash").alias("est_cash"),
-        F.count("est_points").alias("est_points_n"),
-        F.sum("est_points").alias("est_points"),
-        F.sum("est_cash_gap").alias("est_cash_gap"),
-        F.sum("est_points_gap").alias("est_points_gap"),
-        F.max("est_cash_error").alias("est_cash_error"),
-        F.max("est_points_error").alias("est_points_error"),
-    )
+    """Adjacent-row estimates over the dense grid of all hotels, summed by hotel and month."""
+    return asof.adjacent_summary(*_all_quotes(t), *SPINE)
 
 
 # Quality reports

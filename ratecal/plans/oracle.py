@@ -309,22 +309,39 @@ covered AS (
   USING (hotel_group, hotel_name_key, date_stay, week_booked)
 )"""
 
-_LAG_LEAD = _GRID + """,
+# Cells that are priced or next to a priced one, and for each the prices of the grid's cells before and after it; besides, the
+# grid's cells by month, with those that have none beside them.
+_LAG_LEAD = _CELLS + "," + _SPINE + """,
+near AS (
+  SELECT DISTINCT hotel_group, hotel_name_key, date_stay, CAST(c.date_booked + o.step AS DATE) AS date_booked
+  FROM cells c CROSS JOIN (VALUES (-1), (0), (1)) o(step)
+),
+single AS (SELECT date_stay FROM spine GROUP BY 1 HAVING count(*) = 1),
 sides AS (
-  SELECT *, lag(cash) OVER w AS pc, lead(cash) OVER w AS nc, lag(points) OVER w AS pp, lead(points) OVER w AS np,
-    lag(date_booked) OVER w AS pd, lead(date_booked) OVER w AS nd
-  FROM grid WINDOW w AS (PARTITION BY hotel_group, hotel_name_key, date_stay ORDER BY date_booked)
+  SELECT n.*, o.cash, o.points, p.cash AS pc, p.points AS pp, x.cash AS nc, x.points AS np, n.date_stay IN (SELECT date_stay FROM single) AS alone
+  FROM near n SEMI JOIN spine s ON s.date_booked = n.date_booked AND s.date_stay = n.date_stay
+  LEFT JOIN cells o ON o.hotel_group = n.hotel_group AND o.hotel_name_key = n.hotel_name_key AND o.date_stay = n.date_stay AND o.date_booked = n.date_booked
+  LEFT JOIN cells p ON p.hotel_group = n.hotel_group AND p.hotel_name_key = n.hotel_name_key AND p.date_stay = n.date_stay AND p.date_booked = n.date_booked - 1
+  LEFT JOIN cells x ON x.hotel_group = n.hotel_group AND x.hotel_name_key = n.hotel_name_key AND x.date_stay = n.date_stay AND x.date_booked = n.date_booked + 1
 ),
 adjacent AS (
   SELECT *, coalesce(cash, CASE WHEN pc IS NOT NULL AND nc IS NOT NULL
-      THEN CAST((2 * (CAST(pc * 10000 AS HUGEINT) * (nd - date_booked) + CAST(nc * 10000 AS HUGEINT) * (date_booked - pd)) + 100 * (nd - pd))
-        // (200 * (nd - pd)) AS DECIMAL(18,4)) / 100 ELSE coalesce(pc, nc) END) AS est_cash,
+      THEN CAST((CAST(pc * 10000 AS HUGEINT) + CAST(nc * 10000 AS HUGEINT) + 100) // 200 AS DECIMAL(18,4)) / 100 ELSE coalesce(pc, nc) END) AS est_cash,
     coalesce(points, CASE WHEN pp IS NOT NULL AND np IS NOT NULL
-      THEN CAST((2 * (CAST(pp * 10000 AS HUGEINT) * (nd - date_booked) + CAST(np * 10000 AS HUGEINT) * (date_booked - pd)) + 10000 * (nd - pd))
-        // (20000 * (nd - pd)) AS DECIMAL(18,4)) ELSE coalesce(pp, np) END) AS est_points,
-    CASE WHEN cash IS NULL THEN least(date_booked - pd, nd - date_booked) ELSE 0 END AS est_cash_gap,
-    CASE WHEN points IS NULL THEN least(date_booked - pd, nd - date_booked) ELSE 0 END AS est_points_gap
+      THEN CAST((CAST(pp * 10000 AS HUGEINT) + CAST(np * 10000 AS HUGEINT) + 10000) // 20000 AS DECIMAL(18,4)) ELSE coalesce(pp, np) END) AS est_points
   FROM sides
+),
+by_month AS (
+  SELECT hotel_group, hotel_name_key, CAST(date_trunc('month', date_booked) AS DATE) AS month_booked, count(est_cash) AS est_cash_n,
+    CAST(sum(CAST(est_cash AS DECIMAL(18,4))) AS DOUBLE) AS est_cash, count(est_points) AS est_points_n, CAST(sum(CAST(est_points AS DECIMAL(18,4))) AS DOUBLE) AS est_points,
+    count(CASE WHEN NOT alone THEN cash END) AS cash_n, count(CASE WHEN NOT alone THEN points END) AS points_n,
+    max(CASE WHEN cash IS NOT NULL THEN CAST(abs(est_cash - cash) / cash AS DOUBLE) END) AS est_cash_error,
+    max(CASE WHEN points IS NOT NULL THEN CAST(abs(est_points - points) / points AS DOUBLE) END) AS est_points_error
+  FROM adjacent GROUP BY ALL
+),
+months AS (
+  SELECT CAST(date_trunc('month', date_booked) AS DATE) AS month_booked, count(*) AS cells,
+    count(CASE WHEN date_stay NOT IN (SELECT date_stay FROM single) THEN 1 END) AS beside FROM spine GROUP BY 1
 )"""
 
 
@@ -463,13 +480,11 @@ FROM n4 GROUP BY 1, 2"""),
         "sample_templates": _with(_CITY, _SAMPLE, latest, key_map, """SELECT l.* EXCLUDE (created_at, _id), m.hotel_name_key
 FROM latest l JOIN key_map m USING (hotel_group, hotel_id)
 WHERE (m.hotel_group, m.hotel_name_key) IN (SELECT (hotel_group, hotel_name_key) FROM sample)"""),
-        "lag_lead_interp": _with(_CITY, _LAG_LEAD, """SELECT hotel_group, hotel_name_key, CAST(date_trunc('month', date_booked) AS DATE) AS month_booked,
-  count(*) AS cells, count(est_cash) AS est_cash_n, CAST(sum(CAST(est_cash AS DECIMAL(18,4))) AS DOUBLE) AS est_cash,
-  count(est_points) AS est_points_n, CAST(sum(CAST(est_points AS DECIMAL(18,4))) AS DOUBLE) AS est_points,
-  CAST(sum(est_cash_gap) AS BIGINT) AS est_cash_gap, CAST(sum(est_points_gap) AS BIGINT) AS est_points_gap,
-  max(CASE WHEN cash IS NOT NULL THEN CAST(abs(est_cash - cash) / cash AS DOUBLE) END) AS est_cash_error,
-  max(CASE WHEN points IS NOT NULL THEN CAST(abs(est_points - points) / points AS DOUBLE) END) AS est_points_error
-FROM adjacent GROUP BY ALL"""),
+        "lag_lead_interp": _with(_ALL, _LAG_LEAD, """SELECT h.hotel_group, h.hotel_name_key, m.month_booked, cells, coalesce(est_cash_n, 0) AS est_cash_n,
+  coalesce(est_points_n, 0) AS est_points_n, est_cash, est_points, CASE WHEN beside > 0 THEN beside - coalesce(cash_n, 0) END AS est_cash_gap,
+  CASE WHEN beside > 0 THEN beside - coalesce(points_n, 0) END AS est_points_gap, est_cash_error, est_points_error
+FROM (SELECT DISTINCT hotel_group, hotel_name_key FROM cash) h CROSS JOIN months m
+LEFT JOIN by_month b ON b.hotel_group = h.hotel_group AND b.hotel_name_key = h.hotel_name_key AND b.month_booked = m.month_booked"""),
         # quality reports
         "weekday_shares": _with(_QUOTES, _shares("TRUE")),
         "weekday_shares_points": _with(_QUOTES, _shares("points IS NOT NULL")),

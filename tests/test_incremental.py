@@ -75,6 +75,33 @@ def test_refresh_equals_rebuild(spark, seed):
     assert nothing.touched.count() == 0 and nothing.estimates.exceptAll(estimates).count() == 0
 
 
+@pytest.mark.parametrize("spine", [("2023-01-30", "2023-03-02"), ("2024-02-28", "2024-03-01"), ("2023-01-01", "2023-01-01")])
+def test_adjacent_summary_equals_the_dense_grid(spark, spine):
+    from ratecal.functions.calendar import month_of
+    from ratecal.operators.grid import dense_grid
+
+    random.seed(7)
+    first, days = date.fromisoformat(spine[0]), (date.fromisoformat(spine[1]) - date.fromisoformat(spine[0])).days
+
+    def some(n, keys):
+        out = {}
+        for _ in range(n):
+            booked = first + timedelta(random.randrange(days + 1))
+            stay = booked + timedelta(random.choice([0, 1, 2, 3, 300, 364, 365, 366]))
+            out[random.choice(keys), stay, booked] = random.randrange(2, 5000) / 100
+        return [(k, str(s), str(b), p) for (k, s, b), p in out.items()]
+
+    cash, points = clean(spark, "cash", some(120, "ab")), clean(spark, "points", some(90, "abc"))
+    rows = asof.adjacent_interpolation(dense_grid(cash, points, *spine)).groupBy("hotel_group", "hotel_name_key", month_of("date_booked").alias("month_booked"))
+    sums = [f(c).alias(n) for p in ("cash", "points") for f, c, n in (
+        (F.count, f"est_{p}", f"est_{p}_n"), (F.sum, f"est_{p}", f"est_{p}"), (F.sum, f"est_{p}_gap", f"est_{p}_gap"), (F.max, f"est_{p}_error", f"est_{p}_error"),
+    )]
+    slow = rows.agg(F.count(F.lit(1)).alias("cells"), *sums)
+    fast = asof.adjacent_summary(cash, points, *spine)
+    key = lambda df: sorted((tuple(map(lambda v: v if v is None or isinstance(v, (str, date)) else float(v), r)) for r in df.select(*sorted(slow.columns)).collect()), key=repr)
+    assert key(fast) == key(slow) and key(fast)
+
+
 def _files(path):
     return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
 
