@@ -91,7 +91,8 @@ def _sample(docs, settings):
     )
     spot = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
     sizes = known.groupBy("lang").agg((F.lit(1_000_000.0 * settings.per_language) / F.count("*")).alias("_upto"))
-    return known.join(sizes, "lang").filter(spot < F.col("_upto")).select("text", "lang")
+    # one row a language, of which the profiles' n-grams come to the driver anyway; the texts stay where they are
+    return known.join(F.broadcast(sizes), "lang").filter(spot < F.col("_upto")).select("text", "lang")
 
 
 def fit(docs: DataFrame, settings: Settings = Settings()) -> Profiles:
