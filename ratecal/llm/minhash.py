@@ -96,10 +96,9 @@ def sketches(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
             n, high, low, keys, odd, whole = [], [], [], [], [], []
-            for a, b in chars.chunks(texts):
-                for found in shingle_sets(texts[a:b], settings.words):
+            for _, _, texts in chars.parts(batch.column(1)):
+                for found in shingle_sets(texts, settings.words):
                     n.append(len(found))
                     high.append(int(found.sum().view(np.int64)))
                     low.append(int(chars.mix(found).sum().view(np.int64)))
@@ -129,15 +128,23 @@ def sketches(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
     """doc_id and set of the documents in `wanted`, by one pass over all; a bitmap drops most others
-    before they are read as words, an exact join the rest."""
+    before they are read as words, an exact join the rest. A task tells repeated rows of a document once; where the
+    texts of an id differ, each set counts."""
     shared = docs.sparkSession.sparkContext.broadcast(bits.bitmap(wanted.select(F.xxhash64("doc_id"))))
 
     def run(batches):
+        told = set()
         for batch in batches:
             batch = batch.filter(pa.array(bits.member(shared.value, batch.column(1).to_numpy())))
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            sets = [s.view(np.int64) for a, b in chars.chunks(texts) for s in shingle_sets(texts[a:b], settings.words)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, type=pa.list_(pa.int64()))], names=["doc_id", "set"])
+            for a, b, texts in chars.parts(batch.column(2)):
+                rows = []
+                for doc, found in zip(batch.column(0).slice(a, b - a).to_pylist(), shingle_sets(texts, settings.words)):
+                    if (mark := (doc, len(found), int(found.sum()))) not in told:
+                        told.add(mark)
+                        rows.append((doc, found.view(np.int64)))
+                ids, sets = pa.array([d for d, _ in rows], type=pa.int64()), pa.array([s for _, s in rows], type=pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([ids, sets], names=["doc_id", "set"])
+        chars.release()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL")
     rows = rows.select("doc_id", F.xxhash64("doc_id").alias("at"), "text")
@@ -147,8 +154,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFr
 def _confirm(docs, pairs, settings):
     """Those of the pairs a, b whose full sets are similar enough."""
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    # a repeated row has the set of another; where the texts of an id differ, each set counts
-    sets = _full_sets(docs, wanted, settings).dropDuplicates()
+    sets = _full_sets(docs, wanted, settings)
     where = new_folder(docs.sparkSession)
     sets.write.parquet(where)
     sets = docs.sparkSession.read.schema(sets.schema).parquet(where)

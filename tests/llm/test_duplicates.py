@@ -290,3 +290,11 @@ def test_benchmark_passages_in_documents(spark):
         expected |= {(d, i) for i, w in items.items() if len(w & own) >= 0.9 * len(w)}
     found = queries.LLM_QUERIES["op8_template_decontamination"](spark, SF).collect()
     assert {(r.doc_id, r.item_id) for r in found} == expected and expected
+
+
+def test_repeated_rows_are_told_once(spark):
+    text = " ".join(f"w{i}" for i in range(400))
+    docs = spark.createDataFrame([(1, text)] * 60 + [(2, text + " end")] * 60, "doc_id long, text string").repartition(2)
+    sets = minhash._full_sets(docs, spark.createDataFrame([(1,), (2,)], "doc_id long"), minhash.Settings())
+    assert sets.count() <= 4
+    assert {(r.doc_id, r.component_id) for r in minhash.groups(docs).collect()} == {(1, 1), (2, 1)}
