@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratecal.functions.calendar import month_of
-from ratecal.operators import accounting, asof, clean, documents, grid, quality, refresh, sample, value
+from ratecal.operators import accounting, asof, asof_runs, clean, documents, grid, quality, refresh, sample, value
 from ratecal.plans import jobs
 from ratecal.schemas import CASH_DOCUMENT, HOTEL, HOTEL_CASH, HOTEL_POINTS
 from ratecal.session import new_folder
 from ratecal.sources import collections as src
-from ratecal.sources import current, tables
+from ratecal.sources import current, resume, tables, windows
 from ratecal.sources.testtables import TestTables
 from ratecal.streaming import deduplicate, incremental
 
@@ -146,6 +146,42 @@ def window_copy(t):
     return docs.select("_id", "hotel_group", "hotel_id", "date", "created_at")
 
 
+@query
+def window_copies(t):
+    """A stored copy after two intervals that overlap were copied in turn; by the second, some documents are gone."""
+    folder, docs = new_folder(t.spark), t.documents()
+    windows.replace_window(docs, folder, "1998-01-01", "1998-03-01 12:00:00")
+    windows.replace_window(docs.filter(_order_number() % 2 == 0), folder, "1998-02-01 03:00:00", "1998-04-01")
+    return windows.read_copy(t.spark, folder, docs.schema).select("_id", "hotel_group", "hotel_id", "date", "created_at")
+
+
+def _order_number():
+    return F.split("_id", "-")[0].cast("long")
+
+
+def _resumed(t):
+    """Cash documents of all dates ingested in three runs as their keys arrive; in the second, no stay date parses."""
+    folder, docs = new_folder(t.spark), t.documents().drop("points", "points_level")
+    third = docs.agg(F.expr("max(CAST(split(_id, '-')[0] AS BIGINT)) div 3")).first()[0] or 0
+    run = F.when(_order_number() < third, 1).when(_order_number() < 2 * third, 2).otherwise(3)
+    docs = docs.withColumn("date", F.when(run != 2, F.col("date")).otherwise("not a date"))
+    for run_id in (1, 2, 3):
+        resume.ingest_behind(t.spark, docs.filter(run <= run_id), folder, "cash", "hotel_calendar_cash_all", run_id, EXTRACTED)
+    return folder
+
+
+@query
+def resumed_ingest(t):
+    rows = resume.read_resumed(t.spark, _resumed(t), "cash")
+    return rows.select("input_table", "run_id", *HOTEL, "hotel_id", "date", "created_at", "_id", "cash_value", "extract_dt")
+
+
+@query
+def ingest_figures(t):
+    """What each run of `resumed_ingest` read, kept and dropped, and the keys it spans."""
+    return resume.read_figures(t.spark, _resumed(t))
+
+
 @query
 def snapshot_dedupe(t):
     return documents.snapshot_dedupe(t.documents()).select("_id", "hotel_id", "hotel_name_key", "date", "created_at")
@@ -397,6 +433,16 @@ def asof_next(t):
     return asof.nearest_quotes(grid.sample_base(*quotes, *SPINE), *quotes, sides=(asof.LATER,))
 
 
+@query
+def asof_any_size(t):
+    """Cash quotes nearest in time to every points quote of the same stay, none cleaned; a third of all quotes lie in one stay."""
+    hot = _order_number() % 3 == 0
+    one = {"hotel_group": F.lit("all"), "hotel_name_key": F.lit("hot"), "date": F.lit("1998-01-01").cast("date")}
+    skewed = lambda rows: rows.withColumns({c: F.when(hot, v).otherwise(F.col(c)) for c, v in one.items()})
+    rows = skewed(t.points_raw()).select("_id", *HOTEL, "date", "created_at", "points")
+    return asof_runs.neighbours_of_any_size(rows, skewed(t.cash_raw()), (*HOTEL, "date"), "created_at", "cash_value")
+
+
 @query
 def interpolate(t):
     return _city_estimates(t)

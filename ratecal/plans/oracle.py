@@ -254,6 +254,25 @@ _POINTS_ROW = """hotel_group, hotel_name, stay AS date, CAST(points AS DOUBLE) A
   points_level, hotel_name_key, hotel_id, _id"""
 
 
+# The three runs that keys arrive in; all stay dates of the second are bad, so they count as one date.
+_RESUMED = """
+valid AS (
+  SELECT * REPLACE (CASE WHEN run_id = '2' THEN 'not a date' ELSE date END AS date) FROM (
+    SELECT d.*, CASE WHEN n < third THEN '1' WHEN n < 2 * third THEN '2' ELSE '3' END AS run_id
+    FROM (SELECT *, CAST(split_part(_id, '-', 1) AS BIGINT) AS n FROM docs) d, (SELECT max(l_orderkey) // 3 AS third FROM lineitem)
+  )
+)"""
+
+# Quotes of which a third lie in one stay, with one cash price for each time.
+_SKEWED = """
+skewed AS (
+  SELECT * REPLACE (CASE WHEN hot THEN 'all' ELSE hotel_group END AS hotel_group, CASE WHEN hot THEN 'hot' ELSE hotel_name_key END AS hotel_name_key,
+    CASE WHEN hot THEN DATE '1998-01-01' ELSE date END AS date)
+  FROM (SELECT *, CAST(split_part(_id, '-', 1) AS BIGINT) % 3 = 0 AS hot FROM quotes)
+),
+timed AS (SELECT hotel_group, hotel_name_key, date, created_at, arg_max(cash_value, _id) AS cash_value FROM skewed GROUP BY 1, 2, 3, 4)"""
+
+
 def _shares(where):
     names = ("sun", "mon", "tues", "wed", "thu", "fri", "sat")
     shares = ", ".join(
@@ -390,6 +409,16 @@ FROM quotes WHERE city = 'nation_19'"""),
             "SELECT _id, created_at FROM quotes, b WHERE _id BETWEEN low AND high"),
         "window_copy": _with(_QUOTES, _DOCS, """SELECT _id, hotel_group, hotel_id, date, created_at FROM docs
 WHERE created_at >= TIMESTAMP '1998-01-01' AND created_at < TIMESTAMP '1998-02-01'"""),
+        "window_copies": _with(_QUOTES, _DOCS, """SELECT _id, hotel_group, hotel_id, date, created_at FROM docs
+WHERE created_at >= TIMESTAMP '1998-01-01' AND created_at < TIMESTAMP '1998-02-01 03:00:00'
+  OR created_at >= TIMESTAMP '1998-02-01 03:00:00' AND created_at < TIMESTAMP '1998-04-01' AND CAST(split_part(_id, '-', 1) AS BIGINT) % 2 = 0"""),
+        "resumed_ingest": _with(_QUOTES, _DOCS, _RESUMED, _snapshots("valid", within="run_id,"), """SELECT 'hotel_calendar_cash_all' AS input_table, run_id, 'all' AS hotel_group, hotel_name_key, hotel_id,
+  stay AS date, created_at, _id, CASE WHEN kind = 'object' THEN CAST(cash_value AS DOUBLE) END AS cash_value, TIMESTAMP '2024-01-01' AS extract_dt
+FROM snapshots WHERE is_object AND NOT bad_date AND run_id <> '2'"""),
+        "ingest_figures": _with(_QUOTES, _DOCS, _RESUMED, _snapshots("valid", within="run_id,"), """figures AS (
+  SELECT v.run_id, max(v._id) AS upto, count(*) AS n_read, (SELECT count(*) FROM snapshots s WHERE s.run_id = v.run_id AND s.is_object AND NOT s.bad_date AND s.run_id <> '2') AS n_kept
+  FROM valid v GROUP BY v.run_id)""", """SELECT 'hotel_calendar_cash_all' AS input_table, run_id, lag(upto) OVER (ORDER BY run_id) AS after, upto, n_read, n_kept, n_read - n_kept AS n_dropped
+FROM figures"""),
         "snapshot_dedupe": _with(_QUOTES, _DOCS, _snapshots("docs"), "SELECT _id, hotel_id, hotel_name_key, date, created_at FROM snapshots"),
         "clean_cash": _with(_QUOTES, _DOCS, f"SELECT {_CASH_ROW} FROM docs WHERE is_object AND NOT bad_date"),
         "clean_points": _with(_QUOTES, _DOCS, f"SELECT {_POINTS_ROW} FROM docs WHERE points IS NOT NULL AND NOT bad_date"),
@@ -468,6 +497,11 @@ FROM n4 GROUP BY 1, 2"""),
         # neighbours, estimates, sample
         "asof_prev": _with(_CITY, _BASE, _PREV, f"SELECT {_doubles('cash', 'points', 'cash_prev', 'points_prev')} FROM n2"),
         "asof_next": _with(_CITY, _BASE, _NEXT, f"SELECT {_doubles('cash', 'points', 'cash_next', 'points_next')} FROM n2"),
+        "asof_any_size": _with(_QUOTES, _SKEWED, """SELECT q._id, q.hotel_group, q.hotel_name_key, q.date, q.created_at, CAST(q.points AS DOUBLE) AS points,
+  CAST(a.cash_value AS DOUBLE) AS cash_value_prev, a.created_at AS cash_value_prev_at, CAST(b.cash_value AS DOUBLE) AS cash_value_next, b.created_at AS cash_value_next_at
+FROM (SELECT * FROM skewed WHERE points IS NOT NULL) q
+ASOF LEFT JOIN timed a ON a.hotel_group = q.hotel_group AND a.hotel_name_key = q.hotel_name_key AND a.date = q.date AND q.created_at > a.created_at
+ASOF LEFT JOIN timed b ON b.hotel_group = q.hotel_group AND b.hotel_name_key = q.hotel_name_key AND b.date = q.date AND q.created_at < b.created_at"""),
         "interpolate": _with(_CITY, _EST, "SELECT " + _doubles(
             "cash", "points", "cash_prev", "cash_next", "points_prev", "points_next", "cash_est", "points_est") + " FROM est"),
         "hotel_sample": _with(_CITY, _SAMPLE, _SAMPLE_OUT),
