@@ -43,6 +43,22 @@ def _name(url) -> Column:
     return F.concat(scheme, F.lit("://"), host(url), F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1))
 
 
+def _without_dots(url) -> Column:
+    """An URL whose path has no `.` and `..` steps; others stay as they are, letter by letter."""
+    origin, way = (F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)([^?#]*)", k) for k in (1, 2))
+    steps = F.slice(F.split(way, "/"), 2, 1 << 30)
+    start = F.array().cast("array<string>")
+    kept = F.aggregate(
+        steps, start,
+        lambda held, step: F.when(step == "..", F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0))))
+        .when(step == ".", held).otherwise(F.concat(held, F.array(step))),
+    )
+    # a last step of dots names a folder
+    folder = F.when(way.rlike(r"/\.\.?$") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
+    whole = F.concat(origin, F.lit("/"), F.array_join(kept, "/"), folder, F.regexp_extract(url, r"(?s)^[^?#]*(.*)", 1))
+    return F.when(way.rlike(r"/\.\.?(/|$)"), whole).otherwise(url)
+
+
 def _absolute(base, link) -> Column:
     """A link as an URL, seen from the page `base`."""
     origin = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
@@ -57,25 +73,36 @@ def _absolute(base, link) -> Column:
     )
 
 
+# comments, and elements whose content is no markup; an unclosed one reaches to the end of the page
+UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style|textarea|title|template)\b.*?(?:</\1\s*>|\z)"
+
+
 def links(pages: DataFrame) -> DataFrame:
-    """(url, target) of each redirect (`meta http-equiv=refresh`) and canonical link of a page."""
+    """(url, target) of each redirect (`meta http-equiv=refresh`) and canonical link of a page. Links in comments, scripts
+    and their like are none. A relative one is seen from the page's first `base href`, if it has one."""
     text = F.col("html")
-    tags = F.regexp_extract_all(text, F.lit(r"(?is)(<(?:link|meta)\b[^>]*>)"), F.lit(1))
+    tags = F.regexp_extract_all(F.regexp_replace(text, UNSEEN, " "), F.lit(r"(?is)(<(?:link|meta|base)\b[^>]*>)"), F.lit(1))
+    # each step is kept apart from the next, which uses its result many times
     tagged = (
         pages.select("url", "html").filter(F.col("url").contains("://"))
-        .filter(text.rlike(r"(?i)canonical|refresh")).select("url", F.explode(tags).alias("tag"))
+        .filter(text.rlike(r"(?i)canonical|refresh")).select("url", F.explode(F.array(tags)).alias("tags"))
     )
+    href = r"""(?is)\bhref\s*=\s*["']?\s*([^"'>\s]+)"""
+    bases = F.filter("tags", lambda x: x.rlike(r"(?i)^<base\b") & x.rlike(href))
+    seen_from = F.regexp_extract(F.coalesce(F.get(bases, F.lit(0)), F.lit("")), href, 1)
+    tagged = tagged.select("url", seen_from.alias("base"), F.explode("tags").alias("tag"))
     tag = F.col("tag")
-    link = F.regexp_extract(tag, r"""(?is)\bhref\s*=\s*["']?\s*([^"'>\s]+)""", 1)
     refresh = F.regexp_extract(tag, r"""(?is)\bcontent\s*=\s*["']?\s*[0-9.]*\s*[;,]\s*url\s*=\s*['"]?\s*([^"'>\s]+)""", 1)
-    target = F.when(tag.rlike(r"""(?is)^<link\b.*\brel\s*=\s*["']?[^"'>]*\bcanonical\b"""), link).when(
+    target = F.when(tag.rlike(r"""(?is)^<link\b.*\brel\s*=\s*["']?[^"'>]*\bcanonical\b"""), F.regexp_extract(tag, href, 1)).when(
         tag.rlike(r"""(?is)^<meta\b.*\bhttp-equiv\s*=\s*["']?refresh\b"""), refresh
     )
     # an attribute's character reference for the ampersand is the only one that URLs commonly hold
     target = F.replace(target, F.lit("&amp;"), F.lit("&"))
-    # each step is kept apart from the next, which uses its result many times
-    found = tagged.select("url", F.explode(F.filter(F.array(target), lambda x: F.length(x) > 0)).alias("link"))
-    return found.select("url", _absolute(F.col("url"), F.col("link")).alias("target")).distinct()
+    found = tagged.select("url", "base", F.explode(F.filter(F.array(target), lambda x: F.length(x) > 0)).alias("link"))
+    base = F.when(F.length("base") > 0, _absolute(F.col("url"), F.col("base"))).otherwise(F.col("url"))
+    found = found.select("url", "link", F.explode(F.array(base)).alias("base"))
+    found = found.select("url", F.explode(F.array(_absolute(F.col("base"), F.col("link")))).alias("target"))
+    return found.select("url", _without_dots(F.col("target")).alias("target")).distinct()
 
 
 def judge(pages: DataFrame, rules, more_links: DataFrame | None = None) -> DataFrame:
@@ -102,7 +129,10 @@ def judge(pages: DataFrame, rules, more_links: DataFrame | None = None) -> DataF
     rows = pages.select("page_id", "url").withColumns({"host": host(url), "path": path(url)})
     rule, ruling = rule_columns(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "_ruling": ruling})
-    alias = F.when(F.col("_ruling").isNull() & url.contains("://"), F.xxhash64(_name(url)))
-    rows = rows.withColumn("_alias", alias).join(barred.withColumn("_barred", F.lit(True)), F.col("_alias") == F.col("_node"), "left")
-    verdict = F.coalesce("_ruling", F.when(F.col("_barred"), "block").otherwise("allow"))
-    return rows.select("page_id", "host", "path", "rule", verdict.alias("verdict"))
+    # only rows that neither a rule decides nor lack a name take part in the join: the others would share one key
+    named = F.coalesce(F.col("_ruling").isNull() & url.contains("://"), F.lit(False))
+    decided = rows.filter(~named).select("page_id", "host", "path", "rule", F.coalesce("_ruling", F.lit("allow")).alias("verdict"))
+    asked = rows.filter(named).withColumn("_alias", F.xxhash64(_name(url)))
+    asked = asked.join(barred.withColumn("_barred", F.lit(True)), F.col("_alias") == F.col("_node"), "left")
+    verdict = F.when(F.col("_barred"), "block").otherwise("allow")
+    return decided.union(asked.select("page_id", "host", "path", "rule", verdict.alias("verdict")))

@@ -243,3 +243,25 @@ def test_blocks_reach_aliases(spark):
     found = urls.judge(frame, queries.RULES, log).collect()
     assert len(found) == len(pages) and [r.verdict for r in found if r.page_id == 7] == ["block", "block"]
     assert urls.judge(frame.limit(0), queries.RULES).collect() == []
+
+
+def test_links_are_read_as_a_browser_does(spark):
+    canonical = '<link rel="canonical" href="{}">'.format
+    blocked = canonical("http://x.net/es/page")
+    pages = [
+        (1, "http://a.org/1", f"<!-- {blocked} -->"), (2, "http://a.org/2", f"<script>var s = '{blocked}'</script><p>x"),
+        (3, "http://a.org/3", f"<p><!-- {blocked}"), (4, "http://a.org/4", f"<!-- a --><script>1</script>{blocked}<!-- b -->"),
+        (5, "http://x.net/a/b/c", canonical("../../es")), (6, "http://x.net/a/b/d", canonical("../es/x")),
+        (7, "http://x.net/a/e", canonical("../../../es/./y?q=../z")), (8, "http://b.org/f", '<base href="http://x.net/fr/g">' + canonical("h")),
+        (9, "http://x.net/i/j", '<base href="../k/">' + canonical("../fr/.")), (10, "http://b.org/l", canonical("http://x.net/en/../es/m")),
+        (11, "http://b.org/n", canonical("http://x.net/en/a..b/es/")), (12, None, blocked), (13, "none", blocked), (14, "http://b.org/o", None),
+        (None, "http://x.net/es/p", None),
+    ]
+    # x.net/es has no slash behind it, so no rule fits and it is only blocked as an alias of its own
+    more = spark.createDataFrame([("http://x.net/es", "http://x.net/es/")], "url string, target string")
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    found = {r.page_id: r.verdict for r in urls.judge(frame, queries.RULES, more).collect()}
+    assert len(found) == len(pages) and {k for k, v in found.items() if v == "block"} == {4, 5, 7, 8, 9, 10, None}
+    ends = {r.url[-3:]: r.target for r in urls.links(frame).collect()}
+    assert ends["b/c"] == "http://x.net/es" and ends["a/e"] == "http://x.net/es/y?q=../z" and ends["i/j"] == "http://x.net/fr/"
+    assert ends["b/d"] == "http://x.net/a/es/x" and ends["g/f"] == "http://x.net/fr/h" and ends["g/n"] == "http://x.net/en/a..b/es/"
