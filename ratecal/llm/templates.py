@@ -266,6 +266,38 @@ class Hits:
         return found
 
 
+def required(items: DataFrame, settings: Settings) -> DataFrame:
+    """item_id, tokens, window: the windows of which a document that holds enough of an item has at least one. An item's other
+    windows, those that most items share, cover less than `coverage` of its tokens."""
+    shared = items.select("item_id", "window").distinct().groupBy("window").agg(F.count(F.lit(1)).alias("df"))
+    listed = items.join(shared, "window").groupBy("item_id", "tokens").agg(
+        F.sort_array(F.collect_list(F.struct("df", "window", "place")), asc=False).alias("w")
+    )
+
+    def run(batches):
+        for batch in batches:
+            rows, windows = [], []
+            for i, (n, w) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                common, known, covered = set(), np.zeros(n + settings.window, dtype=bool), 0
+                for x in w:
+                    covered += settings.window - int(known[x["place"] : x["place"] + settings.window].sum())
+                    if covered >= settings.coverage * n:
+                        common.discard(x["window"])  # not all of its places fit
+                        break
+                    known[x["place"] : x["place"] + settings.window] = True
+                    common.add(x["window"])
+                rare = {x["window"] for x in w} - common
+                rows += [i] * len(rare)
+                windows += sorted(rare)
+            at = pa.array(rows, type=pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(windows, type=pa.int64())], names=["item_id", "tokens", "window"]
+            )
+
+    kind = items.schema["item_id"].dataType.simpleString()
+    return listed.mapInArrow(run, f"item_id {kind}, tokens long, window long")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """doc_id, item_id, covered, tokens, coverage for each document that has at least `coverage` of the
     tokens of a benchmark item in common windows.
@@ -278,16 +310,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings
     anywhere in it count if they agree with that.
 
     A bitmap of fixed size holds the benchmark's windows, so of all windows of the documents only
-    those that may be the benchmark's leave their task; a hash join with the windows decides.
+    those that may be the benchmark's leave their task; a hash join with the windows decides. Documents and items first meet
+    by the items' required windows alone, so an opening that many items share pairs nothing by itself.
     """
     items = _found(benchmark.filter("item_id IS NOT NULL"), "item_id", settings).checkpoint()
     keep = docs.sparkSession.sparkContext.broadcast(bits.bitmap(items.select("window")))
     found = _found(docs.filter("doc_id IS NOT NULL"), "doc_id", settings, keep)
-    found = found.groupBy("doc_id", "window", "slots").agg(F.collect_set("place").alias("places"))
+    found = found.groupBy("doc_id", "window", "slots").agg(F.collect_set("place").alias("places")).checkpoint()
+    pairs = found.select("doc_id", "window").join(required(items, settings), "window").select("doc_id", "item_id", "tokens").distinct()
     theirs = items.withColumnRenamed("slots", "item_slots").groupBy("item_id", "tokens", "window", "item_slots").agg(
         F.collect_set("place").alias("item_places")
     )
-    hits = found.join(theirs, "window").groupBy("doc_id", "item_id", "tokens").agg(
+    wanted = pairs.join(theirs, ["item_id", "tokens"])
+    hits = wanted.join(found, ["doc_id", "window"]).groupBy("doc_id", "item_id", "tokens").agg(
         F.collect_list(F.struct("item_slots", "slots", "item_places", "places")).alias("hits")
     )
 

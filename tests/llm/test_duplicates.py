@@ -225,6 +225,40 @@ CASES = [
 ]
 
 
+def test_shared_openings_pair_nothing(spark):
+    """Items that begin alike: the opening's windows are not required, so only a document's own item meets it."""
+    random.seed(11)
+    words = ["w" + "".join(random.choice("bcdfglmnr") + random.choice("aeiou") for _ in range(4)) for _ in range(3000)]
+    opening = " ".join(words[:10])
+    items = [(i, f"{opening} " + " ".join(random.choices(words[10:], k=random.choice([4, 12, 20])))) for i in range(60)]
+    items += [(60, opening), (61, items[0][1]), (61, items[0][1])]
+    docs = [(i, "zz yy " + text + " xx") for i, text in items[:40]] + [(100 + i, f"{opening} " + " ".join(random.choices(words, k=30))) for i in range(40)]
+    bench, frame = (spark.createDataFrame(x, "{} long, text string".format(n)) for x, n in ((items, "item_id"), (docs, "doc_id")))
+    settings = templates.Settings()
+    windows = templates._found(bench, "item_id", settings)
+    least = {r.item_id: r.tokens * settings.coverage for r in windows.collect()}
+    need, places, opened = {}, {}, {r.window for r in windows.filter("item_id = 60").collect()}
+    for r in templates.required(windows, settings).collect():
+        need.setdefault(r.item_id, set()).add(r.window)
+    for r in windows.collect():
+        places.setdefault(r.item_id, []).append((r.window, r.place))
+    for item, held in places.items():
+        rest = {q + k for w, q in held if w not in need[item] for k in range(settings.window)}
+        assert len(rest) < least[item]
+    assert not any(need[i] & opened for i, text in items[:60] if len(text.split()) > 14)
+    # against coverage counted for every document and item
+    own = {}
+    for r in templates._found(frame, "doc_id", settings).collect():
+        own.setdefault(r.doc_id, set()).add(r.window)
+    expected = set()
+    for doc, held in own.items():
+        for item, w in places.items():
+            if len({q + k for x, q in w if x in held for k in range(settings.window)}) >= least[item]:
+                expected.add((doc, item))
+    found = {(r.doc_id, r.item_id) for r in templates.matches(frame, bench).collect()}
+    assert found == expected and {(i, i) for i in range(40)} | {(0, 61), (100, 60)} <= found
+
+
 def test_templates(spark):
     docs = spark.createDataFrame([(i, t, 1) for i, t, _ in CASES], "doc_id long, text string, window int")
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
