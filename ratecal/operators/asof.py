@@ -4,8 +4,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratecal.functions.calendar import date_literal, month_of
+from ratecal.functions.frames import spread
 from ratecal.operators.grid import (
-    OFFSETS, date_spine, hotels_of, in_spine, last_stay, observed_cells, sample_base, sampled_days, stays_and_quotes,
+    OFFSETS, cells_of, date_spine, hotels_of, in_spine, last_stay, observed_cells, own_price, place, sampled_days, stays_and_quotes,
 )
 from ratecal.schemas import CELL, HOTEL, PRICE, STAY
 
@@ -47,18 +48,49 @@ def nearest_quotes(base: DataFrame, cash: DataFrame, points: DataFrame, sides=(E
     """Any table of cells with the quotes nearest to each: a strict as-of join of both quote
     tables in both directions.
 
-    Cells and quotes go through one shuffle and are scanned in date order. Joining each cell
-    to all quotes on one side of it and keeping the nearest gives the same rows, but pairs
-    cells x quotes within every stay.
+    Quotes are gathered by stay, at most one a day, and each cell looks for its neighbours among those of its stay. Cells
+    are neither sorted nor united with quotes; those that are dealt by stay, like `sample_base`'s, stay where they are.
     """
-    quoted = {"_cash": ("cash", cash), "_points": ("points", points)}
-    rows = base.withColumn("_cell", F.lit(True))
-    for name, (price, table) in quoted.items():
-        rows = rows.unionByName(
-            table.select(*CELL, F.col(price).cast(PRICE).alias(name)), allowMissingColumns=True
-        )
-    found = add_neighbours(rows, {"cash": F.col("_cash"), "points": F.col("_points")}, sides)
-    return found.filter("_cell").drop("_cell", *quoted)
+    none = F.lit(None)
+    quote = lambda price: F.struct(F.col("date_booked").alias("day"), F.col(price).cast(PRICE).alias("price"))
+    kind = "struct<day:date,price:decimal(18,4)>"
+    rows = cash.select(*STAY, quote("cash").alias("_cash"), none.cast(kind).alias("_points")).union(
+        points.select(*STAY, none.cast(kind), quote("points"))
+    )
+    known = (
+        spread(rows, place())
+        .groupBy(place().alias("_place"), *STAY)
+        .agg(F.collect_list("_cash").alias("_cash"), F.collect_list("_points").alias("_points"))
+    )
+    # One key to join by, which is what both sides are dealt by. The stay is compared in the pairs that it makes, as a
+    # range, for an equality would be a further key to deal by. Structs of NULLs are equal.
+    mine, theirs = (F.struct(*[F.col(f"{side}.{c}") for c in STAY]) for side in "ab")
+    same = (F.col("_place") == F.xxhash64(*[F.col(f"a.{c}") for c in STAY])) & mine.between(theirs, theirs)
+    held = base.alias("a").join(known.hint("shuffle_hash").alias("b"), same, "left").select("a.*", "_cash", "_points")
+    day = F.col("date_booked")
+    found = [neighbour(p, side, day) for p in ("cash", "points") for side in sides]
+    held = held.withColumn("_found", F.when(F.col("_cash").isNotNull(), F.struct(*found)))
+    return held.select(*[F.col(f"`{c}`") for c in base.columns], *_neighbours(sides))
+
+
+def neighbour(price: str, side: str, day: Column) -> Column:
+    """The day and price of the quote nearest to a day on one side of it, from a stay's quotes."""
+    if side == EARLIER:
+        return F.array_max(F.filter(f"_{price}", lambda q: q.day < day)).alias(f"{price}_{side}")
+    return F.array_min(F.filter(f"_{price}", lambda q: q.day > day)).alias(f"{price}_{side}")
+
+
+def _neighbours(sides=(EARLIER, LATER)) -> list[Column]:
+    """Prices and gaps of the neighbours in `_found`."""
+    out = []
+    for price in ("cash", "points"):
+        for side in sides:
+            quote = F.col(f"_found.{price}_{side}")
+            out += [
+                quote.price.alias(f"{price}_{side}"),
+                F.abs(F.datediff("date_booked", quote.day)).alias(GAPS[price, side]),
+            ]
+    return out
 
 
 def interpolate(cells: DataFrame) -> DataFrame:
@@ -79,28 +111,17 @@ def sample_estimates(cash: DataFrame, points: DataFrame, start, end, offsets=OFF
     """Sampled cells, their neighbours and estimates, from the clean tables at once. Equal to
     `interpolate(nearest_quotes(sample_base(..), ..))`.
 
-    No sorting is needed: every quote is held against each of its stay's cells, and hash
-    aggregation keeps the nearest on both sides. All of it happens after the one shuffle by
-    stay. The work is quotes x offsets; for hundreds of offsets the three steps are cheaper.
+    Each sampled day of a stay is held against the stay's quotes, after the one shuffle. The work is quotes x offsets,
+    and making the cells; for hundreds of offsets the three steps are cheaper.
     """
-    rows = stays_and_quotes(cash, points, start, end, offsets)
-    quoted = F.col("quoted")
-    held = rows.withColumnRenamed("date_booked", "quoted").withColumn("date_booked", F.explode(sampled_days(offsets)))
-    nearest = [F.max(quoted.isNull()).alias("is_cell")]
-    for price in ("cash", "points"):
-        value = F.col(price)
-        earlier = F.when(value.isNotNull() & (quoted < F.col("date_booked")), quoted)
-        later = F.when(value.isNotNull() & (quoted > F.col("date_booked")), quoted)
-        nearest += [
-            F.max(F.when(quoted == F.col("date_booked"), value)).alias(price),
-            F.max_by(value, earlier).alias(f"{price}_prev"),
-            F.datediff("date_booked", F.max(earlier)).alias(GAPS[price, EARLIER]),
-            F.min_by(value, later).alias(f"{price}_next"),
-            F.datediff(F.min(later), "date_booked").alias(GAPS[price, LATER]),
-        ]
-    cells = held.filter(in_spine(start, end)).groupBy(*CELL).agg(*nearest).filter("is_cell")
-    window = F.datediff("date_stay", "date_booked")
-    return estimated(cells.withColumn("booking_window", window))
+    def find(day):
+        sides = [neighbour(p, side, day) for p in ("cash", "points") for side in (EARLIER, LATER)]
+        return F.struct(own_price("cash", day), own_price("points", day), *sides)
+
+    stays = stays_and_quotes(cash, points, start, end, offsets).filter("is_stay")
+    cells = cells_of(stays, sampled_days(offsets), find).filter(in_spine(start, end))
+    window = F.datediff("date_stay", "date_booked").alias("booking_window")
+    return estimated(cells.select(*CELL, window, "_found.cash", "_found.points", *_neighbours()))
 
 
 def estimated(cells: DataFrame) -> DataFrame:
