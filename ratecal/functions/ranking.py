@@ -34,10 +34,13 @@ def number_rows(df: DataFrame, keys, *order: Column, name="rn") -> DataFrame:
         .withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
         .drop("_n")
     )
+    # A run can only go on with a key at its beginning, so there are at most as many of these rows as partitions.
+    later = runs.filter("_before > 0")
     numbered = ranged.withColumn("_within", F.row_number().over(within)).alias("a")
     same_run = F.col("a._run") == F.col("b._run")
     for key in keys:
         same_run &= F.col(f"a.{key}").eqNullSafe(F.col(f"b.{key}"))
-    return numbered.join(runs.alias("b"), same_run).select(
-        *[F.col(f"a.`{c}`") for c in df.columns], (F.col("_within") + F.col("_before")).alias(name)
+    before = F.coalesce("_before", F.lit(0))
+    return numbered.join(F.broadcast(later).alias("b"), same_run, "left").select(
+        *[F.col(f"a.`{c}`") for c in df.columns], (F.col("_within") + before).alias(name)
     )
