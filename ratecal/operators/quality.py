@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratecal.functions.calendar import date_literal, week_of, weekday, whole_days_ahead
-from ratecal.functions.frames import ratio
+from ratecal.functions.frames import in_order, ratio, spread
 from ratecal.functions.ranking import number_rows
 from ratecal.operators.documents import holds_object, price_amount
 from ratecal.operators.grid import hotels_of, observed_cells
@@ -202,9 +202,9 @@ def week_weekday_fill(cash: DataFrame, points: DataFrame, start, end) -> DataFra
         for price in ("cash", "points")
         for i, name in enumerate(_WEEKDAYS)
     ]
-    return (
-        empty.union(filled).groupBy(*HOTEL, "week_booked").agg(*counts).orderBy("hotel_group", "week_booked", "hotel_name_key")
-    )
+    # both steps keep the session's width: rows are many and small, and adaptive execution would merge tasks by their packed size
+    rows = spread(empty.union(filled), *HOTEL, "week_booked").groupBy(*HOTEL, "week_booked").agg(*counts)
+    return in_order(rows, "hotel_group", "week_booked", "hotel_name_key")
 
 
 def cumulative_coverage(cells: DataFrame) -> DataFrame:
@@ -238,6 +238,8 @@ def collection_stats(docs: DataFrame) -> DataFrame:
         "input_table", "hotel_name_key", "city", "date",
         F.to_date("created_at").alias("day"), F.coalesce(priced, F.lit(False)).alias("priced"),
     ).agg(_count().alias("rows"))
+    # exact distinct counts keep every combination several times over, so these get tasks of the session's width
+    combos = spread(combos, "input_table", "hotel_name_key", "day", "date")
     # NULL members make a combination too, and count_distinct skips NULLs only at top level
     combo = F.when(F.col("priced"), F.struct("hotel_name_key", "day", "date"))
     return combos.groupBy("input_table").agg(
