@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from ratecal.functions.calendar import date_literal, month_of
 from ratecal.functions.frames import spread
 from ratecal.operators.grid import (
-    OFFSETS, cells_of, date_spine, hotels_of, in_spine, last_stay, observed_cells, own_price, place, sampled_days, stays_and_quotes,
+    OFFSETS, cells_of, date_spine, hotel_months, hotels_of, in_spine, last_stay, observed_cells, own_price, place, sampled_days, stays_and_quotes,
 )
 from ratecal.schemas import CELL, HOTEL, PRICE, STAY
 
@@ -202,7 +202,8 @@ def adjacent_summary(cash: DataFrame, points: DataFrame, start, end) -> DataFram
     every = spine.join(single, ["date_stay", "date_booked"], "left").groupBy(month).agg(
         F.count(F.lit(1)).alias("cells"), F.count_if(F.col("_single").isNull()).alias("_beside")
     )
-    rows = hotels_of(cash).crossJoin(F.broadcast(every)).join(found, [*HOTEL, "month_booked"], "left")
+    months = hotel_months(hotels_of(cash), date_literal(start), date_literal(end)).withColumnRenamed("_month", "month_booked")
+    rows = months.join(F.broadcast(every), "month_booked").join(found, [*HOTEL, "month_booked"], "left")
     # 0 for a priced cell, 1 for others beside a cell, nothing for those without
     gap = lambda p: F.when((F.col("_beside") > 0) | (F.col(f"_all_{p}") > 0), F.col("_beside") - F.coalesce(F.col(f"_{p}"), F.lit(0)))
     return rows.select(
