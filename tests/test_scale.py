@@ -1,12 +1,17 @@
 """Work that may not grow faster than the input: what is shuffled, and where."""
 
 import datetime as dt
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from ratecal.operators import asof, grid
+from ratecal.functions.ranking import number_rows
+from ratecal.operators import asof, grid, quality
+from ratecal.plans.catalog import QUERIES
 from ratecal.schemas import CELL
-from test_plans import plan_of
+from ratecal.sources.testtables import TestTables
+from test_plans import FOLDER, plan_of
 
 SPINE = ("2023-01-01", "2023-01-05")
 QUOTE = "hotel_group string, hotel_name_key string, date_stay date, date_booked date, {} int"
@@ -53,3 +58,37 @@ def test_cells_and_neighbours_of_hotels_without_a_group(quotes):
     sparse = {tuple(r)[:4] for r in grid.sparse_grid(*quotes, *SPINE).collect()}
     priced = {tuple(r)[:4] for q in quotes for r in q.select(*CELL).collect()}
     assert sparse == set(cells) | priced
+
+
+def test_numbers_of_rows_meet_their_runs_without_a_shuffle(spark):
+    rows = spark.createDataFrame([("k", i) for i in range(40)] + [(None, i) for i in range(40)], "k string, v int")
+    numbered = number_rows(rows, ["k"], F.col("v").desc())
+    plan = plan_of(numbered)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert {(r.k, r.rn + r.v) for r in numbered.collect()} == {("k", 40), (None, 40)}
+
+
+def test_weeks_and_combinations_keep_the_width(spark, quotes):
+    weeks = quality.week_weekday_fill(*quotes, *SPINE)
+    assert "Exchange hashpartitioning(hotel_group" in plan_of(weeks)
+    assert re.search(r"hashpartitioning\(hotel_group#\d+, hotel_name_key#\d+, week_booked#\d+, 4\), REPARTITION_BY_NUM", plan_of(weeks))
+    assert re.search(r"rangepartitioning\(.*\), REPARTITION_BY_NUM", plan_of(weeks))
+    keys = [(r.hotel_group or "", r.week_booked, r.hotel_name_key) for r in weeks.collect()]
+    assert keys == sorted(keys) and len(keys) == 4
+    docs = spark.createDataFrame([("t", "k", "c", "2023-01-01", dt.datetime(2023, 1, 1), "2")], "input_table string, hotel_name_key string, city string, date string, created_at timestamp_ntz, cash_value string")
+    stats = quality.collection_stats(docs)
+    assert "REPARTITION_BY_NUM" in plan_of(stats) and tuple(stats.first()) == ("t", 1, 1, 1, 1)
+
+
+@pytest.mark.parametrize("name", ["incremental_ingest", "first_per_id", "clean_by_chunks", "resumed_ingest", "ingest_figures", "estimates_refreshed"])
+def test_source_tables_are_joined_once(spark, monkeypatch, name):
+    read, table = [], TestTables.table
+    monkeypatch.setattr(TestTables, "table", lambda self, x: read.append(x) or table(self, x))
+    QUERIES[name](spark, FOLDER)
+    assert read.count("lineitem") == 1
+
+
+def test_stored_tables_hold_the_same_rows(spark):
+    t = TestTables(spark, FOLDER)
+    for ours, theirs in ((t.stored().documents(), t.documents()), (t.stored().points_raw(), t.points_raw())):
+        assert ours.dtypes == theirs.dtypes and ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
