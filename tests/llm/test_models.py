@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ratecal.llm import chars, language, lm, quality, queries, toxicity
+from ratecal.llm import chars, folds, language, lm, quality, queries, toxicity
 
 SF = "/root/testdata/sf0.01"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -256,3 +256,12 @@ def test_seating_follows_the_process():
                 t += random.random() < a / (a + n - d * t)
             slow.append(t)
         assert abs(fast - np.mean(slow)) < 0.08 * np.mean(slow) + 4 * np.std(slow) / 20
+
+
+def test_common_words_are_counted_in_all_training_documents(spark):
+    # forty words are nearly equally frequent in 30,000 documents, which a sample would not put in order
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("w"), F.col("id") % 40).alias("text"))
+    words, _ = lm.common_words(docs, lm.Settings(common=1))
+    counts = docs.filter(folds.remainder("doc_id", 10) != 0).groupBy("text").count().collect()
+    first, second = sorted(counts, key=lambda r: -r["count"])[:2]
+    assert first["count"] > second["count"] and list(words) == list(lm._words([first["text"]])[0])
