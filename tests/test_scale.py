@@ -92,3 +92,37 @@ def test_stored_tables_hold_the_same_rows(spark):
     t = TestTables(spark, FOLDER)
     for ours, theirs in ((t.stored().documents(), t.documents()), (t.stored().points_raw(), t.points_raw())):
         assert ours.dtypes == theirs.dtypes and ours.exceptAll(theirs).isEmpty() and theirs.exceptAll(ours).isEmpty()
+
+
+@pytest.mark.parametrize("spine", [("2023-01-01", "2023-01-20"), ("2024-02-20", "2024-03-03"), ("2023-02-27", "2024-03-02")])
+def test_dense_grid_unpacks_runs_of_days(spark, spine):
+    def cell(stay, booked, price, key="k"):
+        return ("g", key, "c", dt.date.fromisoformat(stay), dt.date.fromisoformat(booked), price)
+
+    cash = [cell("2024-02-29", d, n) for n, d in enumerate(["2023-02-28", "2023-03-01", "2024-02-20", "2024-02-29"])]
+    cash += [cell("2025-02-28", "2024-02-29", 5), cell("2025-02-28", "2024-02-28", 6), cell("2023-01-09", "2023-01-09", 7, "one"), cell("2029-01-01", "2023-01-01", 8)]
+    points = [cell("2024-02-29", "2024-02-21", 50), cell("2024-02-29", "2024-02-20", 60), cell("2024-02-29", "2024-02-20", 1, "only points")]
+    schema = "hotel_group string, hotel_name_key string, city string, date_stay date, date_booked date, {} int"
+    quotes = spark.createDataFrame(cash, schema.format("cash")), spark.createDataFrame(points, schema.format("points"))
+    cells = grid.dense_grid(*quotes, *spine)
+    plan = plan_of(cells)
+    assert re.search(r"Generate explode\(sequence\(from#\d+, to#\d+.*Generate inline", plan, re.S) and "array_except" not in plan
+
+    priced = [{(r[1], r[3], r[4]): r[5] for r in rows} for rows in (cash, points)]
+    first, last = map(dt.date.fromisoformat, spine)
+    expected = set()
+    for n in range((last - first).days + 1):
+        booked = first + dt.timedelta(n)
+        until = booked.replace(year=booked.year + 1) if (booked.month, booked.day) != (2, 29) else dt.date(booked.year + 1, 2, 28)
+        for ahead in range((until - booked).days):
+            stay = booked + dt.timedelta(ahead)
+            expected |= {("g", key, stay, booked, ahead, *(p.get((key, stay, booked)) for p in priced)) for key in ("k", "one")}
+    found = [tuple(r) for r in cells.collect()]
+    assert len(found) == len(expected) and set(found) == expected
+    twice = grid.dense_grid_v1(quotes[0], quotes[1].unionByName(quotes[1]), *spine)
+    assert twice.count() == len(expected) + sum(x[6] is not None for x in expected)
+
+
+@pytest.mark.parametrize("name", ["hotel_grid", "hotel_grid_v1"])
+def test_cells_without_a_price_are_kept_from_the_sums(spark, name):
+    assert len(re.findall(r"partial_sum\([^F]*\) FILTER \(WHERE", plan_of(QUERIES[name](spark, FOLDER)))) == 3
