@@ -2,6 +2,9 @@
 
 A cell's neighbours are the nearest quotes before and after its booking day. A new quote can only take the place of a
 neighbour for cells between the quotes next to it on both sides, so these cells, and no others, are made anew.
+
+The table of estimates is kept as a first table and the changes of each arrival, so that an arrival writes the cells it
+made anew and neither reads nor writes the others. `current` is the table they make together.
 """
 
 from dataclasses import dataclass
@@ -34,29 +37,35 @@ def changed_spans(stored: DataFrame, merged: DataFrame, arrived: DataFrame, pric
 
 @dataclass(frozen=True)
 class Refreshed:
-    """`estimates`, `cash` and `points` as they are now; `touched`: the cells that were estimated again."""
+    """`estimates`, `cash` and `points` as they are now; `touched`: the cells that were estimated again, `changes`: their
+    estimates."""
 
     estimates: DataFrame
     cash: DataFrame
     points: DataFrame
     touched: DataFrame
+    changes: DataFrame
 
 
 def refresh(
-    estimates: DataFrame, cash: DataFrame, points: DataFrame, new_cash: DataFrame, new_points: DataFrame, start, end, offsets=OFFSETS
+    estimates: DataFrame, cash: DataFrame, points: DataFrame, new_cash: DataFrame, new_points: DataFrame, start, end, offsets=OFFSETS,
+    keep=lambda name, rows: rows,
 ) -> Refreshed:
     """Estimates (as `sample_estimates` gives them) after clean quotes have arrived: equal to a rebuild from all quotes.
 
     Work follows the arrivals: shuffled are stays with arrivals and the keys of cells. Hotels that had no cash
-    quote before get all their cells. The caller stores the result, so the next arrival starts from a table.
+    quote before get all their cells. The caller stores the quotes, and either the estimates, or the changes, whose work
+    follows the arrivals too (`current` then gives the estimates); so the next arrival starts from tables. `keep` may store
+    what is used several times (`cash`, `points`, `touched`) and give it back as a table, so that it is made once.
     """
-    now_cash, now_points = merged_quotes(cash, new_cash), merged_quotes(points, new_points)
+    now_cash, now_points = keep("cash", merged_quotes(cash, new_cash)), keep("points", merged_quotes(points, new_points))
     known = hotels_of(cash)
     fresh_hotels = hotels_of(new_cash).join(known, list(HOTEL), "left_anti")
     spans = changed_spans(cash, now_cash, new_cash, "cash").unionByName(changed_spans(points, now_points, new_points, "points"))
     spans = spans.join(known, list(HOTEL), "left_semi")
     near = F.coalesce(F.col("date_booked") >= F.col("low"), F.lit(True)) & F.coalesce(F.col("date_booked") <= F.col("high"), F.lit(True))
     cells = spans.withColumn("date_booked", F.explode(sampled_days(offsets))).filter(near & in_spine(start, end)).select(*CELL).distinct()
+    cells = keep("touched", cells)
 
     stays = cells.select(*STAY).distinct()
     own_cash, own_points = (t.join(stays, list(STAY), "left_semi") for t in (now_cash, now_points))
@@ -66,5 +75,13 @@ def refresh(
     base = base.withColumn("booking_window", F.datediff("date_stay", "date_booked"))
     again = estimated(nearest_quotes(base, own_cash, own_points))
     fresh = sample_estimates(*(t.join(fresh_hotels, list(HOTEL), "left_semi") for t in (now_cash, now_points)), start, end, offsets)
-    out = estimates.join(cells, list(CELL), "left_anti").unionByName(again).unionByName(fresh)
-    return Refreshed(out, now_cash, now_points, cells.unionByName(fresh.select(*CELL)))
+    changes = again.unionByName(fresh)
+    out = estimates.join(cells, list(CELL), "left_anti").unionByName(changes)
+    return Refreshed(out, now_cash, now_points, cells.unionByName(fresh.select(*CELL)), changes)
+
+
+def current(first: DataFrame, changes: DataFrame) -> DataFrame:
+    """The estimates after some arrivals: `first` with the `changes` of all of them, `run` being the arrival's number. The
+    latest change of a cell counts. However many arrivals there are, the first table meets them once, and is not sorted."""
+    latest = newest(changes, list(CELL), F.col("run").desc()).drop("run")
+    return first.join(latest.select(*CELL).hint("shuffle_hash"), list(CELL), "left_anti").unionByName(latest)

@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratecal.functions.ranking import number_rows
-from ratecal.operators import asof, grid, quality
+from ratecal.operators import asof, grid, quality, refresh
 from ratecal.plans.catalog import QUERIES
 from ratecal.schemas import CELL
+from ratecal.sources import tables
 from ratecal.sources.testtables import TestTables
 from test_plans import FOLDER, plan_of
 
@@ -126,3 +127,44 @@ def test_dense_grid_unpacks_runs_of_days(spark, spine):
 @pytest.mark.parametrize("name", ["hotel_grid", "hotel_grid_v1"])
 def test_cells_without_a_price_are_kept_from_the_sums(spark, name):
     assert len(re.findall(r"partial_sum\([^F]*\) FILTER \(WHERE", plan_of(QUERIES[name](spark, FOLDER)))) == 3
+
+
+def test_arrivals_write_their_changes_only(spark, monkeypatch):
+    written, overwrite, write_run = [], tables.overwrite, tables.write_run
+    monkeypatch.setattr(tables, "overwrite", lambda df, path, **x: written.append(path.split("/")[-2:]) or overwrite(df, path, **x))
+    monkeypatch.setattr(tables, "write_run", lambda df, path, schema, run: written.append([run, path.split("/")[-1]]) or write_run(df, path, schema, run))
+    plan = plan_of(QUERIES["estimates_refreshed"](spark, FOLDER))
+    assert [w for w in written if w[1] == "estimates"] == [["0", "estimates"]]
+    assert [w for w in written if w[1] == "changes"] == [[k, "changes"] for k in (1, 2, 3)]
+    # all arrivals meet the first table in one join, without sorting it
+    assert plan.count("LeftAnti") == 1 and re.search(r"ShuffledHashJoin .*LeftAnti, BuildRight", plan) and plan.count("FILTER (WHERE") >= 12
+
+
+def test_first_estimates_with_changes_equal_a_rebuild(spark, tmp_path):
+    schema = QUOTE + ", created_at timestamp_ntz, _id string"
+
+    def table(price, rows, seen):
+        rows = [(*r, dt.datetime(2023, 1, seen), f"{seen}-{n}") for n, r in enumerate(rows)]
+        return spark.createDataFrame(rows, schema.format(price))
+
+    def keep(name, rows):
+        rows.write.parquet(f"{tmp_path}/{k}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{k}/{name}")
+
+    cash = table("cash", [("g", "k", day(8), day(1), 10), (None, "k", day(8), day(2), 7), ("g", "m", day(9), day(1), 5)], 1)
+    points = table("points", [("g", "k", day(8), day(2), 100)], 1)
+    arrivals = [
+        ([("g", "k", day(8), day(5), 30)], [("g", "k", day(8), day(4), 50)]),
+        ([("g", "k", day(8), day(5), 31), ("g", "new", day(8), day(3), 4)], []),  # a later price for a cell that has changed, and a new hotel
+        ([("g", "new", day(8), day(1), 6), ("g", "k", day(8), day(3), 20)], [("g", "m", day(9), day(2), 9)]),
+    ]
+    first = estimates = asof.sample_estimates(cash, points, *SPINE).checkpoint()
+    for k, (new_cash, new_points) in enumerate(arrivals, 1):
+        now = refresh.refresh(estimates, cash, points, table("cash", new_cash, k + 1), table("points", new_points, k + 1), *SPINE, keep=keep)
+        tables.write_run(now.changes, f"{tmp_path}/changes", now.changes.schema, k)
+        assert now.changes.select(*CELL).exceptAll(now.touched).isEmpty() and now.touched.exceptAll(now.changes.select(*CELL)).isEmpty()
+        cash, points = now.cash, now.points
+        estimates = refresh.current(first, spark.read.parquet(f"{tmp_path}/changes"))
+        rebuilt = asof.sample_estimates(cash, points, *SPINE)
+        for table_ in (estimates, now.estimates):
+            assert table_.columns == rebuilt.columns and table_.exceptAll(rebuilt).isEmpty() and rebuilt.exceptAll(table_).isEmpty()
