@@ -265,3 +265,39 @@ def test_common_words_are_counted_in_all_training_documents(spark):
     counts = docs.filter(folds.remainder("doc_id", 10) != 0).groupBy("text").count().collect()
     first, second = sorted(counts, key=lambda r: -r["count"])[:2]
     assert first["count"] > second["count"] and list(words) == list(lm._words([first["text"]])[0])
+
+
+def test_seating_of_common_words_in_few_draws():
+    """Tables of a dish with very many customers: as many as one by one, by draws that do not follow their number."""
+
+    class Counted:
+        def __init__(self, random):
+            self.random_, self.draws = random, 0
+
+        def __getattr__(self, name):
+            self.draws += 1
+            return getattr(self.random_, name)
+
+    random, tables = np.random.default_rng(3), []
+    for _ in range(40):
+        t, chances = 1, random.random(20_000)
+        for n in range(1, 20_000):
+            t += chances[n] < 900 / (900 + n - 0.6 * t)
+        tables.append(t)
+    counted = Counted(np.random.default_rng(4))
+    fast = lm.seat(np.full(400, 20_000), np.full(400, 900.0), 0.6, counted)
+    error = np.sqrt(np.var(tables) / 40 + fast.var() / 400)
+    assert abs(fast.mean() - np.mean(tables)) < 4 * error and 0.6 < fast.std() / np.std(tables) < 1.6
+    assert counted.draws < 500 < fast.min()
+    counted = Counted(np.random.default_rng(5))
+    lm.seat(np.array([50_000_000]), np.array([20_000.0]), 0.7, counted)
+    assert counted.draws < 1000
+
+
+def test_packed_arrays_come_back():
+    for values in (np.arange(-5, 70_000), np.zeros(0, np.int64), np.array([1.5, -np.inf, 1e-300]), np.array([3, 1 << 30], np.int32)):
+        assert np.array_equal(lm._unpacked(lm._packed(values), values.dtype), values)
+    words = ["a", "\0", "ß日", "x" * 3000]
+    assert lm._unpacked_words(lm._packed_words(words)).to_pylist() == words
+    tokens = np.random.default_rng(1).zipf(1.3, 200_000).clip(max=60_000).astype(np.int32)
+    assert len(lm._packed(tokens)) < tokens.nbytes / 2
