@@ -95,31 +95,121 @@ def _chunked(batches):
     chars.release()
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """code, lang, word, f of every distinct word of each language."""
+def _gathered(batches, size):
+    """Codes of many rows together, each with a break at its end."""
+    held, n = [], 0
+    for batch in batches:
+        for i in range(batch.num_rows):
+            codes = batch.column(0)[i].values.to_numpy().view(np.uint64)
+            held += [codes, np.zeros(1, np.uint64)]
+            n += len(codes) + 1
+            if n >= size:
+                yield np.concatenate(held)
+                held, n = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
+def _ranged(part, *columns):
+    """Arrays of one length as one row for each part: its number, and the arrays of its rows as steps from one to the next, in
+    the order of all columns, the first one first. Steps are small where a column is sorted or repeats, and packed."""
+    order = np.lexsort((*columns[::-1], part))
+    parts, first = np.unique(part[order], return_index=True)
+    cuts = np.append(first, len(part)).tolist()
+    packed = [[chars.packed(np.diff(c[order[x:y]], prepend=c.dtype.type(0))) for x, y in zip(cuts, cuts[1:])] for c in columns]
+    names = ["part", *[f"c{k}" for k in range(len(columns))]]
+    return pa.RecordBatch.from_arrays([pa.array(parts.astype(np.int64)), *[pa.array(c, type=pa.binary()) for c in packed]], names=names)
+
+
+def _opened(table, column, kind):
+    """One array for each row of a column that `_ranged` has packed."""
+    return [np.cumsum(chars.unpacked(x, kind), dtype=kind) for x in table[column].to_pylist()]
+
+
+def _by_part(rows):
+    return rows.repartition("part").sortWithinPartitions("part")
+
+
+def _summed(keys, n):
+    """Distinct keys, and the sum of the numbers of each."""
+    found, where = np.unique(np.concatenate(keys), return_inverse=True)
+    return found, np.bincount(where, weights=np.concatenate(n), minlength=len(found)).astype(np.int64)
+
+
+PARTS = 1024  # of words and candidates, which meet in one group each
+
+
+def word_counts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """code and f of the words (of a language each) that occur often enough; and, in rows without a code, lang and n: all word
+    occurrences of some texts. Only hashes are counted: most words are rare, and the others are spelled by `coded`."""
+
+    def told(code, n, sizes):
+        rows = _ranged((code >> np.uint64(54)).astype(np.int64), code, n)
+        empty = [pa.nulls(rows.num_rows, pa.string()), pa.nulls(rows.num_rows, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*rows.columns, *empty], names=names)
+        part = pa.array([PARTS + int(salt) % PARTS for salt, _ in sizes], type=pa.int64())
+        empty, langs = pa.nulls(len(sizes), pa.binary()), pa.array([lang for _, lang in sizes], type=pa.string())
+        yield pa.RecordBatch.from_arrays([part, empty, empty, langs, pa.array(list(sizes.values()), type=pa.int64())], names=names)
+
+    names = ["part", "c0", "c1", "lang", "n"]
 
     def run(batches):
+        held, sizes = [], {}
         for langs, salts, texts in _chunked(batches):
             words = Words(texts, salts)
-            code, first, n = np.unique(words.code, return_index=True, return_counts=True)
+            if not len(words.code):
+                continue
+            held.append(np.unique(words.code, return_counts=True))
+            for at, n in enumerate(np.bincount(words.owner, minlength=len(texts)).tolist()):
+                if n:
+                    key = int(salts[at]), langs[at].as_py()
+                    sizes[key] = sizes.get(key, 0) + n
+            if sum(len(code) for code, _ in held) >= 2 * settings.gathered:
+                held = [_summed(*zip(*held))]
+                if len(held[0][0]) >= settings.gathered or len(sizes) >= settings.gathered:
+                    yield from told(*held[0], sizes)
+                    held, sizes = [], {}
+        if held:
+            yield from told(*_summed(*zip(*held)), sizes)
+
+    def add(batches):
+        out = ["code", "f", "lang", "n"]
+        for t in chars.grouped(batches, ("part",)):
+            if t["part"][0].as_py() >= PARTS:
+                empty = pa.nulls(t.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([empty, empty, t["lang"].combine_chunks(), t["n"].combine_chunks()], names=out)
+                continue
+            code, n = _summed(_opened(t, "c0", np.uint64), _opened(t, "c1", np.int64))
+            code, n = code[n >= settings.least].view(np.int64), n[n >= settings.least]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(code.view(np.int64)), langs.take(pa.array(words.owner[first])), words.spelled(first), pa.array(n)],
-                names=["code", "lang", "word", "f"],
+                [pa.array(code), pa.array(n), pa.nulls(len(code), pa.string()), pa.nulls(len(code), pa.int64())], names=out
             )
 
-    counted = _rows(docs).mapInArrow(run, "code long, lang string, word string, f long")
-    return counted.groupBy("code", "lang", "word").agg(F.sum("f").alias("f"))
+    rows = _rows(docs).mapInArrow(run, "part long, c0 binary, c1 binary, lang string, n long")
+    return _by_part(rows).mapInArrow(add, "code long, f long, lang string, n long")
 
 
 def coded(docs: DataFrame, frequent: DataFrame) -> DataFrame:
     """`codes`: the words of some texts whose codes are in the only column of `frequent` (others may be among
-    them, by chance), 0 for one or more breaks; words between two breaks are left out."""
+    them, by chance), 0 for one or more breaks; words between two breaks are left out. In rows of their own, code, lang and word of
+    such words."""
     shared = docs.sparkSession.sparkContext.broadcast(bits.bitmap(frequent))
 
+    names = ["codes", "code", "lang", "word"]
+
     def run(batches):
-        for _, salts, texts in _chunked(batches):
+        spelled = np.zeros(0, dtype=np.uint64)  # what the task has already sent
+        for langs, salts, texts in _chunked(batches):
             words = Words(texts, salts)
             code = np.where(bits.member(shared.value, words.code), words.code, np.uint64(0))
+            found, first = np.unique(code, return_index=True)
+            new = (found != 0) & ~np.isin(found, spelled, assume_unique=True)
+            found, first = found[new], first[new]
+            spelled = np.concatenate([spelled if len(spelled) < _SPELLED else spelled[:0], found])
+            if len(found):
+                own = [pa.nulls(len(found), pa.list_(pa.int64())), pa.array(found.view(np.int64))]
+                own += [langs.take(pa.array(words.owner[first])), words.spelled(first)]
+                yield pa.RecordBatch.from_arrays(own, names=names)
             at = np.arange(len(code)) + np.cumsum(words.first)
             codes = np.zeros(len(code) + int(words.first.sum()) + 1, dtype=np.uint64)
             codes[at] = code
@@ -132,38 +222,14 @@ def coded(docs: DataFrame, frequent: DataFrame) -> DataFrame:
             keep[1:] |= codes[:-1] != 0
             if len(codes := codes[keep]):
                 lists = pa.ListArray.from_arrays(pa.array([0, len(codes)], type=pa.int32()), pa.array(codes.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([lists], names=["codes"])
-
-    return _rows(docs).mapInArrow(run, "codes array<long>")
-
-
-def _gathered(batches, size):
-    """Codes of many rows together, each with a break at its end."""
-    held, n = [], 0
-    for batch in batches:
-        for i in range(batch.num_rows):
-            codes = batch.column(0)[i].values.to_numpy().view(np.uint64)
-            held += [codes, np.zeros(1, np.uint64)]
-            n += len(codes) + 1
-            if n >= size:
-                yield np.concatenate(held)
-                held, n = [], 0
-    if held:
-        yield np.concatenate(held)
-
+                empty = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.string())]
+                yield pa.RecordBatch.from_arrays([lists, *empty], names=names)
 
-def _ranged(part, *columns):
-    """Arrays of one length, in the order of `part`, as one row for each part: its number, and the arrays' bytes."""
-    order = np.argsort(part, kind="stable")
-    parts, first = np.unique(part[order], return_index=True)
-    cuts = np.append(first, len(part)).tolist()
-    packed = [[c[order[x:y]].tobytes() for x, y in zip(cuts, cuts[1:])] for c in columns]
-    names = ["part", *[f"c{k}" for k in range(len(columns))]]
-    return pa.RecordBatch.from_arrays([pa.array(parts.astype(np.int64)), *[pa.array(c, type=pa.binary()) for c in packed]], names=names)
+    return _rows(docs).mapInArrow(run, CODED)
 
 
-def _by_part(rows):
-    return rows.repartition("part").sortWithinPartitions("part")
+CODED = "codes array<long>, code long, lang string, word string"
+_SPELLED = 1 << 20  # codes that a task remembers
 
 
 def pair_buckets(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -190,17 +256,14 @@ def pair_buckets(texts: DataFrame, settings: Settings = Settings()) -> DataFrame
     def add(batches):
         for t in chars.grouped(batches, ("part",)):
             total = np.zeros(1 << 16, dtype=np.int64)
-            for at, n in zip(t["c0"].to_pylist(), t["c1"].to_pylist()):
-                total[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.uint32)
+            for at, n in zip(_opened(t, "c0", np.uint16), _opened(t, "c1", np.uint32)):
+                total[at] += n
             often = np.flatnonzero(total >= settings.least) + (t["part"][0].as_py() << 16)
             yield pa.RecordBatch.from_arrays([pa.array(often)], names=["bucket"])
 
     return _by_part(texts.mapInArrow(run, "part long, c0 binary, c1 binary")).mapInArrow(add, "bucket long")
 
 
-PARTS = 1024  # of the candidates' keys, which meet in one group each
-
-
 def candidates(texts: DataFrame, k: int, passing, settings: Settings = Settings()) -> DataFrame:
     """key and words (codes) of the phrases of k words in `texts` that may be frequent: `passing` is the bitmap of
     buckets for pairs, and of the frequent phrases of k - 1 words for longer ones."""
@@ -222,18 +285,22 @@ def candidates(texts: DataFrame, k: int, passing, settings: Settings = Settings(
             found, first = found[new], first[new]
             told = np.concatenate([told if len(told) < settings.gathered else told[:0], found])
             if len(found):
-                yield _ranged((found % np.uint64(PARTS)).astype(np.int64), found, codes[at[first][:, None] + np.arange(k)])
+                words = [codes[at[first] + j] for j in range(k)]  # most of the first word are together, the commonest in eight parts
+                part = (words[0] >> np.uint64(57) << np.uint64(3)) | (words[1] >> np.uint64(61))
+                yield _ranged(part.astype(np.int64), *words)
         chars.release()
 
     def once(batches):
         for t in chars.grouped(batches, ("part",)):
-            keys = np.concatenate([np.frombuffer(x, np.int64) for x in t["c0"].to_pylist()])
-            words = np.concatenate([np.frombuffer(x, np.int64) for x in t["c1"].to_pylist()]).reshape(-1, k)
+            words = np.stack([np.concatenate(_opened(t, f"c{j}", np.uint64)) for j in range(k)], axis=1)
+            keys = chars.mix((words * _FACTORS[:k]).sum(axis=1, dtype=np.uint64))  # as phrase_keys
             found, first = np.unique(keys, return_index=True)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * k), pa.array(words[first].ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(found), lists], names=["key", "words"])
+            words = words[first].ravel().view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * k), pa.array(words))
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), lists], names=["key", "words"])
 
-    return _by_part(texts.mapInArrow(run, "part long, c0 binary, c1 binary")).mapInArrow(once, "key long, words array<long>")
+    columns = ", ".join(f"c{j} binary" for j in range(k))
+    return _by_part(texts.mapInArrow(run, f"part long, {columns}")).mapInArrow(once, "key long, words array<long>")
 
 
 _WINDOW = (1 << 4096) - 1
@@ -351,31 +418,40 @@ def counts(texts: DataFrame, wanted, settings: Settings = Settings()) -> DataFra
     return texts.mapInArrow(run, "key long, f long").groupBy("key").agg(F.sum("f").alias("f"))
 
 
+def _stored(rows):
+    """`rows`, written and read again."""
+    spark, where = rows.sparkSession, new_folder(rows.sparkSession)
+    rows.write.parquet(where)
+    return spark.read.schema(rows.schema).parquet(where)
+
+
 def frequent(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Three written tables: all words (code, lang, word, f); frequent phrases of two and more words (key, words, f); and
+    """Three tables: frequent words (code, lang, word, f); frequent phrases of two and more words (key, words, f); and
     n, all word occurrences, of each lang."""
     spark = docs.sparkSession
-    where, texts_at, phrases_at = new_folder(spark), new_folder(spark), new_folder(spark)
-    word_counts(docs).write.parquet(where)
-    words = spark.read.parquet(where)
-    often = words.filter(F.col("f") >= settings.least)
-    coded(docs, often.select("code")).write.parquet(texts_at)
-    texts = spark.read.schema("codes array<long>").parquet(texts_at)
+    phrases_at = new_folder(spark)
+    counted = _stored(word_counts(docs, settings))
+    often = counted.filter("code IS NOT NULL").select("code", "f")
+    written = _stored(coded(docs, often.select("code")))
+    spelled = written.filter("code IS NOT NULL").groupBy("code").agg(F.min(F.struct("lang", "word")).alias("w"))
+    words = often.join(spelled, "code").select("code", "w.lang", "w.word", "f")
+    # each task tells every candidate that it holds, so there are as many as the session's cores can use, not one for each file
+    texts = written.filter("codes IS NOT NULL").select("codes").coalesce(2 * spark.sparkContext.defaultParallelism)
     schema = "key long, words array<long>, f long"
     spark.createDataFrame([], schema).write.parquet(phrases_at)
     passing = bits.bitmap(pair_buckets(texts, settings), settings.buckets)
     for k in range(2, settings.longest + 1):
-        found = candidates(texts, k, passing, settings).checkpoint()
+        found = _stored(candidates(texts, k, passing, settings))
         blocks = math.ceil(found.count() / settings.block)
         for block in range(blocks):
             wanted = found.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block)
-            counted = counts(texts, wanted.toArrow(), settings).filter(F.col("f") >= settings.least)
-            wanted.join(counted, "key").select("key", "words", "f").write.mode("append").parquet(phrases_at)
+            enough = counts(texts, wanted.toArrow(), settings).filter(F.col("f") >= settings.least)
+            wanted.join(enough, "key").select("key", "words", "f").write.mode("append").parquet(phrases_at)
         kept = spark.read.schema(schema).parquet(phrases_at).filter(F.size("words") == k)
         passing = bits.bitmap(kept.select("key"))
         if not passing.any():
             break
-    sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
+    sizes = counted.filter("code IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
     return words, spark.read.schema(schema).parquet(phrases_at), sizes
 
 
@@ -413,10 +489,10 @@ def mined(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     language is `und`, a NULL text empty; every row counts, also repeated ones and those without an id.
     """
     words, phrases, sizes = frequent(docs, settings)
-    spelling = words.filter(F.col("f") >= settings.least).select("code", "lang", "word", "f")
+    spelling = _stored(words)
     parts = _parts(phrases, settings.longest).join(phrases.select("key", F.col("f").alias("a"), F.size("words").alias("k")), "key")
     known = spelling.select(F.col("code").alias("part"), "f").union(phrases.select("key", "f"))
-    parts = parts.join(known, "part").checkpoint()
+    parts = _stored(parts.join(known, "part"))
     first = parts.filter("start = 0").select("key", "a", "k", F.col("length").alias("cut"), F.col("f").alias("l"))
     rest = parts.filter("start > 0 AND start + length = k").select("key", F.col("start").alias("cut"), F.col("f").alias("r"))
     long = parts.filter("length > 1").groupBy(F.col("part").alias("key")).agg(F.max("a").alias("longer"))

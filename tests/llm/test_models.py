@@ -296,8 +296,8 @@ def test_seating_of_common_words_in_few_draws():
 
 def test_packed_arrays_come_back():
     for values in (np.arange(-5, 70_000), np.zeros(0, np.int64), np.array([1.5, -np.inf, 1e-300]), np.array([3, 1 << 30], np.int32)):
-        assert np.array_equal(lm._unpacked(lm._packed(values), values.dtype), values)
+        assert np.array_equal(chars.unpacked(chars.packed(values), values.dtype), values)
     words = ["a", "\0", "ß日", "x" * 3000]
     assert lm._unpacked_words(lm._packed_words(words)).to_pylist() == words
     tokens = np.random.default_rng(1).zipf(1.3, 200_000).clip(max=60_000).astype(np.int32)
-    assert len(lm._packed(tokens)) < tokens.nbytes / 2
+    assert len(chars.packed(tokens)) < tokens.nbytes / 2

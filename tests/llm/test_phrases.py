@@ -85,3 +85,34 @@ def test_trie_counts_all_positions():
         assert trie.count(text).tolist() == [expected[tuple(w)] for w in words]
         used = trie.check[1:] >= 0
         assert used.sum() == len({tuple(w[: j + 1]) for w in words.tolist() for j in range(depth)})
+
+
+def test_what_tasks_send_is_small(spark):
+    """Rare words are counted without their letters, and candidates of one first word share it."""
+    rows = [("en", " ".join(f"{'rare' * 5}{i}x{j}" for j in range(200))) for i in range(50)] + [("en", "often said " * 200), (None, "often")]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    counted = phrases.word_counts(frame)
+    assert counted.columns == ["code", "f", "lang", "n"] and sorted(r["f"] for r in counted.filter("code IS NOT NULL").collect()) == [200, 200]
+    sizes = {r["lang"]: r["n"] for r in counted.filter("code IS NULL").groupBy("lang").agg({"n": "sum"}).toDF("lang", "n").collect()}
+    assert sizes == {"en": 10_400, "und": 1}
+    random = np.random.default_rng(1)
+    first = random.integers(1, 1 << 63, 20, dtype=np.uint64)[random.integers(0, 20, 30_000)]
+    second = random.integers(1, 1 << 63, 30_000, dtype=np.uint64)
+    part = (first >> np.uint64(57)).astype(np.int64)
+    table = phrases._ranged(part, first, second)
+    assert sum(len(x) for c in ("c0", "c1") for x in table[c].to_pylist()) < 9 * 30_000
+    got = [np.concatenate(phrases._opened(table, c, np.uint64)) for c in ("c0", "c1")]
+    assert sorted(zip(*map(np.ndarray.tolist, got))) == sorted(zip(first.tolist(), second.tolist()))
+
+
+def test_tasks_that_tell_candidates_do_not_grow_with_files(spark, monkeypatch):
+    seen, inner = [], phrases.candidates
+    monkeypatch.setattr(phrases, "candidates", lambda texts, *a: seen.append(texts.rdd.getNumPartitions()) or inner(texts, *a))
+    files = 5 * spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        frame = spark.createDataFrame([("en", f"{'a b ' * 300}c{i}") for i in range(files)], "lang string, text string").repartition(files)
+        phrases.frequent(frame)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert seen and max(seen) <= 2 * spark.sparkContext.defaultParallelism
