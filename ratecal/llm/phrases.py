@@ -100,7 +100,7 @@ def _gathered(batches, size):
     held, n = [], 0
     for batch in batches:
         for i in range(batch.num_rows):
-            codes = batch.column(0)[i].values.to_numpy().view(np.uint64)
+            codes = chars.unpacked(batch.column(0)[i].as_py(), np.uint64)[chars.unpacked(batch.column(1)[i].as_py(), np.int32)]
             held += [codes, np.zeros(1, np.uint64)]
             n += len(codes) + 1
             if n >= size:
@@ -190,12 +190,13 @@ def word_counts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def coded(docs: DataFrame, frequent: DataFrame) -> DataFrame:
-    """`codes`: the words of some texts whose codes are in the only column of `frequent` (others may be among
-    them, by chance), 0 for one or more breaks; words between two breaks are left out. In rows of their own, code, lang and word of
+    """The words of some texts whose codes are in the only column of `frequent` (others may be among them, by chance), 0 for one
+    or more breaks; words between two breaks are left out. `codes` has the distinct ones, the commonest first, and `places`
+    where each word is among them, both packed: tasks then hold little of what they read. In rows of their own, code, lang and word of
     such words."""
     shared = docs.sparkSession.sparkContext.broadcast(bits.bitmap(frequent))
 
-    names = ["codes", "code", "lang", "word"]
+    names = ["codes", "places", "code", "lang", "word"]
 
     def run(batches):
         spelled = np.zeros(0, dtype=np.uint64)  # what the task has already sent
@@ -207,8 +208,8 @@ def coded(docs: DataFrame, frequent: DataFrame) -> DataFrame:
             found, first = found[new], first[new]
             spelled = np.concatenate([spelled if len(spelled) < _SPELLED else spelled[:0], found])
             if len(found):
-                own = [pa.nulls(len(found), pa.list_(pa.int64())), pa.array(found.view(np.int64))]
-                own += [langs.take(pa.array(words.owner[first])), words.spelled(first)]
+                empty = pa.nulls(len(found), pa.binary())
+                own = [empty, empty, pa.array(found.view(np.int64)), langs.take(pa.array(words.owner[first])), words.spelled(first)]
                 yield pa.RecordBatch.from_arrays(own, names=names)
             at = np.arange(len(code)) + np.cumsum(words.first)
             codes = np.zeros(len(code) + int(words.first.sum()) + 1, dtype=np.uint64)
@@ -221,14 +222,18 @@ def coded(docs: DataFrame, frequent: DataFrame) -> DataFrame:
             keep = codes != 0
             keep[1:] |= codes[:-1] != 0
             if len(codes := codes[keep]):
-                lists = pa.ListArray.from_arrays(pa.array([0, len(codes)], type=pa.int32()), pa.array(codes.view(np.int64)))
+                distinct, where, often = np.unique(codes, return_inverse=True, return_counts=True)
+                order = np.argsort(-often, kind="stable")
+                place = np.empty(len(order), dtype=np.int32)
+                place[order] = np.arange(len(order), dtype=np.int32)
+                packed = [pa.array([chars.packed(x)], type=pa.binary()) for x in (distinct[order], place[where])]
                 empty = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.string())]
-                yield pa.RecordBatch.from_arrays([lists, *empty], names=names)
+                yield pa.RecordBatch.from_arrays([*packed, *empty], names=names)
 
     return _rows(docs).mapInArrow(run, CODED)
 
 
-CODED = "codes array<long>, code long, lang string, word string"
+CODED = "codes binary, places binary, code long, lang string, word string"
 _SPELLED = 1 << 20  # codes that a task remembers
 
 
@@ -436,7 +441,7 @@ def frequent(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFram
     spelled = written.filter("code IS NOT NULL").groupBy("code").agg(F.min(F.struct("lang", "word")).alias("w"))
     words = often.join(spelled, "code").select("code", "w.lang", "w.word", "f")
     # each task tells every candidate that it holds, so there are as many as the session's cores can use, not one for each file
-    texts = written.filter("codes IS NOT NULL").select("codes").coalesce(2 * spark.sparkContext.defaultParallelism)
+    texts = written.filter("codes IS NOT NULL").select("codes", "places").coalesce(2 * spark.sparkContext.defaultParallelism)
     schema = "key long, words array<long>, f long"
     spark.createDataFrame([], schema).write.parquet(phrases_at)
     passing = bits.bitmap(pair_buckets(texts, settings), settings.buckets)
