@@ -3,12 +3,13 @@
 Texts are written once as sequences of word codes, with a break wherever a piece ends or a word is too rare. A
 phrase can only be frequent if both phrases of one word less in it are (Apriori), so the candidates of a length are
 those the corpus holds whose two parts pass a bitmap of the frequent ones before; a bitmap may let more pass, never
-fewer. Pairs of words, of which there are too many, must also fall in a bucket of enough pairs. Candidates go
+fewer. Most such phrases are rare still, so they must also fall in a bucket of enough phrases. Candidates go
 out as double-array tries of bounded size. All positions of a text step through a trie together, one level at a
 time; the states that accept are counted, and the counts of all tasks summed.
 """
 
 import math
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,18 +24,21 @@ from ratecal.session import new_folder
 @dataclass(frozen=True)
 class Settings:
     """`least`: occurrences of a phrase; `longest`: words of one; `top`: phrases of each language;
-    `percent`: of a phrase's occurrences within one longer phrase that make it go; `buckets`: of word pairs, a
-    power of two; `block`: candidates of a trie; `gathered`: positions that a task looks at together."""
+    `percent`: of a phrase's occurrences within one longer phrase that make it go; `buckets`: of phrases of one length,
+    a power of two, at least; `load`: words for each of them, beyond which there are more (up to `_BUCKETS`); `block`:
+    candidates of a trie; `gathered`: positions that a task looks at together."""
 
     least: int = 100
     longest: int = 5
     top: int = 2000
     percent: int = 100
     buckets: int = 1 << 27
+    load: int = 8
     block: int = 1 << 19
     gathered: int = 1 << 20
 
 
+_BUCKETS = 1 << 30  # at most: bits of a map that every task holds
 _FACTORS = chars.mix(np.arange(101, 164, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -52,6 +56,33 @@ def phrase_keys(codes, k):
     return np.where(whole, chars.mix(keys), np.uint64(0))
 
 
+def phrase_places(codes, k, parts):
+    """Keys as `phrase_keys`, and where the phrase may be frequent, as both its parts of k - 1 words pass the bitmap `parts`
+    (None: any may)."""
+    keys = phrase_keys(codes, k)
+    if parts is None:
+        return keys, keys != 0
+    part = phrase_keys(codes, k - 1)
+    may = (part != 0) & bits.member(parts, part)
+    return keys, may[:-1] & may[1:]
+
+
+@contextmanager
+def _sent(spark, value):
+    """`value` as a broadcast, which goes from all disks afterwards."""
+    shared = spark.sparkContext.broadcast(value)
+    try:
+        yield shared
+    finally:
+        shared.destroy()
+
+
+def _few(rows):
+    """`rows` in as many partitions as the session's cores can use, not one for each file: every task of a step
+    tells each word or candidate that it holds."""
+    return rows.coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 class Words:
     """The words of some texts in order: code (a hash of language and word, never 0), text, and whether the
     word begins a piece."""
@@ -189,13 +220,11 @@ def word_counts(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return _by_part(rows).mapInArrow(add, "code long, f long, lang string, n long")
 
 
-def coded(docs: DataFrame, frequent: DataFrame) -> DataFrame:
-    """The words of some texts whose codes are in the only column of `frequent` (others may be among them, by chance), 0 for one
+def coded(docs: DataFrame, shared) -> DataFrame:
+    """The words of some texts whose codes pass the bitmap `shared` (others may be among them, by chance), 0 for one
     or more breaks; words between two breaks are left out. `codes` has the distinct ones, the commonest first, and `places`
     where each word is among them, both packed: tasks then hold little of what they read. In rows of their own, code, lang and word of
     such words."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits.bitmap(frequent))
-
     names = ["codes", "places", "code", "lang", "word"]
 
     def run(batches):
@@ -230,17 +259,18 @@ def coded(docs: DataFrame, frequent: DataFrame) -> DataFrame:
                 empty = [pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.string())]
                 yield pa.RecordBatch.from_arrays([*packed, *empty], names=names)
 
-    return _rows(docs).mapInArrow(run, CODED)
+    return _few(_rows(docs)).mapInArrow(run, CODED)
 
 
 CODED = "codes binary, places binary, code long, lang string, word string"
 _SPELLED = 1 << 20  # codes that a task remembers
 
 
-def pair_buckets(texts: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The buckets in which enough word pairs fall, of whatever words. Counts travel as arrays, one for each range of
-    2**16 buckets, and are added up there."""
-    mask = np.uint64(settings.buckets - 1)
+def buckets(texts: DataFrame, k: int, shared, size: int, settings: Settings = Settings()) -> np.ndarray:
+    """The bitmap of those of `size` buckets in which enough phrases of k words fall, of whatever words; `shared` is a bitmap of the
+    frequent phrases of k - 1 words, or None. Counts travel as arrays, one for each range of 2**16 buckets, and are added
+    up there."""
+    mask = np.uint64(size - 1)
 
     def summed(held):
         bucket, n = np.unique(np.concatenate(held), return_counts=True)
@@ -249,8 +279,8 @@ def pair_buckets(texts: DataFrame, settings: Settings = Settings()) -> DataFrame
     def run(batches):
         held = []  # buckets are half as wide as codes, so more positions are counted together
         for codes in _gathered(batches, settings.gathered):
-            keys = phrase_keys(codes, 2)
-            held.append((keys[keys != 0] & mask).astype(np.int32))
+            keys, may = phrase_places(codes, k, shared.value)
+            held.append((keys[may] & mask).astype(np.int32))
             if sum(map(len, held)) >= 4 * settings.gathered:
                 yield summed(held)
                 held = []
@@ -263,28 +293,28 @@ def pair_buckets(texts: DataFrame, settings: Settings = Settings()) -> DataFrame
             total = np.zeros(1 << 16, dtype=np.int64)
             for at, n in zip(_opened(t, "c0", np.uint16), _opened(t, "c1", np.uint32)):
                 total[at] += n
-            often = np.flatnonzero(total >= settings.least) + (t["part"][0].as_py() << 16)
-            yield pa.RecordBatch.from_arrays([pa.array(often)], names=["bucket"])
+            if (often := total >= settings.least).any():
+                held = [chars.packed(np.packbits(often, bitorder="little"))]
+                yield pa.RecordBatch.from_arrays([t["part"].slice(0, 1).combine_chunks(), pa.array(held, type=pa.binary())], names=["part", "held"])
 
-    return _by_part(texts.mapInArrow(run, "part long, c0 binary, c1 binary")).mapInArrow(add, "bucket long")
+    counted = _by_part(texts.mapInArrow(run, "part long, c0 binary, c1 binary")).mapInArrow(add, "part long, held binary").toArrow()
+    out = np.zeros((max(size >> 16, 1), 1 << 13), dtype=np.uint8)
+    for part, held in zip(counted["part"].to_pylist(), counted["held"].to_pylist()):
+        out[part] = chars.unpacked(held, np.uint8)
+    return out.ravel().view(np.uint64)[: size >> 6]
 
 
-def candidates(texts: DataFrame, k: int, passing, settings: Settings = Settings()) -> DataFrame:
-    """key and words (codes) of the phrases of k words in `texts` that may be frequent: `passing` is the bitmap of
-    buckets for pairs, and of the frequent phrases of k - 1 words for longer ones."""
-    shared = texts.sparkSession.sparkContext.broadcast(passing)
+def candidates(texts: DataFrame, k: int, shared, settings: Settings = Settings()) -> DataFrame:
+    """key and words (codes) of the phrases of k words in `texts` that may be frequent: `shared` are two bitmaps, of the
+    frequent phrases of k - 1 words (None for pairs), and of the buckets of k words."""
 
     def run(batches):
         told = np.zeros(0, dtype=np.uint64)  # what the task has already sent
+        parts, often = shared.value
         for codes in _gathered(batches, settings.gathered):
-            keys = phrase_keys(codes, k)
-            if k == 2:
-                may = (keys != 0) & bits.member(shared.value, keys, settings.buckets)
-            else:
-                parts = phrase_keys(codes, k - 1)
-                parts = (parts != 0) & bits.member(shared.value, parts)
-                may = parts[:-1] & parts[1:]
+            keys, may = phrase_places(codes, k, parts)
             at = np.flatnonzero(may)
+            at = at[bits.member(often, keys[at], 64 * len(often))]
             found, first = np.unique(keys[at], return_index=True)
             new = ~np.isin(found, told, assume_unique=True)
             found, first = found[new], first[new]
@@ -405,11 +435,14 @@ class Trie:
         return np.bincount(self.accepts[state], minlength=int(self.accepts.max()) + 1)
 
 
-def counts(texts: DataFrame, wanted, settings: Settings = Settings()) -> DataFrame:
-    """key and f, the occurrences in `texts`, of the phrases `wanted`, an Arrow table of key and words."""
+def trie_of(wanted):
+    """The keys and the trie of phrases, an Arrow table of key and words."""
     keys = wanted["key"].to_numpy()
-    words = wanted["words"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(keys), -1)
-    shared = texts.sparkSession.sparkContext.broadcast((keys, Trie(words)))
+    return keys, Trie(wanted["words"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(keys), -1))
+
+
+def counts(texts: DataFrame, shared, settings: Settings = Settings()) -> DataFrame:
+    """key and f, the occurrences in `texts`, of phrases that are given as `trie_of` them."""
 
     def run(batches):
         keys, trie = shared.value
@@ -437,21 +470,27 @@ def frequent(docs: DataFrame, settings: Settings = Settings()) -> tuple[DataFram
     phrases_at = new_folder(spark)
     counted = _stored(word_counts(docs, settings))
     often = counted.filter("code IS NOT NULL").select("code", "f")
-    written = _stored(coded(docs, often.select("code")))
+    with _sent(spark, bits.bitmap(often.select("code"))) as shared:
+        written = _stored(coded(docs, shared))
     spelled = written.filter("code IS NOT NULL").groupBy("code").agg(F.min(F.struct("lang", "word")).alias("w"))
     words = often.join(spelled, "code").select("code", "w.lang", "w.word", "f")
-    # each task tells every candidate that it holds, so there are as many as the session's cores can use, not one for each file
-    texts = written.filter("codes IS NOT NULL").select("codes", "places").coalesce(2 * spark.sparkContext.defaultParallelism)
+    texts = _few(written.filter("codes IS NOT NULL").select("codes", "places"))
     schema = "key long, words array<long>, f long"
     spark.createDataFrame([], schema).write.parquet(phrases_at)
-    passing = bits.bitmap(pair_buckets(texts, settings), settings.buckets)
+    n = counted.agg(F.sum("n")).first()[0] or 0
+    size = max(settings.buckets, min(_BUCKETS, 1 << (n // settings.load).bit_length()))
+    passing = None
     for k in range(2, settings.longest + 1):
-        found = _stored(candidates(texts, k, passing, settings))
+        with _sent(spark, passing) as shared:
+            enough = buckets(texts, k, shared, size, settings)
+        with _sent(spark, (passing, enough)) as shared:
+            found = _stored(candidates(texts, k, shared, settings))
         blocks = math.ceil(found.count() / settings.block)
         for block in range(blocks):
             wanted = found.filter(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block)
-            enough = counts(texts, wanted.toArrow(), settings).filter(F.col("f") >= settings.least)
-            wanted.join(enough, "key").select("key", "words", "f").write.mode("append").parquet(phrases_at)
+            with _sent(spark, trie_of(wanted.toArrow())) as shared:
+                enough = counts(texts, shared, settings).filter(F.col("f") >= settings.least)
+                wanted.join(enough, "key").select("key", "words", "f").write.mode("append").parquet(phrases_at)
         kept = spark.read.schema(schema).parquet(phrases_at).filter(F.size("words") == k)
         passing = bits.bitmap(kept.select("key"))
         if not passing.any():

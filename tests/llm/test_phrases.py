@@ -3,6 +3,7 @@
 import collections
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -116,3 +117,39 @@ def test_tasks_that_tell_candidates_do_not_grow_with_files(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert seen and max(seen) <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_words_told_do_not_grow_with_files(spark, monkeypatch):
+    """A task tells each frequent word once, so there are not as many tasks as files."""
+    files = 5 * spark.sparkContext.defaultParallelism
+    seen, inner = [], phrases._stored
+    monkeypatch.setattr(phrases, "_stored", lambda rows: seen.append(inner(rows)) or seen[-1])
+    frame = spark.createDataFrame([("en", "a b " * 100) for _ in range(files)], "lang string, text string").repartition(files)
+    words, _, _ = phrases.frequent(frame)
+    assert {(r["word"], r["f"]) for r in words.collect()} == {("a", 100 * files), ("b", 100 * files)}
+    (texts,) = [rows for rows in seen if "codes" in rows.columns]
+    assert 2 <= texts.filter("code IS NOT NULL").count() <= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_rare_phrases_of_frequent_ones_are_no_candidates(spark, monkeypatch):
+    """All pairs of 30 words are frequent, hardly any three of them; and of many pairs that occur once few share one of the buckets."""
+    tried, inner = collections.Counter(), phrases.Trie.__init__
+    monkeypatch.setattr(phrases.Trie, "__init__", lambda self, words: tried.update({words.shape[1]: len(words)}) or inner(self, words))
+    letters = np.random.default_rng(3).integers(0, 30, (40, 1000))
+    rows = [("en", " ".join(f"w{i}" for i in line)) for line in letters.tolist()]
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    settings = phrases.Settings(least=20)
+    assert {tuple(r) for r in phrases.mined(frame, settings).collect()} == slow(rows, 20, 5, 2000, 100)
+    assert tried[2] == 900 and tried[3] < 100
+    tried.clear()
+    rows = [("en", " ".join(f"w{i}" for i in line)) for line in np.random.default_rng(4).integers(0, 300, (40, 500)).tolist()]
+    frame = spark.createDataFrame(rows + [("en", "often said " * 30)], "lang string, text string").repartition(4)
+    _, found, _ = phrases.frequent(frame, phrases.Settings(least=20, buckets=64))
+    assert found.filter("size(words) = 2").count() == 2 and tried[2] < 4000
+
+
+def test_what_was_sent_to_tasks_leaves_the_disk(spark, monkeypatch):
+    sent, inner = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(inner(self, value)) or sent[-1])
+    phrases.frequent(spark.createDataFrame([("en", "a b c " * 200)], "lang string, text string"))
+    assert len(sent) > 3 and not any(Path(s._path).exists() for s in sent)
