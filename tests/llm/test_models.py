@@ -301,3 +301,37 @@ def test_packed_arrays_come_back():
     assert lm._unpacked_words(lm._packed_words(words)).to_pylist() == words
     tokens = np.random.default_rng(1).zipf(1.3, 200_000).clip(max=60_000).astype(np.int32)
     assert len(chars.packed(tokens)) < tokens.nbytes / 2
+
+
+def test_every_word_is_a_context(spark):
+    """1,200 words, of which few are common: what follows each is learned from the texts."""
+    number = F.col("id") % 600
+    swapped = F.when(folds.held_out("id", 10, 0) & (F.col("id") % 7 < 3), 1).otherwise(0)
+    docs = spark.range(12_000).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("a"), number, F.lit(" b"), (number + swapped) % 600).alias("text"), swapped.alias("swapped")
+    )
+    got = lm.scores(docs, lm.Settings(hall=1 << 15)).join(docs, "doc_id").filter("held_out").groupBy("swapped").agg(F.avg("score"), F.avg("base_score"))
+    (right, right_base), (wrong, wrong_base) = (r[1:] for r in sorted(got.collect()))
+    assert abs(right_base - wrong_base) < 0.1 and right > wrong + 2
+
+
+def test_pairs_of_words_meet_in_halls(spark, odd, tables):
+    docs = tables[0].select("doc_id", "text").limit(100).union(odd.select("doc_id", "text"))
+    settings, none = lm.Settings(tokens=5_000, common=0), (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
+    chunks = lm._chunks(docs, none, settings).localCheckpoint()
+    halls = lm._halls(chunks, none, 8).localCheckpoint()
+    found = [chars.unpacked(r["counts"], np.int64) for r in halls.collect()]
+    count, starts = {}, {}
+    for i, t in docs.collect():
+        words = [None, *re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)), 0]
+        for pair in zip(words, words[1:]):
+            learned = i is not None and not held(i, 10, 0)
+            count[pair] = count.get(pair, 0) + learned
+            starts[pair] = pair[0] is None
+    assert len(found) == 8 and sorted(np.concatenate(found).tolist()) == sorted(count.values())
+    (contexts, customers, seated), discount = lm._hall_totals(halls)
+    assert contexts.tolist() == [int(lm.START_HASH)]
+    assert customers[0] == sum(n for p, n in count.items() if starts[p])
+    assert seated[0] == sum(n > 0 for p, n in count.items() if starts[p])
+    asks = lm._asks(halls, settings).collect()
+    assert sum(chars.unpacked(r["counts"], np.int64).sum() for r in asks) == sum(n > 0 for n in count.values())
