@@ -168,3 +168,11 @@ def test_first_estimates_with_changes_equal_a_rebuild(spark, tmp_path):
         rebuilt = asof.sample_estimates(cash, points, *SPINE)
         for table_ in (estimates, now.estimates):
             assert table_.columns == rebuilt.columns and table_.exceptAll(rebuilt).isEmpty() and rebuilt.exceptAll(table_).isEmpty()
+
+
+def test_accounted_documents_are_parsed_once(spark, monkeypatch):
+    read, table = [], TestTables.table
+    monkeypatch.setattr(TestTables, "table", lambda self, x: read.append(x) or table(self, x))
+    plan = plan_of(QUERIES["cash_accounted"](spark, FOLDER))
+    assert read.count("lineitem") == 1 and "Join" not in plan
+    assert plan.count("parseJson") == plan.count("schemaOfVariant") == plan.count("$.amount") == plan.count("$.currency") == 1
