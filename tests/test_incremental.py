@@ -2,10 +2,12 @@
 
 import os
 import random
+import time
 from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratecal.operators import accounting, asof, refresh
 from ratecal.schemas import CASH_DOCUMENT, CELL
@@ -142,3 +144,19 @@ def test_late_documents_are_reported(spark, tmp_path):
     # a copy within ten days of the newest, a new document, and one that is too old to tell
     assert arrive(("b", "2023-01-20T00:00:00"), ("c", "2023-01-21T00:00:00"), ("a", "2023-01-01T00:00:00")) == [(3, 1, 1, 1)]
     assert sorted(r._id for r in deduplicate.read_first(spark, target, CASH_DOCUMENT).collect()) == ["a", "b", "c"]
+
+
+def test_what_a_stream_has_shuffled_leaves_the_disks(spark, tmp_path):
+    schema = T.StructType([T.StructField("_id", T.StringType()), T.StructField("created_at", T.TimestampNTZType())])
+    rows = spark.range(2000).select(F.concat(F.lit("d"), F.col("id") % 1500).alias("_id"), F.lit("2023-01-01").cast("timestamp_ntz").alias("created_at"))
+    rows.write.json(f"{tmp_path}/docs")
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    settings = ("spark.sql.streaming.stateStore.compression.codec", "spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    before, had = files.getAllFiles().size(), [spark.conf.get(c) for c in settings]
+    report = deduplicate.store_first(spark, f"{tmp_path}/docs", f"{tmp_path}/first", f"{tmp_path}/checkpoint", schema, "60 days")
+    assert [tuple(r)[1:] for r in report.collect()] == [(2000, 500, 0, 1500)]
+    for _ in range(50):  # they are removed in the background
+        if files.getAllFiles().size() <= before:
+            break
+        time.sleep(0.1)
+    assert files.getAllFiles().size() <= before and [spark.conf.get(c) for c in settings] == had
