@@ -82,6 +82,11 @@ def refresh(
 
 def current(first: DataFrame, changes: DataFrame) -> DataFrame:
     """The estimates after some arrivals: `first` with the `changes` of all of them, `run` being the arrival's number. The
-    latest change of a cell counts. However many arrivals there are, the first table meets them once, and is not sorted."""
+    latest change of a cell counts. However many arrivals there are, the first table meets them once, and is not sorted. They
+    meet by stay: its cells stay side by side, so that what is shuffled packs well."""
     latest = newest(changes, list(CELL), F.col("run").desc()).drop("run")
-    return first.join(latest.select(*CELL).hint("shuffle_hash"), list(CELL), "left_anti").unionByName(latest)
+    days = latest.groupBy(*STAY).agg(F.collect_set("date_booked").alias("_days")).hint("shuffle_hash").alias("c")
+    same = F.array_contains("c._days", F.col("f.date_booked"))
+    for name in STAY:
+        same &= F.col(f"f.{name}") == F.col(f"c.{name}")
+    return first.alias("f").join(days, same, "left_anti").unionByName(latest)

@@ -176,3 +176,13 @@ def test_accounted_documents_are_parsed_once(spark, monkeypatch):
     plan = plan_of(QUERIES["cash_accounted"](spark, FOLDER))
     assert read.count("lineitem") == 1 and "Join" not in plan
     assert plan.count("parseJson") == plan.count("schemaOfVariant") == plan.count("$.amount") == plan.count("$.currency") == 1
+
+
+def test_changes_meet_the_first_table_by_stay(spark):
+    schema = QUOTE.format("cash")
+    first = spark.createDataFrame([("g", "k", day(8), day(n), n) for n in range(1, 5)] + [(None, "k", day(8), day(1), 9)], schema)
+    changes = [("g", "k", day(8), day(2), 20, 1), ("g", "k", day(8), day(2), 21, 2), ("g", "k", day(8), day(7), 70, 1), (None, "k", day(8), day(1), 8, 1)]
+    now = refresh.current(first, spark.createDataFrame(changes, schema + ", run int"))
+    assert sorted(r["cash"] for r in now.collect()) == [1, 3, 4, 8, 9, 21, 70]
+    join = re.search(r"ShuffledHashJoin \[(.*?)\], .*LeftAnti", plan_of(now))
+    assert join and "date_stay" in join[1] and "date_booked" not in join[1]
